@@ -83,3 +83,114 @@ ranked AS (
     AS comparable_rank FROM pairs)
 SELECT * FROM ranked WHERE comparable_rank <= {top_n}
 """
+
+
+def _med_mad_sql(market: str, keys: list[str], metrics: list[str], min_rows: int) -> str:
+    k = ", ".join(keys)
+    meds = ", ".join(f"MEDIAN(CAST({m} AS DOUBLE)) AS {m}_median" for m in metrics)
+    mads = ", ".join(
+        f"MEDIAN(ABS(CAST(x.{m} AS DOUBLE) - y.{m}_median)) AS {m}_median_abs_deviation" for m in metrics
+    )
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in keys)
+    return f"""
+  SELECT * FROM (SELECT {k}, {meds}, COUNT(*) AS _rows FROM ({market}) WHERE {nn} GROUP BY {k}) y
+  JOIN (SELECT {", ".join("x." + c for c in keys)}, {mads}
+        FROM ({market}) x JOIN (SELECT {k}, {meds} FROM ({market}) WHERE {nn} GROUP BY {k}) y USING ({k})
+        GROUP BY {", ".join("x." + c for c in keys)}) z USING ({k})
+  WHERE _rows >= {min_rows}"""
+
+
+def _dominant_sql(market: str, keys: list[str], column: str, prefix: str) -> str:
+    k = ", ".join(keys)
+    return f"""
+  SELECT {k}, FIRST({column} ORDER BY _n DESC, {column} ASC) AS dominant_{prefix},
+         -SUM(_p * LN(_p)) AS {prefix}_entropy
+  FROM (SELECT *, _n / SUM(_n) OVER (PARTITION BY {k}) AS _p
+        FROM (SELECT {k}, {column}, COUNT(*) AS _n FROM ({market}) WHERE {column} IS NOT NULL GROUP BY {k}, {column}))
+  GROUP BY {k}"""
+
+
+SUMMARY_METRICS_BOUND = ["accommodates_count", "nightly_price", "rating_score", "latitude", "longitude"]
+
+
+def _stat_cols(metrics: list[str]) -> list[str]:
+    out = []
+    for m in metrics:
+        out += [f"{m}_median", f"{m}_median_abs_deviation"]
+    return out
+
+
+def city_summary_sql(market: str, min_rows: int = 1, metrics: list[str] = SUMMARY_METRICS_BOUND) -> str:
+    keys = ["city_name", "period_label"]
+    cols = ", ".join(_stat_cols(metrics))
+    return f"""
+SELECT city_name, period_label, dominant_neighbourhood, neighbourhood_entropy, dominant_room_type,
+       room_type_entropy, {cols}
+FROM ({_med_mad_sql(market, keys, metrics, min_rows)}) s
+LEFT JOIN ({_dominant_sql(market, keys, 'neighbourhood_name', 'neighbourhood')}) USING (city_name, period_label)
+LEFT JOIN ({_dominant_sql(market, keys, 'room_type', 'room_type')}) USING (city_name, period_label)"""
+
+
+def neighbourhood_summary_sql(market: str, min_rows: int = 1, metrics: list[str] = SUMMARY_METRICS_BOUND) -> str:
+    keys = ["city_name", "neighbourhood_name", "period_label"]
+    cols = ", ".join(_stat_cols(metrics))
+    return f"""
+SELECT city_name, neighbourhood_name, period_label, dominant_room_type, room_type_entropy, {cols}
+FROM ({_med_mad_sql(market, keys, metrics, min_rows)}) s
+LEFT JOIN ({_dominant_sql(market, keys, 'room_type', 'room_type')}) USING (city_name, neighbourhood_name, period_label)"""
+
+
+def _mad_bounds_sql(med: str, mad: str) -> tuple[str, str]:
+    return (f"GREATEST({med} - 1.4826 * {mad}, 1.0)", f"GREATEST({med} + 1.4826 * {mad}, {med})")
+
+
+def benchmark_sql(market: str, top_n: int = 10, nb_min_rows: int = 1, ct_min_rows: int = 1,
+                  with_label: bool = False) -> str:
+    mad_lo, mad_hi = _mad_bounds_sql("a.med", "d.mad")
+    nb_lo, nb_hi = _mad_bounds_sql("nb.nightly_price_median", "nb.nightly_price_median_abs_deviation")
+    ct_lo, ct_hi = _mad_bounds_sql("ct.nightly_price_median", "ct.nightly_price_median_abs_deviation")
+    rung = f"""CASE WHEN COALESCE(a.n, 0) >= 15 THEN 1 WHEN COALESCE(a.n, 0) >= 5 THEN 2
+      WHEN nb.nightly_price_median IS NOT NULL THEN 3 WHEN ct.nightly_price_median IS NOT NULL THEN 4 ELSE 5 END"""
+    body = f"""
+WITH comps AS ({comparables_sql(market, top_n)}),
+a AS (SELECT target_listing_id, target_snapshot_date, COUNT(*) AS n,
+             QUANTILE_CONT(nightly_price, 0.25) AS q1, QUANTILE_CONT(nightly_price, 0.75) AS q3,
+             MEDIAN(nightly_price) AS med FROM comps GROUP BY ALL),
+d AS (SELECT c.target_listing_id, c.target_snapshot_date, MEDIAN(ABS(c.nightly_price - a.med)) AS mad
+      FROM comps c JOIN a USING (target_listing_id, target_snapshot_date) GROUP BY ALL),
+r AS (
+  SELECT m.listing_id, m.snapshot_date, m.city_name, m.neighbourhood_name, m.period_label, m.nightly_price,
+    {rung} AS rung, a.q1, a.q3, COALESCE(a.n, 0) AS n,
+    {mad_lo} AS mad_lo, {mad_hi} AS mad_hi, {nb_lo} AS nb_lo, {nb_hi} AS nb_hi, {ct_lo} AS ct_lo, {ct_hi} AS ct_hi
+  FROM ({market}) m
+  LEFT JOIN a ON a.target_listing_id = m.listing_id AND a.target_snapshot_date = m.snapshot_date
+  LEFT JOIN d ON d.target_listing_id = m.listing_id AND d.target_snapshot_date = m.snapshot_date
+  LEFT JOIN ({neighbourhood_summary_sql(market, nb_min_rows)}) nb
+    ON nb.city_name = m.city_name AND nb.neighbourhood_name = m.neighbourhood_name AND nb.period_label = m.period_label
+  LEFT JOIN ({city_summary_sql(market, ct_min_rows)}) ct
+    ON ct.city_name = m.city_name AND ct.period_label = m.period_label)
+SELECT listing_id, snapshot_date, city_name, neighbourhood_name, period_label, nightly_price,
+  CASE rung WHEN 1 THEN GREATEST(q1, 1.0) WHEN 2 THEN mad_lo WHEN 3 THEN nb_lo WHEN 4 THEN ct_lo
+       ELSE GREATEST(nightly_price * 0.9, 1.0) END AS benchmark_lower_bound,
+  CASE rung WHEN 1 THEN GREATEST(q3, q1) WHEN 2 THEN mad_hi WHEN 3 THEN nb_hi WHEN 4 THEN ct_hi
+       ELSE nightly_price * 1.1 END AS benchmark_upper_bound,
+  CASE rung WHEN 1 THEN 'comparable_iqr' WHEN 2 THEN 'comparable_mad' WHEN 3 THEN 'neighbourhood_period_summary'
+       WHEN 4 THEN 'city_period_summary' ELSE 'listing_price_fallback' END AS benchmark_source,
+  CAST(CASE WHEN rung IN (3, 4) THEN 0 ELSE n END AS BIGINT) AS comparable_count,
+  rung >= 3 AS fallback_used
+FROM r"""
+    if not with_label:
+        return body
+    return f"""
+SELECT *, CASE WHEN nightly_price < benchmark_lower_bound THEN 'underpriced'
+               WHEN nightly_price > benchmark_upper_bound THEN 'overpriced' ELSE 'aligned' END
+          AS price_positioning_label
+FROM ({body})"""
+
+
+def rounded(sql: str, columns: list[str], digits: int = 6) -> str:
+    """Wrap ``sql`` so the listed double columns are rounded (as the Spark side does)."""
+    if not columns:
+        return sql
+    rep = ", ".join(f"ROUND({c}, {digits}) AS {c}" for c in columns)
+    return f"SELECT * REPLACE ({rep}) FROM ({sql})"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,7 +48,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet under the session's checkpoint folder and read it back.
+
+    This truncates the plan (later self-joins analyse a small tree), computes the input
+    once (unlike an unpersisted ``checkpoint()``, which runs its job twice) and leaves a
+    table in the shared folder that survives executor loss.
+    """
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/peerscope/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
