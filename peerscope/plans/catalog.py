@@ -122,3 +122,254 @@ def q_benchmark_range_iqr(spark, d):
 @register("price_positioning", sql.benchmark_sql(sql.MARKET, with_label=True), RANGE_DOUBLES)
 def q_price_positioning(spark, d):
     return price_positioning(_ranges(market_frame(spark, d)))
+
+
+# ---------------------------------------------------------------- features
+from peerscope.operators import decisions as dec  # noqa: E402
+from peerscope.operators import eda  # noqa: E402
+from peerscope.operators import evaluation as ev  # noqa: E402
+from peerscope.operators import features as feat  # noqa: E402
+from peerscope.plans import oracle_reports as rep  # noqa: E402
+
+
+def _model_input(spark, d):
+    return feat.model_input(market_frame(spark, d), testdata.neighbourhood_reference(spark, d),
+                            max_price=rep.MAX_PRICE, zone_city=rep.ZONE_CITY)
+
+
+def _feature_frame(spark, d):
+    return cut_lineage(feat.feature_frame(_model_input(spark, d)), "feature_frame")
+
+
+@register("model_input", rep.MODEL_INPUT, ["nightly_price", "rating_score", "latitude", "longitude"])
+def q_model_input(spark, d):
+    return _model_input(spark, d)
+
+
+@register("model_input_profile", rep.MODEL_INPUT_PROFILE, ["null_rate_after_join"])
+def q_model_input_profile(spark, d):
+    return feat.model_input_profile(market_frame(spark, d), testdata.neighbourhood_reference(spark, d),
+                                    max_price=rep.MAX_PRICE, zone_city=rep.ZONE_CITY)
+
+
+@register("feature_frame", rep.FEATURE_FRAME,
+          ["nightly_price", "rating_score", "latitude", "longitude", "distance_to_city_center_km",
+           "distance_to_neighbourhood_center_km"])
+def q_feature_frame(spark, d):
+    return _feature_frame(spark, d)
+
+
+# ---------------------------------------------------------------- EDA
+@register("rows_by_city", rep.ROWS_BY_CITY)
+def q_rows_by_city(spark, d):
+    return eda.rows_by_city(market_frame(spark, d))
+
+
+@register("rows_by_city_period", rep.ROWS_BY_CITY_PERIOD)
+def q_rows_by_city_period(spark, d):
+    return eda.rows_by_city_and_period(market_frame(spark, d))
+
+
+@register("room_type_share", rep.ROOM_TYPE_SHARE, ["share"])
+def q_room_type_share(spark, d):
+    return eda.room_type_share(market_frame(spark, d))
+
+
+@register("median_by_city", rep.median_by(["city_name"]), ["median_nightly_price"])
+def q_median_by_city(spark, d):
+    return eda.median_price_by(market_frame(spark, d), ["city_name"])
+
+
+@register("median_by_city_period", rep.MEDIAN_BY_CITY_PERIOD, rep.PERIODS)
+def q_median_by_city_period(spark, d):
+    return eda.median_price_by_city_and_period(market_frame(spark, d))
+
+
+@register("median_by_room_type", rep.median_by(["room_type"]), ["median_nightly_price"])
+def q_median_by_room_type(spark, d):
+    return eda.median_price_by(market_frame(spark, d), ["room_type"])
+
+
+@register("median_by_band", rep.MEDIAN_BY_BAND, ["median_nightly_price"])
+def q_median_by_band(spark, d):
+    return eda.median_price_by_capacity_band(market_frame(spark, d))
+
+
+@register("price_extremes", rep.PRICE_EXTREMES, ["median_nightly_price"])
+def q_price_extremes(spark, d):
+    return eda.neighbourhood_price_extremes(market_frame(spark, d))
+
+
+@register("price_histogram", rep.PRICE_HISTOGRAM, ["bin_lower", "bin_upper"])
+def q_price_histogram(spark, d):
+    return eda.price_histogram(market_frame(spark, d))
+
+
+@register("price_boxplot", rep.PRICE_BOXPLOT, ["q1", "median", "q3", "lower_whisker", "upper_whisker"])
+def q_price_boxplot(spark, d):
+    return eda.price_boxplot(market_frame(spark, d))
+
+
+@register("heatmap_scale", rep.HEATMAP_SCALE, ["min_value", "max_value"])
+def q_heatmap_scale(spark, d):
+    return eda.heatmap_scale(market_frame(spark, d))
+
+
+@register("data_profile", rep.DATA_PROFILE, ["value"])
+def q_data_profile(spark, d):
+    return eda.data_profile(market_frame(spark, d))
+
+
+# ---------------------------------------------------------------- evaluation
+def _split_frame(spark, d):
+    return ev.group_split(_feature_frame(spark, d))
+
+
+def _predict(split_frame: DataFrame, keys: list[str]) -> DataFrame:
+    """Baseline predictor of the binding: train-split median price per group, else the train median."""
+    train = split_frame.where(F.col("split") == "train")
+    per_group = train.groupBy(*keys).agg(F.median("nightly_price").alias("_g"))
+    overall = train.agg(F.median("nightly_price").alias("_all"))
+    j = split_frame.join(per_group, keys, "left")
+    j = j.withColumn("_one", F.lit(0)).join(F.broadcast(overall.withColumn("_one", F.lit(0))), "_one").drop("_one")
+    return j.withColumn("prediction", F.coalesce("_g", "_all")).drop("_g", "_all")
+
+
+def _scored(spark, d, keys=rep.BASE_KEYS):
+    return _predict(_split_frame(spark, d), keys).where(F.col("split") == "test")
+
+
+@register("group_split", rep.GROUP_SPLIT)
+def q_group_split(spark, d):
+    return _split_frame(spark, d).select("listing_id", "snapshot_date", "split")
+
+
+@register("model_metrics", rep.MODEL_METRICS, ["mae", "rmse", "mape"])
+def q_model_metrics(spark, d):
+    return ev.model_metrics(_scored(spark, d), "nightly_price")
+
+
+@register("sliced_mae", rep.SLICED_MAE, ["mae"])
+def q_sliced_mae(spark, d):
+    return ev.sliced_mae(_scored(spark, d), "nightly_price", ["city_name", "period_label", "room_type"])
+
+
+@register("price_band_mae", rep.PRICE_BAND_MAE, ["mae"])
+def q_price_band_mae(spark, d):
+    banded = ev.price_bands(_scored(spark, d), "nightly_price")
+    return ev.sliced_mae(banded, "nightly_price", ["price_band"]).select(
+        F.col("value").alias("price_band"), "mae", "row_count")
+
+
+@register("interval_calibration", rep.CALIBRATION,
+          ["confidence_level", "lower_residual_quantile", "upper_residual_quantile", "empirical_coverage_rate"])
+def q_interval_calibration(spark, d):
+    return ev.interval_calibration(_scored(spark, d), "nightly_price")
+
+
+def _fm_ranges(spark, d, fm: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    comps = select_comparables(fm, ROLES, ComparableSearch(), targets=targets)
+    t = fm if targets is None else targets
+    return benchmark_ranges(t, comps, neighbourhood_period_summary(fm), city_period_summary(fm))
+
+
+@register("benchmark_diagnostics", rep.BENCHMARK_DIAGNOSTICS, ["value"])
+def q_benchmark_diagnostics(spark, d):
+    fm = _feature_frame(spark, d)
+    scored = cut_lineage(_predict(ev.group_split(fm), rep.BASE_KEYS).where(F.col("split") == "test"), "scored")
+    ranges = _fm_ranges(spark, d, fm, scored.drop("split", "prediction"))
+    return ev.benchmark_diagnostics(ranges, scored)
+
+
+def _metrics_long(split_frame: DataFrame) -> DataFrame:
+    parts = []
+    for name, keys in rep.MODELS.items():
+        sc = _predict(split_frame, keys).where(F.col("split") == "test")
+        e = ev.with_errors(sc, "nightly_price")
+        parts.append(e.agg(F.avg("absolute_error").alias("mae")).select(
+            F.lit(name).alias("model"), F.lit("overall").alias("slice"), F.lit(None).cast("string").alias("value"), "mae"))
+        parts.append(ev.sliced_mae(sc, "nightly_price", ["city_name"]).select(
+            F.lit(name).alias("model"), "slice", "value", "mae"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("champion_choice", rep.CHAMPION_CHOICE)
+def q_champion_choice(spark, d):
+    return ev.champion_choice(_metrics_long(_split_frame(spark, d)), rep.BASELINE_MODEL)
+
+
+# ---------------------------------------------------------------- decisions
+@register("model_interval", rep.MODEL_INTERVAL,
+          ["estimated_market_price", "model_estimate_lower_bound", "model_estimate_upper_bound",
+           "model_estimate_interval_confidence_level"])
+def q_model_interval(spark, d):
+    scored = cut_lineage(_scored(spark, d), "scored")
+    cal = ev.interval_calibration(scored, "nightly_price")
+    out = dec.model_estimate_interval(
+        scored.select("listing_id", "snapshot_date", F.col("prediction").cast("double").alias("estimated_market_price")),
+        "estimated_market_price", cal)
+    return out
+
+
+@register("model_agreement", rep.MODEL_AGREEMENT,
+          ["estimated_market_price", "benchmark_lower_bound", "benchmark_upper_bound", "model_benchmark_gap_amount",
+           "model_benchmark_gap_ratio"])
+def q_model_agreement(spark, d):
+    fm = _feature_frame(spark, d)
+    scored = cut_lineage(_predict(ev.group_split(fm), rep.BASE_KEYS).where(F.col("split") == "test"), "scored")
+    ranges = _fm_ranges(spark, d, fm, scored.drop("split", "prediction"))
+    j = scored.select("listing_id", "snapshot_date", F.col("prediction").cast("double").alias("estimated_market_price")).join(
+        ranges.select("listing_id", "snapshot_date", "benchmark_lower_bound", "benchmark_upper_bound"),
+        ["listing_id", "snapshot_date"])
+    return j.select("*", *dec.model_benchmark_agreement(
+        F.col("estimated_market_price"), F.col("benchmark_lower_bound"), F.col("benchmark_upper_bound")))
+
+
+DECISION_DOUBLES = ["nightly_price", "benchmark_lower_bound", "benchmark_upper_bound", "estimated_market_price",
+                    "model_estimate_lower_bound", "model_estimate_upper_bound", "model_estimate_interval_confidence_level",
+                    "model_benchmark_gap_amount", "model_benchmark_gap_ratio"]
+
+
+def _decisions(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    fm = _feature_frame(spark, d)
+    split = ev.group_split(fm)
+    req = dec.resolve_requests(fm, testdata.listing_requests(spark, d))
+    found = cut_lineage(req.where(F.col("status") == "found").select("listing_id", "snapshot_date").join(
+        fm, ["listing_id", "snapshot_date"]), "targets")
+    comps = select_comparables(fm, ROLES, ComparableSearch(), targets=found)
+    ranges = benchmark_ranges(found, comps, neighbourhood_period_summary(fm), city_period_summary(fm))
+    estimates = _predict(split, rep.BASE_KEYS).select(
+        "listing_id", "snapshot_date", F.col("prediction").alias("estimated_market_price"))
+    scored = _predict(split, rep.BASE_KEYS).where(F.col("split") == "test")
+    cal = ev.interval_calibration(scored, "nightly_price")
+    models = ev.champion_choice(_metrics_long(split), rep.BASELINE_MODEL)
+    records = dec.decision_records(found, ranges, estimates, cal, models)
+    return req, records, comps
+
+
+@register("price_decisions", rep.PRICE_DECISIONS, DECISION_DOUBLES)
+def q_price_decisions(spark, d):
+    req, records, _ = _decisions(spark, d)
+    return req.select("request_id", "request_date", "status", "listing_id", "snapshot_date").join(
+        records, ["listing_id", "snapshot_date"], "left")
+
+
+@register("price_decision_payload")
+def q_price_decision_payload(spark, d):
+    """Nested form (rows-only check): comparables array, comparable median and JSON text."""
+    _, records, comps = _decisions(spark, d)
+    full = dec.attach_comparables(records, comps)
+    return full.join(dec.to_payload_json(full), ["listing_id", "snapshot_date"])
+
+
+@register("listing_browse", rep.LISTING_BROWSE, ["nightly_price", "rating_score", "latitude", "longitude"])
+def q_listing_browse(spark, d):
+    return dec.listing_browse(_model_input(spark, d), city="EUROPE")
+
+
+@register("serving_metadata", rep.SERVING_METADATA)
+def q_serving_metadata(spark, d):
+    return dec.serving_metadata(_feature_frame(spark, d))

@@ -20,10 +20,17 @@ def duckdb_connection(sf_dir: str):
     return con
 
 
+def _is_na(v) -> bool:
+    try:
+        return v is None or bool(pd.isna(v))
+    except (TypeError, ValueError):
+        return False
+
+
 def _norm(df: pd.DataFrame) -> pd.DataFrame:
     df = df[sorted(df.columns)].copy()
     for c in df.columns:
-        df[c] = df[c].map(lambda v: None if v is None or (isinstance(v, float) and v != v) else str(v))
+        df[c] = df[c].map(lambda v: None if _is_na(v) else str(v))
         df[c] = df[c].map(lambda v: v[:-2] if isinstance(v, str) and v.endswith(".0") else v)
         df[c] = df[c].map(lambda v: v[:-9] if isinstance(v, str) and v.endswith(" 00:00:00") else v)
     return df

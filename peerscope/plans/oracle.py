@@ -192,5 +192,5 @@ def rounded(sql: str, columns: list[str], digits: int = 6) -> str:
     """Wrap ``sql`` so the listed double columns are rounded (as the Spark side does)."""
     if not columns:
         return sql
-    rep = ", ".join(f"ROUND({c}, {digits}) AS {c}" for c in columns)
+    rep = ", ".join(f"ROUND(\"{c}\", {digits}) AS \"{c}\"" for c in columns)
     return f"SELECT * REPLACE ({rep}) FROM ({sql})"

@@ -92,3 +92,22 @@ def sparse_market_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     reach the city-pool widening and the summary rungs of the benchmark ladder."""
     m = market_frame(spark, sf_dir)
     return m.withColumn("period_label", F.date_format("snapshot_date", "yyyy-MM"))
+
+
+def neighbourhood_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference table of the binding: every (region, nation) with a group named by rule
+    ('ZONE_' + nation key div 5)."""
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
+        F.col("r_name").alias("city_name"),
+        F.col("n_name").alias("neighbourhood_name"),
+        F.concat(F.lit("ZONE_"), F.floor(F.col("n_nationkey") / 5).cast("string")).alias("neighbourhood_group_name"),
+    )
+
+
+def listing_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decision requests of the binding: every customer, no date (= latest snapshot)."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("listing_id"), F.lit(None).cast("date").alias("snapshot_date")
+    )
