@@ -373,3 +373,107 @@ def q_listing_browse(spark, d):
 @register("serving_metadata", rep.SERVING_METADATA)
 def q_serving_metadata(spark, d):
     return dec.serving_metadata(_feature_frame(spark, d))
+
+
+# ---------------------------------------------------------------- cleaning, profiling, validation
+from peerscope.functions import text as txt  # noqa: E402
+from peerscope.operators import cleaning as cl  # noqa: E402
+from peerscope.operators import profiling as prof  # noqa: E402
+from peerscope.operators import validation as val  # noqa: E402
+from peerscope.sources import files  # noqa: E402
+from peerscope.session import ensure_checkpoint_dir  # noqa: E402
+
+
+@register("coerce_types", rep.COERCE_TYPES, ["nightly_price", "rating_score", "latitude", "longitude"])
+def q_coerce_types(spark, d):
+    return cl.clean_listing_snapshot(testdata.raw_listing_export(market_frame(spark, d)))
+
+
+@register("slug", rep.SLUG)
+def q_slug(spark, d):
+    part = testdata.table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    out = txt.slug_columns(part, {"p_name": "name_slug", "p_brand": "brand_slug", "p_type": "type_slug"})
+    return out.select("p_partkey", "name_slug", "brand_slug", "type_slug")
+
+
+@register("clean_text")
+def q_clean_text(spark, d):
+    """STR1 over every whole document (rows-only: NFKC has no SQL equivalent)."""
+    docs = testdata.table(spark, d, "documents").select("doc_id", "text")
+    out = txt.normalize_columns(docs.withColumn("clean_text", F.col("text")), ["clean_text"])
+    return out.select("doc_id", "clean_text", F.length("clean_text").alias("clean_chars"))
+
+
+@register("canonical_json", rep.CANONICAL_JSON)
+def q_canonical_json(spark, d):
+    ev_ = testdata.table(spark, d, "events")
+    return ev_.select("event_id", txt.canonical_json(F.col("props")).alias("props_json"))
+
+
+@register("boundary_ids", rep.BOUNDARY_IDS)
+def q_boundary_ids(spark, d):
+    ref = testdata.neighbourhood_reference(spark, d)
+    return cl.clean_boundaries(testdata.boundary_features(spark, d), ref)
+
+
+@register("field_profile", rep.FIELD_PROFILE)
+def q_field_profile(spark, d):
+    return prof.field_profile(testdata.table(spark, d, "events"), order_by="event_id")
+
+
+@register("candidate_keys", rep.CANDIDATE_KEYS)
+def q_candidate_keys(spark, d):
+    return prof.candidate_keys(testdata.table(spark, d, "events"), [["event_id"], ["user_id", "event_type"]])
+
+
+@register("coverage", rep.COVERAGE)
+def q_coverage(spark, d):
+    return prof.coverage(market_frame(spark, d),
+                         {"cities": "city_name", "periods": "period_label", "snapshot_dates": "snapshot_date"})
+
+
+def _bound_city_summary(spark, d):
+    return city_period_summary(market_frame(spark, d))
+
+
+_MISSING_SUMMARY = None
+
+
+def _missing_summary_columns() -> list[str]:
+    have = {"city_name", "period_label", "dominant_neighbourhood", "neighbourhood_entropy", "dominant_room_type",
+            "room_type_entropy", *sql._stat_cols(sql.SUMMARY_METRICS_BOUND)}
+    return [f.name for f in cl.CITY_SUMMARY_CONTRACT.fields if f.name not in have]
+
+
+@register("validation_findings", rep.validation_sql(_missing_summary_columns()))
+def q_validation_findings(spark, d):
+    raw = testdata.market_frame(spark, d, dedupe=False)
+    listing = cut_lineage(cl.clean_listing_snapshot(testdata.raw_listing_export(raw)), "listing")
+    ref = testdata.neighbourhood_reference(spark, d)
+    tables = {
+        "listing_snapshot": (listing, cl.LISTING_CONTRACT),
+        "city_period_summary": (_bound_city_summary(spark, d), cl.CITY_SUMMARY_CONTRACT),
+        "neighbourhood_reference": (ref, cl.REFERENCE_CONTRACT),
+        "neighbourhood_boundary": (cl.clean_boundaries(testdata.boundary_features(spark, d), ref), cl.BOUNDARY_CONTRACT),
+    }
+    boundaries = tables["neighbourhood_boundary"][0]
+    return val.validate(tables).unionByName(val.cross_dataset_findings(boundaries, ref))
+
+
+@register("file_manifest")
+def q_file_manifest(spark, d):
+    """SRC7 over every table file of the fixture (rows-only: content hashes need the bytes)."""
+    return files.file_manifest(spark, d, "*.parquet")
+
+
+@register("sink_roundtrip", sql.rounded(sql.MARKET, []), ["nightly_price", "rating_score", "latitude", "longitude"])
+def q_sink_roundtrip(spark, d):
+    """SNK1 write (Parquet + CSV + manifest), then SRC6 read-back of the CSV with the contract."""
+    m = market_frame(spark, d)
+    root = ensure_checkpoint_dir(spark).rstrip("/") + "/peerscope/sink-" + __import__("uuid").uuid4().hex
+    files.write_processed(m, "market", root, ["orders", "customer", "nation", "region", "lineitem"],
+                          sort_keys=["listing_id", "snapshot_date"])
+    contract = cl.Contract("market", ("listing_id", "snapshot_date"), tuple(
+        cl.Field(f.name, {"bigint": "integer", "double": "float", "date": "date", "boolean": "boolean"}.get(
+            f.dataType.simpleString(), "string")) for f in m.schema.fields))
+    return files.read_csv_with_contract(spark, f"{root}/csv/market", contract)

@@ -330,3 +330,142 @@ ORDER BY city_name, period_label, listing_id, snapshot_date LIMIT 25"""
 SERVING_METADATA = f"""
 SELECT COUNT(*) AS row_count, STRING_AGG(DISTINCT city_name, '|' ORDER BY city_name) AS cities,
        STRING_AGG(DISTINCT period_label, '|' ORDER BY period_label) AS periods FROM ({FEATURE_FRAME})"""
+
+# ------------------------------------------------------------------ cleaning and profiling
+from peerscope.plans.oracle import MARKET as _MARKET  # noqa: E402
+
+COERCE_TYPES = f"""
+SELECT listing_id, NULL::BIGINT AS reviews_last_twelve_months, host_since, is_superhost,
+  NULL::BIGINT AS host_listing_count, neighbourhood_name, beds_count, bedrooms_count, room_type, accommodates_count,
+  nightly_price, NULL::BIGINT AS total_reviews, rating_score, NULL::DOUBLE AS accuracy_score,
+  NULL::DOUBLE AS cleanliness_score, NULL::DOUBLE AS checkin_score, NULL::DOUBLE AS communication_score,
+  NULL::DOUBLE AS location_score, NULL::DOUBLE AS value_score, NULL::DOUBLE AS reviews_per_month, city_name,
+  period_label, NULL::DOUBLE AS bathrooms_count, NULL::VARCHAR AS bathroom_type, latitude, longitude, snapshot_date
+FROM ({_MARKET})"""
+
+
+def ascii_slug_sql(x: str) -> str:
+    s = f"TRIM(REGEXP_REPLACE(LOWER(TRIM({x})), '[^a-z0-9]+', '_', 'g'), '_')"
+    return f"(CASE WHEN {x} IS NULL OR {s} = '' THEN 'unknown' ELSE {s} END)"
+
+
+SLUG = f"""
+SELECT p_partkey, {ascii_slug_sql('p_name')} AS name_slug, {ascii_slug_sql('p_brand')} AS brand_slug,
+       {ascii_slug_sql('p_type')} AS type_slug FROM part"""
+
+CANONICAL_JSON = "SELECT event_id, CAST(json(props) AS VARCHAR) AS props_json FROM events"
+
+BOUNDARY_IDS = f"""
+WITH f AS (SELECT CAST(n_nationkey AS BIGINT) AS raw_feature_index, n_name AS neighbourhood_name FROM nation),
+j AS (SELECT f.*, r.city_name, r.neighbourhood_group_name FROM f LEFT JOIN ({REFERENCE}) r USING (neighbourhood_name)),
+s AS (SELECT *, CONCAT_WS('_', {ascii_slug_sql('city_name')}, {ascii_slug_sql('neighbourhood_name')},
+                 CASE WHEN neighbourhood_group_name IS NOT NULL THEN {ascii_slug_sql('neighbourhood_group_name')} END) AS slug
+      FROM j)
+SELECT slug || '_' || LPAD(CAST(ROW_NUMBER() OVER (PARTITION BY slug ORDER BY raw_feature_index) AS VARCHAR), 3, '0')
+         AS boundary_id, city_name, neighbourhood_name, neighbourhood_group_name,
+       NULL::VARCHAR AS geometry_type, NULL::VARCHAR AS geometry
+FROM s"""
+
+_EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+_INT = r"^[+-]?[0-9](_?[0-9])*$"
+_FLOAT = (r"^[+-]?(([0-9](_?[0-9])*)?\.[0-9](_?[0-9])*|[0-9](_?[0-9])*\.?)([eE][+-]?[0-9](_?[0-9])*)?$"
+          r"|^[+-]?(?i:nan|inf|infinity)$")
+
+
+def _typ(t: str) -> str:
+    return (f"CASE WHEN {t} IS NULL OR {t} = '' THEN 'empty' WHEN REGEXP_MATCHES({t}, '{_INT}') THEN 'integer' "
+            f"WHEN REGEXP_MATCHES({t}, '{_FLOAT}') THEN 'float' "
+            f"WHEN REGEXP_MATCHES({t}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') AND TRY_STRPTIME({t}, '%Y-%m-%d') IS NOT NULL "
+            f"THEN 'date' ELSE 'string' END")
+
+
+FIELD_PROFILE = f"""
+WITH long AS (
+  {" UNION ALL ".join(f"SELECT event_id AS _ord, '{c}' AS field, TRIM(CAST({c} AS VARCHAR)) AS text FROM events" for c in _EVENT_COLS)}),
+typed AS (SELECT *, {_typ('text')} AS typ FROM long),
+stats AS (SELECT field, COUNT(*) FILTER (WHERE text IS NOT NULL AND text <> '') AS non_empty_count,
+                 COUNT(*) FILTER (WHERE text IS NULL OR text = '') AS null_count,
+                 BOOL_OR(typ = 'integer') AS i, BOOL_OR(typ = 'float') AS f, BOOL_OR(typ = 'date') AS d,
+                 BOOL_OR(typ = 'string') AS s,
+                 COUNT(DISTINCT CASE WHEN text <> '' THEN text END) AS n_distinct
+          FROM typed GROUP BY field),
+firsts AS (SELECT field, text, MIN(_ord) AS first FROM long WHERE text IS NOT NULL AND text <> '' GROUP BY field, text),
+samples AS (SELECT field, STRING_AGG(text, '|' ORDER BY first, text) AS sample_values FROM (
+              SELECT *, ROW_NUMBER() OVER (PARTITION BY field ORDER BY first, text) AS rk FROM firsts) WHERE rk <= 5
+            GROUP BY field),
+inf AS (SELECT *, CASE WHEN NOT (i OR f OR d OR s) THEN 'string' WHEN i AND NOT (f OR d OR s) THEN 'integer'
+                       WHEN (i OR f) AND NOT (d OR s) THEN 'float' WHEN d AND NOT (i OR f OR s) THEN 'date'
+                       ELSE 'string' END AS inferred_type FROM stats)
+SELECT field, inferred_type, null_count > 0 AS nullable, non_empty_count, null_count,
+       COALESCE(sample_values, '') AS sample_values,
+       (inferred_type = 'string' AND n_distinct <= 20) AS likely_categorical,
+       LEAST(n_distinct, 20) AS unique_values_observed, n_distinct > 20 AS unique_values_truncated
+FROM inf LEFT JOIN samples USING (field)"""
+
+CANDIDATE_KEYS = """
+SELECT 'event_id' AS columns, COUNT(*) - COUNT(DISTINCT COALESCE(TRIM(CAST(event_id AS VARCHAR)), '')) AS duplicate_key_count,
+       COUNT(*) - COUNT(DISTINCT COALESCE(TRIM(CAST(event_id AS VARCHAR)), '')) = 0 AS is_unique FROM events
+UNION ALL
+SELECT 'user_id,event_type', COUNT(*) - COUNT(DISTINCT ROW(COALESCE(TRIM(CAST(user_id AS VARCHAR)), ''),
+       COALESCE(TRIM(event_type), ''))), COUNT(*) - COUNT(DISTINCT ROW(COALESCE(TRIM(CAST(user_id AS VARCHAR)), ''),
+       COALESCE(TRIM(event_type), ''))) = 0 FROM events"""
+
+COVERAGE = f"""
+SELECT STRING_AGG(DISTINCT city_name, '|' ORDER BY city_name) AS cities,
+       STRING_AGG(DISTINCT period_label, '|' ORDER BY period_label) AS periods,
+       STRING_AGG(DISTINCT CAST(snapshot_date AS VARCHAR), '|' ORDER BY CAST(snapshot_date AS VARCHAR)) AS snapshot_dates
+FROM ({_MARKET})"""
+
+# ------------------------------------------------------------------------------- validation
+RAW_MARKET = _MARKET.replace(") WHERE rn = 1", ")")
+_CITIES = "('Firenze', 'Milano', 'Napoli', 'Roma', 'Venezia')"
+_PERIODS = "('Early Spring', 'Early Summer', 'Early Autumn', 'Early Winter')"
+
+
+def _label_finding(dataset: str, source: str, column: str, vocab: str, check: str, what: str) -> str:
+    bad = f"STRING_AGG(DISTINCT {column}, ', ' ORDER BY {column}) FILTER (WHERE {column} NOT IN {vocab})"
+    return (f"SELECT '{dataset}' AS dataset, '{check}' AS check_name, 'error' AS severity, "
+            f"'Unexpected {what} found: ' || b || '.' AS message FROM (SELECT {bad} AS b FROM ({source})) WHERE b IS NOT NULL")
+
+
+def _null_finding(dataset: str, source: str, column: str) -> str:
+    return (f"SELECT '{dataset}', 'non_nullable_fields', 'error', 'Field `{column}` contains `' || CAST(n AS VARCHAR) || "
+            f"'` null values but is non-nullable.' FROM (SELECT COUNT(*) FILTER (WHERE {column} IS NULL) AS n "
+            f"FROM ({source})) WHERE n > 0")
+
+
+def _pk_finding(dataset: str, source: str, pk: list[str]) -> str:
+    k = ", ".join(pk)
+    return (f"SELECT '{dataset}', 'primary_key_uniqueness', 'error', 'Primary key `{k}` contains `' || CAST(d AS VARCHAR) "
+            f"|| '` duplicate rows.' FROM (SELECT COALESCE(SUM(n - 1), 0) AS d FROM (SELECT COUNT(*) AS n FROM ({source}) "
+            f"GROUP BY {k})) WHERE d > 0")
+
+
+def validation_sql(missing_summary_columns: list[str]) -> str:
+    listing = RAW_MARKET
+    parts = [
+        *[_null_finding("listing_snapshot", listing, c) for c in ("listing_id", "city_name", "period_label", "snapshot_date")],
+        _pk_finding("listing_snapshot", listing, ["listing_id", "snapshot_date"]),
+        _label_finding("listing_snapshot", listing, "city_name", _CITIES, "canonical_city_labels", "city labels"),
+        _label_finding("listing_snapshot", listing, "period_label", _PERIODS, "canonical_period_labels", "period labels"),
+        f"SELECT 'listing_snapshot', 'positive_nightly_price', 'error', '`nightly_price` contains `' || CAST(n AS VARCHAR) "
+        f"|| '` non-positive values.' FROM (SELECT COUNT(*) FILTER (WHERE nightly_price <= 0) AS n FROM ({listing})) WHERE n > 0",
+        f"SELECT 'listing_snapshot', 'coordinate_bounds', 'error', '`latitude` or `longitude` is out of bounds in `' || "
+        f"CAST(n AS VARCHAR) || '` rows.' FROM (SELECT COUNT(*) FILTER (WHERE latitude < -90 OR latitude > 90 OR "
+        f"longitude < -180 OR longitude > 180) AS n FROM ({listing})) WHERE n > 0",
+        f"SELECT 'listing_snapshot', 'rating_bounds', 'error', '`rating_score` is outside the expected range [0, 5] in `' "
+        f"|| CAST(n AS VARCHAR) || '` rows.' FROM (SELECT COUNT(*) FILTER (WHERE rating_score < 0 OR rating_score > 5) AS n "
+        f"FROM ({listing})) WHERE n > 0",
+        f"SELECT 'city_period_summary', 'missing_contract_columns', 'error', "
+        f"'Missing required columns: {', '.join(missing_summary_columns)}.'",
+        _label_finding("city_period_summary", f"SELECT DISTINCT city_name, period_label FROM ({_MARKET})", "city_name",
+                       _CITIES, "canonical_city_labels", "city labels"),
+        _label_finding("city_period_summary", f"SELECT DISTINCT city_name, period_label FROM ({_MARKET})",
+                       "period_label", _PERIODS, "canonical_period_labels", "period labels"),
+        _null_finding("neighbourhood_boundary", "SELECT NULL::VARCHAR AS geometry_type FROM nation", "geometry_type"),
+        _null_finding("neighbourhood_boundary", "SELECT NULL::VARCHAR AS geometry FROM nation", "geometry"),
+        _label_finding("neighbourhood_boundary", f"SELECT city_name FROM nation n LEFT JOIN ({REFERENCE}) r "
+                       f"ON r.neighbourhood_name = n.n_name", "city_name", _CITIES, "canonical_city_labels", "city labels"),
+    ]
+    body = " UNION ALL ".join(f"({p})" for p in parts)
+    return f"SELECT * FROM ({body}) AS t(dataset, check_name, severity, message)"

@@ -37,7 +37,7 @@ def _period_label(quarter: Column) -> Column:
     return expr
 
 
-def market_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+def market_frame(spark: SparkSession, sf_dir: str, dedupe: bool = True) -> DataFrame:
     """Listing-role view of orders x customer x nation x region (+ line-item aggregates)."""
     li = (
         table(spark, sf_dir, "lineitem")
@@ -82,6 +82,8 @@ def market_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         (((custkey * 7) % 3600).cast("double") / 10000 + 9).alias("longitude"),
         F.date_add(F.lit("1994-06-01").cast("date"), (custkey % 1500).cast("int")).alias("host_since"),
     )
+    if not dedupe:
+        return bound
     # One row per (listing, snapshot): keep the smallest order key (keep-first dedupe).
     w = Window.partitionBy("listing_id", "snapshot_date").orderBy("row_key")
     return bound.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
@@ -111,3 +113,34 @@ def listing_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("listing_id"), F.lit(None).cast("date").alias("snapshot_date")
     )
+
+
+# Raw header names of the listing export, for the columns the binding provides.
+RAW_HEADERS = {
+    "listing_id": "Listings id", "snapshot_date": "Date of scraping", "city_name": "City",
+    "period_label": "Season", "neighbourhood_name": "Neighbourhood", "room_type": "Property type",
+    "nightly_price": "Price", "accommodates_count": "Maximum allowed guests", "beds_count": "Beds number",
+    "bedrooms_count": "Bedrooms number", "rating_score": "Rating score", "host_since": "Host since",
+}
+
+
+def raw_listing_export(market: DataFrame) -> DataFrame:
+    """The bound listings as a raw all-text export (raw headers, 'lat, lon' coordinates,
+    superhost as text), the input of the listing cleaner."""
+    cols = [F.col(c).cast("string").alias(h) for c, h in RAW_HEADERS.items()]
+    cols.append(F.when(F.col("is_superhost"), F.lit("Superhost")).when(~F.col("is_superhost"), F.lit("Host"))
+                .alias("Host is superhost"))
+    cols.append(F.concat(F.col("latitude").cast("string"), F.lit(", "), F.col("longitude").cast("string"))
+                .alias("Coordinates"))
+    return market.select(*cols)
+
+
+def boundary_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boundary features of the binding: one per nation, in nation-key order, no own group."""
+    return table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("bigint").alias("raw_feature_index"),
+        F.col("n_name").alias("neighbourhood"),
+        F.lit(None).cast("string").alias("neighbourhood_group"),
+        F.lit(None).cast("string").alias("geometry_type"),
+        F.lit(None).cast("string").alias("geometry"),
+    )
