@@ -477,3 +477,85 @@ def q_sink_roundtrip(spark, d):
         cl.Field(f.name, {"bigint": "integer", "double": "float", "date": "date", "boolean": "boolean"}.get(
             f.dataType.simpleString(), "string")) for f in m.schema.fields))
     return files.read_csv_with_contract(spark, f"{root}/csv/market", contract)
+
+
+# ---------------------------------------------------------------- modelling (rows-only checks)
+from peerscope.operators import modeling as mdl  # noqa: E402
+
+NUMERIC = ["accommodates_count", "beds_count", "bedrooms_count", "rating_score", "latitude", "longitude",
+           "host_tenure_days", "distance_to_city_center_km", "distance_to_neighbourhood_center_km"]
+CATEGORICAL = ["room_type", "is_superhost", "season_peak_flag", "season_shoulder_flag", "venezia_group_name"]
+RICH = ["city_name", "period_label", "neighbourhood_name"]
+
+
+def _splits(spark, d):
+    s = cut_lineage(ev.group_split(_feature_frame(spark, d)), "split")
+    problems = ev.leakage_findings(NUMERIC + CATEGORICAL)  # MLT11 guard
+    if problems:
+        raise ValueError("; ".join(problems))
+    return s.where("split = 'train'"), s.where("split = 'validation'"), s.where("split = 'test'")
+
+
+def _linear(spark, d):
+    train, _, test = _splits(spark, d)
+    return mdl.fit_linear(train, "nightly_price", NUMERIC, CATEGORICAL), test
+
+
+@register("linear_model")
+def q_linear_model(spark, d):
+    m, test = _linear(spark, d)
+    return mdl.evaluation_record(m.name, m.predict(test), "nightly_price")
+
+
+@register("tree_model")
+def q_tree_model(spark, d):
+    train, _, test = _splits(spark, d)
+    m = mdl.fit_boosting(train, "nightly_price", NUMERIC, CATEGORICAL)
+    return mdl.evaluation_record(m.name, m.predict(test), "nightly_price")
+
+
+@register("categorical_model")
+def q_categorical_model(spark, d):
+    train, _, test = _splits(spark, d)
+    m = mdl.fit_boosting(train, "nightly_price", NUMERIC, CATEGORICAL + RICH, mdl.BASE_CANDIDATES[0],
+                         encode="target", name="catboost_challenger")
+    return mdl.evaluation_record(m.name, m.predict(test), "nightly_price")
+
+
+@register("tuned_model")
+def q_tuned_model(spark, d):
+    """MLT5: search the candidate grid on validation, refit the winner on train+validation
+    (SET1), report the search table and the refit model's test metrics."""
+    train, valid, test = _splits(spark, d)
+    best, table = mdl.validation_search(train, valid, "nightly_price", NUMERIC, CATEGORICAL)
+    refit = mdl.fit_boosting(ev.refit_rows(train.unionByName(valid)), "nightly_price", NUMERIC, CATEGORICAL, best,
+                             encode="target", name="catboost_tuned")
+    met = ev.model_metrics(refit.predict(test), "nightly_price").select(
+        F.col("mae").alias("test_mae"), F.col("rmse").alias("test_rmse"))
+    return table.withColumn("_one", F.lit(0)).join(met.withColumn("_one", F.lit(0)), "_one").drop("_one")
+
+
+@register("permutation_importance")
+def q_permutation_importance(spark, d):
+    m, test = _linear(spark, d)
+    sample = mdl.sample_rows(test, mdl.IMPORTANCE_SAMPLE_SIZE, ["listing_id", "snapshot_date"])
+    return mdl.permutation_importance(m, sample, "nightly_price", NUMERIC + CATEGORICAL)
+
+
+@register("local_explanation")
+def q_local_explanation(spark, d):
+    m, test = _linear(spark, d)
+    return mdl.local_explanations(m, test, ["listing_id", "snapshot_date"], NUMERIC, CATEGORICAL,
+                                  zone_city=rep.ZONE_CITY)
+
+
+@register("model_bundle")
+def q_model_bundle(spark, d):
+    """MLT12: save the linear model and its calibration/metric metadata; read the metadata back."""
+    m, test = _linear(spark, d)
+    scored = m.predict(test)
+    meta = ev.interval_calibration(scored, "nightly_price").withColumn("_one", F.lit(0)).join(
+        ev.model_metrics(scored, "nightly_price").withColumn("_one", F.lit(0)), "_one").drop("_one").select(
+        F.lit(m.name).alias("model_name"), F.lit(",".join(m.features)).alias("feature_columns"), "*")
+    path = ensure_checkpoint_dir(spark).rstrip("/") + "/peerscope/bundle-" + __import__("uuid").uuid4().hex
+    return mdl.save_bundle(m, path, meta)
