@@ -1,9 +1,8 @@
 """Descriptive summaries behind the EDA charts (AGG2-AGG14, TOP2, MTH3, MTH4, SRT2, STR8, SET2).
 
-Every summary is one grouped aggregation (plus, for the histogram and box plot, one
-global aggregate).  Global exact quantiles are computed by ``percentile``, whose state is
-a value->count map (memory grows with the number of distinct prices); ``approx=True``
-switches to ``percentile_approx`` for very large inputs.
+Counts are one grouped aggregation; medians and quantiles are exact and distributed
+(:mod:`peerscope.operators.quantiles`), so no task holds a whole (hot) group or the whole
+column.  ``approx=True`` switches the global quantiles to ``percentile_approx``.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from peerscope.operators.quantiles import exact_median, exact_quantiles
 from peerscope.roles import Roles
 
 # Display orders of the reference's charts.
@@ -63,19 +63,23 @@ def room_type_share(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
 
 
 def median_price_by(df: DataFrame, keys: list[str], roles: Roles = Roles()) -> DataFrame:
+    """Median price per group; groups whose prices are all NULL keep a NULL median."""
     g = df
     for k in keys:
         g = g.where(F.col(k).isNotNull())
-    return g.groupBy(*keys).agg(F.median(roles.price).alias("median_nightly_price"))
+    med = exact_median(g, roles.price, keys, "median_nightly_price")
+    return g.select(*keys).distinct().join(med, keys, "left")
 
 
 def median_price_by_city_and_period(df: DataFrame, roles: Roles = Roles(), periods: list[str] | None = None) -> DataFrame:
     """AGG6: one column per period (NULL where the city has no row in that period)."""
     values = periods or _period_values(df, roles, PERIOD_ORDER)
-    g = df.where(F.col(roles.city).isNotNull())
-    return g.groupBy(roles.city).agg(
-        *[F.median(F.when(F.col(roles.period) == v, F.col(roles.price))).alias(v) for v in values]
+    cells = median_price_by(df, [roles.city, roles.period], roles)
+    cities = df.where(F.col(roles.city).isNotNull()).select(roles.city).distinct()
+    wide = cells.groupBy(roles.city).agg(
+        *[F.max(F.when(F.col(roles.period) == v, F.col("median_nightly_price"))).alias(v) for v in values]
     )
+    return cities.join(wide, roles.city, "left")
 
 
 def capacity_band(capacity: Column) -> Column:
@@ -103,11 +107,11 @@ def neighbourhood_price_extremes(df: DataFrame, roles: Roles = Roles(), min_list
                                  top_n: int = 5, bottom_n: int = 5) -> DataFrame:
     """AGG9 + FLT4 + TOP2 + STR8 + SET2: the top and bottom neighbourhoods by median price."""
     r = roles
+    g = df.where(F.col(r.city).isNotNull() & F.col(r.neighbourhood).isNotNull())
+    rows = g.groupBy(r.city, r.neighbourhood).agg(F.count(r.entity).alias("listing_rows"))
     grouped = (
-        df.where(F.col(r.city).isNotNull() & F.col(r.neighbourhood).isNotNull())
-        .groupBy(r.city, r.neighbourhood)
-        .agg(F.count(r.entity).alias("listing_rows"), F.median(r.price).alias("median_nightly_price"))
-        .where(F.col("listing_rows") >= min_listing_rows)
+        rows.where(F.col("listing_rows") >= min_listing_rows)
+        .join(exact_median(g, r.price, [r.city, r.neighbourhood], "median_nightly_price"), [r.city, r.neighbourhood], "left")
         .withColumn("label", F.concat_ws("\n", r.city, r.neighbourhood))
     )
     top = grouped.orderBy(F.col("median_nightly_price").desc_nulls_last(), r.city, r.neighbourhood).limit(top_n)
@@ -117,8 +121,11 @@ def neighbourhood_price_extremes(df: DataFrame, roles: Roles = Roles(), min_list
     )
 
 
-def _quantile(col: str, q, approx: bool) -> Column:
-    return F.percentile_approx(col, q, 100000) if approx else F.percentile(col, q)
+def _global_quantiles(df: DataFrame, col: str, probs: list[float], approx: bool) -> DataFrame:
+    """One-row table with ``_q`` (array) and ``n``."""
+    if approx:
+        return df.agg(F.percentile_approx(col, probs, 100000).alias("_q"), F.count(col).alias("n"))
+    return exact_quantiles(df, col, probs, out="_q")
 
 
 def _with_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
@@ -133,7 +140,7 @@ def price_histogram(df: DataFrame, roles: Roles = Roles(), bins: int = HISTOGRAM
     are equal the range is widened to +/- 0.5 (as numpy does).
     """
     p = df.select(F.col(roles.price).cast("double").alias("x")).where(F.col("x").isNotNull())
-    cap = p.agg(_quantile("x", HISTOGRAM_CLIP_QUANTILE, approx).alias("cap"))
+    cap = _global_quantiles(p, "x", [HISTOGRAM_CLIP_QUANTILE], approx).select(F.col("_q")[0].alias("cap"))
     clipped = _with_stats(p, cap).select(F.least("x", "cap").alias("x"))
     rng = clipped.agg(F.min("x").alias("lo0"), F.max("x").alias("hi0")).select(
         F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
@@ -154,8 +161,9 @@ def price_histogram(df: DataFrame, roles: Roles = Roles(), bins: int = HISTOGRAM
 def price_boxplot(df: DataFrame, roles: Roles = Roles(), approx: bool = False) -> DataFrame:
     """AGG12: quartiles and whiskers clamped to the data range."""
     x = F.col(roles.price).cast("double")
-    q = df.where(x.isNotNull()).agg(
-        _quantile(roles.price, [0.25, 0.5, 0.75], approx).alias("_q"), F.min(x).alias("_min"), F.max(x).alias("_max")
+    q = _with_stats(
+        _global_quantiles(df, roles.price, [0.25, 0.5, 0.75], approx).select("_q"),
+        df.where(x.isNotNull()).agg(F.min(x).alias("_min"), F.max(x).alias("_max")),
     )
     q1, med, q3 = F.col("_q")[0], F.col("_q")[1], F.col("_q")[2]
     iqr = q3 - q1
@@ -177,12 +185,14 @@ def data_profile(df: DataFrame, roles: Roles = Roles(), approx: bool = False) ->
     and per period, from one scan with GROUPING SETS."""
     r = roles
     x = F.col(r.price).cast("double")
-    overall = df.agg(
+    counts = df.agg(
         F.count(F.lit(1)).cast("double").alias("row_count"),
-        F.countDistinct(r.entity).cast("double").alias("unique_listing_count"),
-        _quantile(r.price, [0.25, 0.5, 0.75], approx).alias("_q"),
         F.avg(x).alias("target_mean"),
-    ).select(
+    )
+    distinct_ids = df.select(r.entity).where(F.col(r.entity).isNotNull()).distinct().agg(
+        F.count(F.lit(1)).cast("double").alias("unique_listing_count"))
+    quart = _global_quantiles(df, r.price, [0.25, 0.5, 0.75], approx).select("_q")
+    overall = _with_stats(_with_stats(counts, distinct_ids), quart).select(
         F.explode(F.array(
             F.struct(F.lit("row_count").alias("metric"), F.col("row_count").alias("value")),
             F.struct(F.lit("unique_listing_count").alias("metric"), F.col("unique_listing_count").alias("value")),

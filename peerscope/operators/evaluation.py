@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.operators.benchmark import positioning_label
+from peerscope.operators.quantiles import exact_quantiles
 from peerscope.roles import Roles
 
 # Fixed values of the reference's training configuration.
@@ -94,7 +95,7 @@ def sliced_mae(scored: DataFrame, target: str, slices: list[str], prediction: st
 
 def price_bands(scored: DataFrame, target: str) -> DataFrame:
     """AGG34: terciles of the target; (lo, hi] bands with the first one closed."""
-    edges = scored.agg(F.percentile(target, [1.0 / 3.0, 2.0 / 3.0]).alias("_e"))
+    edges = exact_quantiles(scored, target, [1.0 / 3.0, 2.0 / 3.0], out="_e").select("_e")
     j = scored.withColumn("_one", F.lit(0)).join(F.broadcast(edges.withColumn("_one", F.lit(0))), "_one").drop("_one")
     x, e1, e2 = F.col(target), F.col("_e")[0], F.col("_e")[1]
     band = (
@@ -114,7 +115,7 @@ def interval_calibration(scored: DataFrame, target: str, prediction: str = "pred
     res = scored.select(F.col(target).cast("double").alias("_y"), F.col(prediction).cast("double").alias("_p")).withColumn(
         "_r", F.col("_y") - F.col("_p")
     )
-    q = res.agg(F.percentile("_r", [tail, 1.0 - tail]).alias("_q"))
+    q = exact_quantiles(res, "_r", [tail, 1.0 - tail], out="_q").select("_q")
     j = res.withColumn("_one", F.lit(0)).join(F.broadcast(q.withColumn("_one", F.lit(0))), "_one")
     inside = (F.col("_y") >= F.col("_p") + F.col("_q")[0]) & (F.col("_y") <= F.col("_p") + F.col("_q")[1])
     return j.groupBy(F.col("_q")).agg(F.avg(inside.cast("double")).alias("empirical_coverage_rate")).select(

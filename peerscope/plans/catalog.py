@@ -227,9 +227,11 @@ def _split_frame(spark, d):
 
 def _predict(split_frame: DataFrame, keys: list[str]) -> DataFrame:
     """Baseline predictor of the binding: train-split median price per group, else the train median."""
+    from peerscope.operators.quantiles import exact_median
+
     train = split_frame.where(F.col("split") == "train")
-    per_group = train.groupBy(*keys).agg(F.median("nightly_price").alias("_g"))
-    overall = train.agg(F.median("nightly_price").alias("_all"))
+    per_group = exact_median(train, "nightly_price", keys, "_g")
+    overall = exact_median(train, "nightly_price", None, "_all")
     j = split_frame.join(per_group, keys, "left")
     j = j.withColumn("_one", F.lit(0)).join(F.broadcast(overall.withColumn("_one", F.lit(0))), "_one").drop("_one")
     return j.withColumn("prediction", F.coalesce("_g", "_all")).drop("_g", "_all")
