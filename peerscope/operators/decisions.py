@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peerscope.functions.scalars import attach_one_row
 from peerscope.operators.benchmark import positioning_label
 from peerscope.roles import Roles
 
@@ -27,8 +28,8 @@ BROWSE_MAX_LIMIT = 100
 
 
 def _with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a one-row table to every row (broadcast equi-join on a constant key)."""
-    return df.withColumn("_one", F.lit(0)).join(F.broadcast(one_row.withColumn("_one", F.lit(0))), "_one", "left").drop("_one")
+    """Attach a one-row table to every row (scalar subquery, no join)."""
+    return attach_one_row(df, one_row)
 
 
 def model_estimate_interval(df: DataFrame, estimate: str, calibration: DataFrame | None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from peerscope.functions.scalars import attach_one_row
 from peerscope.operators.quantiles import exact_median, exact_quantiles
 from peerscope.roles import Roles
 
@@ -129,8 +130,8 @@ def _global_quantiles(df: DataFrame, col: str, probs: list[float], approx: bool)
 
 
 def _with_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach a one-row statistics table to every row (a broadcast equi-join on a constant key)."""
-    return df.withColumn("_one", F.lit(0)).join(F.broadcast(stats.withColumn("_one", F.lit(0))), "_one").drop("_one")
+    """Attach a one-row statistics table to every row (scalar subquery, no join)."""
+    return attach_one_row(df, stats)
 
 
 def price_histogram(df: DataFrame, roles: Roles = Roles(), bins: int = HISTOGRAM_BINS, approx: bool = False) -> DataFrame:

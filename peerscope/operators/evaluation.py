@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peerscope.functions.scalars import attach_one_row
 from peerscope.operators.benchmark import positioning_label
 from peerscope.operators.quantiles import exact_quantiles
 from peerscope.roles import Roles
@@ -96,7 +97,7 @@ def sliced_mae(scored: DataFrame, target: str, slices: list[str], prediction: st
 def price_bands(scored: DataFrame, target: str) -> DataFrame:
     """AGG34: terciles of the target; (lo, hi] bands with the first one closed."""
     edges = exact_quantiles(scored, target, [1.0 / 3.0, 2.0 / 3.0], out="_e").select("_e")
-    j = scored.withColumn("_one", F.lit(0)).join(F.broadcast(edges.withColumn("_one", F.lit(0))), "_one").drop("_one")
+    j = attach_one_row(scored, edges)
     x, e1, e2 = F.col(target), F.col("_e")[0], F.col("_e")[1]
     band = (
         F.when(x.isNull(), F.lit(None))
@@ -116,9 +117,10 @@ def interval_calibration(scored: DataFrame, target: str, prediction: str = "pred
         "_r", F.col("_y") - F.col("_p")
     )
     q = exact_quantiles(res, "_r", [tail, 1.0 - tail], out="_q").select("_q")
-    j = res.withColumn("_one", F.lit(0)).join(F.broadcast(q.withColumn("_one", F.lit(0))), "_one")
+    j = attach_one_row(res, q)
     inside = (F.col("_y") >= F.col("_p") + F.col("_q")[0]) & (F.col("_y") <= F.col("_p") + F.col("_q")[1])
-    return j.groupBy(F.col("_q")).agg(F.avg(inside.cast("double")).alias("empirical_coverage_rate")).select(
+    cover = j.agg(F.avg(inside.cast("double")).alias("empirical_coverage_rate"))
+    return attach_one_row(cover, q).select(
         F.lit(INTERVAL_SOURCE).alias("source"),
         F.lit(c).alias("confidence_level"),
         F.col("_q")[0].alias("lower_residual_quantile"),
@@ -194,8 +196,8 @@ def champion_choice(metrics: DataFrame, baseline: str, improvement: float = CHAM
 
 
 def _attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a one-row table to every row of ``df`` (equi-join on a constant key)."""
-    return df.withColumn("_one", F.lit(0)).join(F.broadcast(one_row.withColumn("_one", F.lit(0))), "_one").drop("_one")
+    """Attach a one-row table to every row of ``df`` (scalar subquery, no join)."""
+    return attach_one_row(df, one_row)
 
 
 def _one_row(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -25,38 +25,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from peerscope.functions.scalars import attach_one_row
+
 DEFAULT_BUCKETS = 64
 SKETCH_ACCURACY = 10000
 IN_TASK_LIMIT = 1_000_000
 
 
+def _by_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on the group keys; with no keys ``right`` is one row, attached as a scalar."""
+    return left.join(right, keys, how) if keys else attach_one_row(left, right)
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[str] | None = None,
                     buckets: int = DEFAULT_BUCKETS, out: str = "quantiles", method: str = "auto") -> DataFrame:
     """One row per group of ``keys`` (one row overall when empty): ``out`` is the array of
-    quantiles at ``probs`` (NULL elements when the group has no value), plus ``n``."""
+    quantiles at ``probs`` (NULL when the group has no value), plus ``n``."""
     keys = list(keys or [])
-    overall = not keys
-    if overall:  # one constant group: every join below stays an equi-join
-        df, keys = df.withColumn("_g", F.lit(0)), ["_g"]
     x = F.col(value).cast("double")
     vals = df.select(*keys, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
     for k in keys:
         vals = vals.where(F.col(k).isNotNull())
     if method == "auto":
-        biggest = vals.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        sizes = vals.groupBy(*keys).count() if keys else vals.agg(F.count(F.lit(1)).alias("count"))
+        biggest = sizes.agg(F.max("count")).first()[0] or 0
         method = "in_task" if biggest <= IN_TASK_LIMIT else "buckets"
     if method == "in_task":
-        res = vals.groupBy(*keys).agg(F.percentile("_x", [float(p) for p in probs]).alias(out), F.count(F.lit(1)).alias("n"))
-        if overall:
-            res = df.sparkSession.range(1).select(F.lit(0).alias("_g")).join(res, "_g", "left")
-            keys = []
-        return res.select(*keys, out, F.coalesce("n", F.lit(0)).alias("n"))
+        return vals.groupBy(*keys).agg(
+            F.percentile("_x", [float(p) for p in probs]).alias(out), F.count(F.lit(1)).alias("n"))
     cut_probs = [i / buckets for i in range(1, buckets)]
     cuts = vals.groupBy(*keys).agg(
         F.percentile_approx("_x", cut_probs, SKETCH_ACCURACY).alias("_cuts"), F.count(F.lit(1)).alias("n")
     )
     counted = (
-        vals.join(cuts.select(*keys, "_cuts"), keys)
+        _by_keys(vals, cuts.select(*keys, "_cuts"), keys)
         .withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col("_x"))))
         .groupBy(*keys, "_b", "_x")
         .agg(F.count(F.lit(1)).alias("_c"))
@@ -64,12 +66,17 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
     totals = counted.groupBy(*keys, "_b").agg(F.sum("_c").alias("_bn"))
     wk = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_bn").over(wk), F.lit(0)))
-    # Wanted ranks (0-based): floor((n-1)q) and the next one, per probability.
+    # Per group, the (at most ``buckets``) rank intervals as one small array.
+    intervals = offsets.groupBy(*keys).agg(F.collect_list(F.struct("_b", "_off", "_bn")).alias("_iv"))
+    # Wanted ranks (0-based): floor((n-1)q) and ceil((n-1)q), per probability.
     wanted = cuts.select(*keys, "n", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("_i", "_q"))
     wanted = wanted.withColumn("_pos", (F.col("n") - 1) * F.col("_q")).withColumn("_lo", F.floor("_pos").cast("long")) \
         .withColumn("_hi", F.ceil("_pos").cast("long"))
     ranks = wanted.select(*keys, "_i", F.explode(F.array("_lo", "_hi")).alias("_r")).distinct()
-    hits = ranks.join(offsets, keys).where((F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_bn")))
+    hit = F.try_element_at(F.filter("_iv", lambda e: (F.col("_r") >= e["_off"]) & (F.col("_r") < e["_off"] + e["_bn"])),
+                           F.lit(1))
+    hits = _by_keys(ranks, intervals, keys).select(*keys, "_i", "_r", hit["_b"].alias("_b"), hit["_off"].alias("_off")) \
+        .where(F.col("_b").isNotNull())
     need = hits.select(*keys, "_b", "_off").distinct()
     wv = Window.partitionBy(*keys, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = counted.join(need, [*keys, "_b"]).withColumn("_cum", F.col("_off") + F.sum("_c").over(wv))
@@ -85,12 +92,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
             (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
     )
     packed = res.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_s"))
-    out_df = cuts.select(*keys, "n").join(packed, keys, "left")
-    if overall:
-        # The overall row exists even without values (n = 0, NULL quantiles).
-        out_df = df.sparkSession.range(1).select(F.lit(0).alias("_g")).join(out_df, "_g", "left")
-        keys = []
-    return out_df.select(*keys, F.transform("_s", lambda s: s["_v"]).alias(out), F.coalesce("n", F.lit(0)).alias("n"))
+    out_df = _by_keys(cuts.select(*keys, "n"), packed, keys, "left")
+    values = F.when(F.size("_s") > 0, F.transform("_s", lambda e: e["_v"]))
+    return out_df.select(*keys, values.alias(out), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def exact_median(df: DataFrame, value: str, keys: list[str] | None = None, out: str = "median") -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peerscope.functions.scalars import attach_one_row
 from peerscope.operators.cleaning import Contract
 
 # Canonical vocabularies of the reference.
@@ -151,8 +152,7 @@ def cross_dataset_findings(boundaries: DataFrame, reference: DataFrame, limit: i
 
 def manifest_findings(df: DataFrame, contract: Contract, manifest: DataFrame) -> DataFrame:
     """AGG27: manifest name, row count and column list agree with the table."""
-    actual = df.agg(F.count(F.lit(1)).alias("_rows")).withColumn("_one", F.lit(0))
-    m = manifest.withColumn("_one", F.lit(0)).join(actual, "_one")
+    m = attach_one_row(manifest, df.agg(F.count(F.lit(1)).alias("_rows")))
     cols = "|".join(df.columns)
     return _explode_findings(m, [
         (F.col("dataset_name") != contract.name, _finding(contract.name, "manifest_dataset_name", F.concat(

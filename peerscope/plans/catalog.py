@@ -232,8 +232,9 @@ def _predict(split_frame: DataFrame, keys: list[str]) -> DataFrame:
     train = split_frame.where(F.col("split") == "train")
     per_group = exact_median(train, "nightly_price", keys, "_g")
     overall = exact_median(train, "nightly_price", None, "_all")
-    j = split_frame.join(per_group, keys, "left")
-    j = j.withColumn("_one", F.lit(0)).join(F.broadcast(overall.withColumn("_one", F.lit(0))), "_one").drop("_one")
+    from peerscope.functions.scalars import attach_one_row
+
+    j = attach_one_row(split_frame.join(per_group, keys, "left"), overall)
     return j.withColumn("prediction", F.coalesce("_g", "_all")).drop("_g", "_all")
 
 
@@ -534,7 +535,9 @@ def q_tuned_model(spark, d):
                              encode="target", name="catboost_tuned")
     met = ev.model_metrics(refit.predict(test), "nightly_price").select(
         F.col("mae").alias("test_mae"), F.col("rmse").alias("test_rmse"))
-    return table.withColumn("_one", F.lit(0)).join(met.withColumn("_one", F.lit(0)), "_one").drop("_one")
+    from peerscope.functions.scalars import attach_one_row
+
+    return attach_one_row(table, met)
 
 
 @register("permutation_importance")
@@ -556,8 +559,9 @@ def q_model_bundle(spark, d):
     """MLT12: save the linear model and its calibration/metric metadata; read the metadata back."""
     m, test = _linear(spark, d)
     scored = m.predict(test)
-    meta = ev.interval_calibration(scored, "nightly_price").withColumn("_one", F.lit(0)).join(
-        ev.model_metrics(scored, "nightly_price").withColumn("_one", F.lit(0)), "_one").drop("_one").select(
+    from peerscope.functions.scalars import attach_one_row
+
+    meta = attach_one_row(ev.interval_calibration(scored, "nightly_price"), ev.model_metrics(scored, "nightly_price")).select(
         F.lit(m.name).alias("model_name"), F.lit(",".join(m.features)).alias("feature_columns"), "*")
     path = ensure_checkpoint_dir(spark).rstrip("/") + "/peerscope/bundle-" + __import__("uuid").uuid4().hex
     return mdl.save_bundle(m, path, meta)
