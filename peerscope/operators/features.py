@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from peerscope.functions.geo import haversine_km
-from peerscope.operators.quantiles import exact_median
+from peerscope.operators.quantiles import choose_method, exact_median
 from peerscope.roles import Roles
 
 # Fixed values of the feature registry (names and order as in the reference contracts).
@@ -101,8 +101,9 @@ def centroids(frame: DataFrame, keys: list[str], roles: Roles = Roles()) -> Data
     g = frame
     for k in keys:
         g = g.where(F.col(k).isNotNull())
-    lat = exact_median(g, roles.latitude, keys, "centroid_latitude")
-    lon = exact_median(g, roles.longitude, keys, "centroid_longitude")
+    method = choose_method(g, roles.latitude, keys)
+    lat = exact_median(g, roles.latitude, keys, "centroid_latitude", method)
+    lon = exact_median(g, roles.longitude, keys, "centroid_longitude", method)
     return g.select(*keys).distinct().join(lat, keys, "left").join(lon, keys, "left")
 
 

@@ -32,6 +32,18 @@ SKETCH_ACCURACY = 10000
 IN_TASK_LIMIT = 1_000_000
 
 
+def choose_method(df: DataFrame, value: str, keys: list[str] | None = None) -> str:
+    """'in_task' when the largest group (non-NULL values) fits ``IN_TASK_LIMIT``, else 'buckets'.
+
+    One small aggregate; share its answer between quantile passes over the same groups.
+    """
+    keys = list(keys or [])
+    vals = df.where(F.col(value).isNotNull())
+    sizes = vals.groupBy(*keys).count() if keys else vals.agg(F.count(F.lit(1)).alias("count"))
+    biggest = sizes.agg(F.max("count")).first()[0] or 0
+    return "in_task" if biggest <= IN_TASK_LIMIT else "buckets"
+
+
 def _by_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on the group keys; with no keys ``right`` is one row, attached as a scalar."""
     return left.join(right, keys, how) if keys else attach_one_row(left, right)
@@ -47,9 +59,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
     for k in keys:
         vals = vals.where(F.col(k).isNotNull())
     if method == "auto":
-        sizes = vals.groupBy(*keys).count() if keys else vals.agg(F.count(F.lit(1)).alias("count"))
-        biggest = sizes.agg(F.max("count")).first()[0] or 0
-        method = "in_task" if biggest <= IN_TASK_LIMIT else "buckets"
+        method = choose_method(vals, "_x", keys)
     if method == "in_task":
         return vals.groupBy(*keys).agg(
             F.percentile("_x", [float(p) for p in probs]).alias(out), F.count(F.lit(1)).alias("n"))
@@ -97,6 +107,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
     return out_df.select(*keys, values.alias(out), F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def exact_median(df: DataFrame, value: str, keys: list[str] | None = None, out: str = "median") -> DataFrame:
-    q = exact_quantiles(df, value, [0.5], keys, out="_q")
+def exact_median(df: DataFrame, value: str, keys: list[str] | None = None, out: str = "median",
+                 method: str = "auto") -> DataFrame:
+    q = exact_quantiles(df, value, [0.5], keys, out="_q", method=method)
     return q.select(*(keys or []), F.col("_q")[0].alias(out))
