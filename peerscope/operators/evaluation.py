@@ -44,6 +44,13 @@ def group_split(frame: DataFrame, roles: Roles = Roles(), seed: int = RANDOM_STA
     )
 
 
+def restrict_to(frame: DataFrame, entities: DataFrame, roles: Roles = Roles()) -> DataFrame:
+    """JON10: rows of ``frame`` whose entity appears in ``entities`` (a left semi join; the
+    entity list is never collected)."""
+    ids = entities.select(F.col(roles.entity)).where(F.col(roles.entity).isNotNull())
+    return frame.join(ids, roles.entity, "left_semi")
+
+
 def refit_rows(split_frame: DataFrame) -> DataFrame:
     """SET1: train and validation rows together, for the final refit."""
     return split_frame.where(F.col("split") == "train").unionByName(split_frame.where(F.col("split") == "validation"))

@@ -31,3 +31,9 @@ def test_group_split_isolates_listings(spark):
 def test_leakage_guard():
     assert ev.leakage_findings(["rating_score", "city_nightly_price_median"]) == [
         "Feature `city_nightly_price_median` contains forbidden substring `nightly_price_median`."]
+
+
+def test_restrict_to_semi_join(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (3, "d")], "listing_id long, v string")
+    ids = spark.createDataFrame([(1,), (3,), (3,), (None,)], "listing_id long")
+    assert sorted(r.v for r in ev.restrict_to(df, ids).collect()) == ["a", "b", "d"]
