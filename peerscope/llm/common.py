@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,20 @@ from peerscope.session import cut_lineage
 CHUNK_BYTES = 1 << 20
 
 
+class Shared:
+    """A broadcast object whose class may live in this package (pickled by value, loaded once per
+    Python worker).  Only for objects of a fixed size bound; ``value`` reads it inside tasks."""
+
+    def __init__(self, spark: SparkSession, thing) -> None:
+        self.data = spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+
+    @property
+    def value(self):
+        if not hasattr(self.data, "thing"):
+            self.data.thing = pickle.loads(self.data.value)
+        return self.data.thing
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

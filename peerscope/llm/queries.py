@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from peerscope.llm import bpe, chat, tokencounts
+from peerscope.llm import bpe, chat, decontaminate, tokencounts, toxicity, warc
+from peerscope.llm import oracles as sql
 from peerscope.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +31,27 @@ def op2_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.suffix_sums(tokencounts.length_histogram(docs, bpe.token_count("token_ids")))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.contamination(decontaminate.build_index(docs), items)
+    return found.select(
+        F.col("key").alias("doc_id"), "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_summary(table(spark, sf_dir, "pages"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.scored_documents(docs, table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.round_trip(docs, bpe.load(spark, WORD_BPE))
@@ -37,6 +60,13 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_length_histogram": op2_length_histogram,
+    "op3_decontaminate": op3_decontaminate,
+    "op6_warc": op6_warc,
+    "op9_toxicity": op9_toxicity,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_chat_format": sql.CHAT,
+    "op3_decontaminate": sql.CONTAMINATION,
+    "op6_warc": sql.WARC,
+}
