@@ -190,3 +190,26 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     return nodes.join(e.select(F.col("a").alias("node"), F.col("b").alias("m")), "node", "left").groupBy("node").agg(
         F.least("node", F.min("m")).alias("component")
     )
+
+
+def sorted_groups(batches, key: list[str]):
+    """Tables of equal ``key`` from batches that are sorted by it; only the current group is held."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [np.asarray(batch.column(k)) for k in key]
+        change = np.zeros(batch.num_rows, bool)
+        for c in cols:
+            change[1:] |= c[1:] != c[:-1]
+        cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            here = tuple(c[a] for c in cols)
+            if held and here != last:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = here
+    if held:
+        yield last, pa.Table.from_batches(held)

@@ -58,3 +58,32 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hits USING (u) LEFT JOIN its USING (u)
 """
+
+_COMPONENTS = """
+reach(a, b) AS (
+  SELECT id, id FROM nodes
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+),
+comp AS (SELECT a AS id, min(b) AS component_id FROM reach GROUP BY a)
+"""
+
+CAP_LINKS = f"""
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS u, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+),
+ok AS (
+  SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+),
+pairs AS (
+  SELECT p.u AS pu, p.vec_id AS a, q.vec_id AS b FROM ok p JOIN ok q
+    ON p.u <> q.u AND len(p.e) = len(q.e) AND list_cosine_similarity(p.e, q.e) >= 0.95
+),
+links AS (SELECT DISTINCT a, b FROM pairs),
+nodes AS (SELECT DISTINCT vec_id AS id FROM v),
+{_COMPONENTS},
+n AS (SELECT pu, count(*) AS k FROM pairs GROUP BY pu)
+SELECT v.vec_id, coalesce(n.k, 0) AS n_links, comp.component_id, v.vec_id = comp.component_id AS kept
+FROM v JOIN comp ON v.vec_id = comp.id LEFT JOIN n ON n.pu = v.u
+"""

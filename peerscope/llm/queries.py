@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm import bpe, chat, decontaminate, tokencounts, toxicity, warc
+from peerscope.llm import bpe, capfilters, chat, decontaminate, tokencounts, toxicity, warc
 from peerscope.llm import oracles as sql
 from peerscope.llm.common import table
 
@@ -40,6 +40,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capfilters.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_summary(table(spark, sf_dir, "pages"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_length_histogram": op2_length_histogram,
     "op3_decontaminate": op3_decontaminate,
+    "op4_cap_filters": op4_cap_filters,
     "op6_warc": op6_warc,
     "op9_toxicity": op9_toxicity,
     "op10_bpe_round_trip": op10_bpe_round_trip,
@@ -68,5 +73,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_chat_format": sql.CHAT,
     "op3_decontaminate": sql.CONTAMINATION,
+    "op4_cap_filters": sql.CAP_LINKS,
     "op6_warc": sql.WARC,
 }
