@@ -6,9 +6,8 @@ boundary is deleted and the two neighbouring ranks are looked up anew, until no
 rank.  Words longer than ``SCAN_LIMIT`` symbols use a heap over the same arrays (same merge order),
 since repeated scans of a long array are quadratic.
 
-Texts are cut at white space first (no piece of the vocabulary's pattern crosses it), and each
-distinct run of non-space is encoded once per task process; the memo is emptied when it holds
-``MEMO_ENTRIES`` runs, so its memory is bounded.
+The pieces of a text are memoised per task process in two generations of ``MEMO_ENTRIES`` entries: a
+full one becomes the old one, so common words stay and memory is bounded.
 
 Defined results: null and empty texts have no tokens (empty ids, empty decoded text); other columns
 of the input pass through unless they have the name of an output column, which is replaced.
@@ -19,22 +18,24 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import sys
 import unicodedata
 from array import array
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peerscope.llm.common import Shared
+
 #: Symbols up to which a word is merged by scanning the rank array.
 SCAN_LIMIT = 96
-#: Distinct runs memoised per task process.
+#: Entries of one memo generation.
 MEMO_ENTRIES = 400_000
 NO_RANK = 1 << 30
 #: White space of the vocabulary's pattern (Unicode White_Space).
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def byte_symbols() -> list[str]:
@@ -47,6 +48,21 @@ def byte_symbols() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+def packed(ids) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+def unpacked(ids: bytes) -> array:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out
+
+
 class WordBPE:
     """A word-level BPE vocabulary: normalise, cut, merge by rank, and back from ids to text."""
 
@@ -64,14 +80,15 @@ class WordBPE:
         symbols = byte_symbols()
         self.inner = [vocab.get(s) for s in symbols]
         self.last = [vocab.get(s + self.suffix) for s in symbols]
-        self.memo: dict[str, bytes] = {}
         self._patterns()
 
     def _patterns(self) -> None:
-        self.piece = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-        self.ascii_piece = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-        self.gap = re.compile(f"[{SPACE}]+")
-        self.odd_space = re.compile("[\x1c-\x1f]")
+        # ids of the pieces met lately, and what was held before that was full
+        self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        # the alternatives begin with different characters, so the commonest may come first
+        self.piece = regex.compile(rf"\p{{L}}+|'s|'t|'re|'ve|'m|'ll|'d|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+")
+        self.ascii_piece = re.compile(r"[a-z]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^a-z0-9 \t-\r]+")
         specials = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
 
@@ -81,7 +98,6 @@ class WordBPE:
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
-        self.memo = {}
         self._patterns()
 
     def merge(self, ids: list[int]) -> list[int]:
@@ -131,35 +147,36 @@ class WordBPE:
                 heapq.heappush(heap, (f[0], h, ids[h], new, f[1]))
         return [x for x, live in zip(ids, alive, strict=True) if live]
 
-    def run_ids(self, run: str) -> bytes:
-        """Ids (little-endian unsigned 32-bit) of a run without white space."""
-        if run.isascii():
-            pieces = self.ascii_piece.findall(run.lower())
-        else:
-            run = unicodedata.normalize("NFC", run)
-            # a capital sigma is lowered by itself, without regard to its place in the word
-            run = "".join(c.lower() for c in run) if "Σ" in run else run.lower()
-            pieces = self.piece.findall(run)
-        out: list[int] = []
-        inner, last = self.inner, self.last
-        for piece in pieces:
-            raw = piece.encode("utf-8", "surrogatepass")
-            ids = [inner[b] for b in raw[:-1]]
-            ids.append(last[raw[-1]])
-            out += self.merge([i for i in ids if i is not None])
-        return np.array(out, "<u4").tobytes()
+    def piece_ids(self, piece: str) -> bytes:
+        """Ids (little-endian unsigned 32-bit) of one piece of the pattern."""
+        raw = piece.encode("utf-8", "surrogatepass")
+        inner = self.inner
+        ids = [inner[b] for b in raw]
+        ids[-1] = self.last[raw[-1]]
+        if None in ids:
+            ids = [i for i in ids if i is not None]
+        return packed(self.merge(ids))
+
+    def pieces(self, text: str) -> list[str]:
+        """The normalised text cut by the vocabulary's pattern."""
+        if text.isascii():
+            return self.ascii_piece.findall(text.lower())
+        text = unicodedata.normalize("NFC", text)
+        # a capital sigma is lowered by itself, without regard to its place in the word
+        return self.piece.findall("".join(c.lower() for c in text) if "Σ" in text else text.lower())
 
     def plain_ids(self, text: str) -> bytes:
-        runs = self.gap.split(text) if self.odd_space.search(text) else text.split()
-        memo, out = self.memo, []
-        for run in runs:
-            ids = memo.get(run)
+        if len(self.memo) > MEMO_ENTRIES:
+            self.memo, self.old = {}, self.memo
+        memo, old, out = self.memo, self.old, []
+        for piece in self.pieces(text):
+            ids = memo.get(piece)
             if ids is None:
-                if len(memo) >= MEMO_ENTRIES:
-                    memo.clear()
-                ids = self.run_ids(run)
-                if len(run) <= 64:
-                    memo[run] = ids
+                ids = old.get(piece)
+                if ids is None:
+                    ids = self.piece_ids(piece)
+                if len(piece) <= 64:
+                    memo[piece] = ids
             out.append(ids)
         return b"".join(out)
 
@@ -176,13 +193,13 @@ class WordBPE:
 
     def decode(self, ids: bytes | None) -> str:
         """Tokens joined by a blank (the vocabulary file has no decoder step)."""
-        return " ".join(map(self.token.__getitem__, array("I", ids or b"")))
+        return " ".join(map(self.token.__getitem__, unpacked(ids or b"")))
 
 
 def load(spark: SparkSession, path: str):
     """The vocabulary as a broadcast variable: a fixed file of a few MB, not data that grows."""
     with open(path, encoding="utf-8") as f:
-        return spark.sparkContext.broadcast(WordBPE(json.load(f)))
+        return Shared(spark, WordBPE(json.load(f)))
 
 
 def encoder(model):
