@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import components, find_roots, saved, sorted_groups
+from peerscope.llm.common import components, find_roots, saved, sorted_groups, split_parts
 
 BLOCKS = 4
 #: Mean number of caps a vector lies in: recall at the threshold grows with it.
@@ -180,16 +180,8 @@ def cap_links(members: DataFrame, threshold: float) -> DataFrame:
 
     Caps of more than CAP_ROWS rows are cut into parts by a hash of the class; each pair of parts
     meets in a task of its own."""
-    sizes = members.groupBy("dim", "cap").agg(F.count("*").alias("_n")).where(F.col("_n") > CAP_ROWS)
-    parts = F.coalesce(F.ceil(F.col("_n") / CAP_ROWS), F.lit(1)).cast("int")
-    rows = members.join(sizes, ["dim", "cap"], "left").withColumn("_b", parts)
-    rows = rows.withColumn("_c", F.pmod(F.xxhash64("rep"), F.col("_b")).cast("int")).select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("_b") - 1)).alias("_o")
-    )
-    rows = rows.select(
-        "dim", "cap", F.least("_c", "_o").alias("u"), F.greatest("_c", "_o").alias("v"), F.col("_c").alias("part"),
-        "rep", "mult", "vector", "caps",
-    )
+    sizes = members.groupBy("dim", "cap").agg(F.ceil(F.count("*") / CAP_ROWS).cast("int").alias("_b"))
+    rows = split_parts(members, ["dim", "cap"], sizes.where("_b > 1"), "rep")
 
     def meet(batches):
         for (_, cap, u, v), group in sorted_groups(batches, ["dim", "cap", "u", "v"]):

@@ -213,3 +213,15 @@ def sorted_groups(batches, key: list[str]):
             last = here
     if held:
         yield last, pa.Table.from_batches(held)
+
+
+def split_parts(rows: DataFrame, keys: list[str], parts: DataFrame, by: str) -> DataFrame:
+    """``rows`` dealt to pairs of parts (u, v) of their group, with each row's own ``part``.
+
+    ``parts`` (keys, _b) has the number of parts of each large group.  Rows fall into parts by a
+    hash of ``by``; a part meets itself and each other part once, in a group of its own."""
+    n = F.coalesce("_b", F.lit(1)).cast("int")
+    out = rows.join(parts, keys, "left").withColumn("_b", n)
+    out = out.withColumn("part", F.pmod(F.xxhash64(by), F.col("_b")).cast("int"))
+    out = out.select("*", F.explode(F.sequence(F.lit(0), F.col("_b") - 1)).alias("_o"))
+    return out.withColumns({"u": F.least("part", "_o"), "v": F.greatest("part", "_o")}).drop("_b", "_o")

@@ -87,3 +87,25 @@ n AS (SELECT pu, count(*) AS k FROM pairs GROUP BY pu)
 SELECT v.vec_id, coalesce(n.k, 0) AS n_links, comp.component_id, v.vec_id = comp.component_id AS kept
 FROM v JOIN comp ON v.vec_id = comp.id LEFT JOIN n ON n.pu = v.u
 """
+
+JACCARD = f"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS u, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+sets AS (
+  SELECT DISTINCT u, CASE WHEN len(w) < 5 THEN w ELSE list_slice(w, i, i + 4) END AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+),
+sizes AS (SELECT u, count(*) AS n FROM sets GROUP BY u),
+shared AS (SELECT p.u AS a, q.u AS b, count(*) AS k FROM sets p JOIN sets q ON p.g = q.g AND p.u <> q.u GROUP BY ALL),
+pairs AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.u = a JOIN sizes y ON y.u = b WHERE 100 * k >= 80 * (x.n + y.n - k)
+),
+links AS (SELECT DISTINCT p.doc_id AS a, q.doc_id AS b FROM pairs JOIN w p ON p.u = pairs.a JOIN w q ON q.u = pairs.b),
+nodes AS (SELECT DISTINCT doc_id AS id FROM w),
+{_COMPONENTS}
+SELECT w.doc_id, coalesce(sizes.n, 0) AS n_shingles, comp.component_id
+FROM w JOIN comp ON w.doc_id = comp.id LEFT JOIN sizes USING (u)
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm import bpe, capfilters, chat, decontaminate, tokencounts, toxicity, warc
+from peerscope.llm import bpe, capfilters, chat, decontaminate, jaccard, tokencounts, toxicity, warc
 from peerscope.llm import oracles as sql
 from peerscope.llm.common import table
 
@@ -48,6 +48,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_summary(table(spark, sf_dir, "pages"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.scored_documents(docs, table(spark, sf_dir, "labels"))
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_cap_filters": op4_cap_filters,
     "op6_warc": op6_warc,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
@@ -75,4 +80,5 @@ ORACLES: dict[str, str] = {
     "op3_decontaminate": sql.CONTAMINATION,
     "op4_cap_filters": sql.CAP_LINKS,
     "op6_warc": sql.WARC,
+    "op7_jaccard_join": sql.JACCARD,
 }
