@@ -109,3 +109,27 @@ nodes AS (SELECT DISTINCT doc_id AS id FROM w),
 SELECT w.doc_id, coalesce(sizes.n, 0) AS n_shingles, comp.component_id
 FROM w JOIN comp ON w.doc_id = comp.id LEFT JOIN sizes USING (u)
 """
+
+REPEATS = """
+WITH d AS (SELECT row_number() OVER () AS u, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+t AS (SELECT u, doc_id, h, len(h) // 2 AS n FROM d),
+s AS (SELECT u, doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS g FROM (SELECT *, unnest(range(n - 99)) AS p FROM t WHERE n >= 100)),
+later AS (
+  SELECT u, p FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, p) AS k FROM s) WHERE k > 1
+),
+marked AS (SELECT u, p, lag(p) OVER (PARTITION BY u ORDER BY p) AS q FROM later),
+runs AS (SELECT u, p, sum(CASE WHEN q IS NULL OR p > q + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY u ORDER BY p) AS r FROM marked),
+spans AS (SELECT u, r, min(p) AS a, max(p) + 100 AS b FROM runs GROUP BY u, r),
+gaps AS (
+  SELECT u, b AS a, lead(a) OVER (PARTITION BY u ORDER BY a) AS b FROM spans
+  UNION ALL SELECT u, 0, min(a) FROM spans GROUP BY u
+),
+kept AS (
+  SELECT t.u, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, n) - a)), '' ORDER BY a) AS h
+  FROM gaps JOIN t ON t.u = gaps.u GROUP BY t.u
+),
+sums AS (SELECT u, sum(b - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY u)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept.h, t.h))) AS kept_sha256
+FROM t LEFT JOIN sums USING (u) LEFT JOIN kept USING (u)
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm import bpe, capfilters, chat, decontaminate, jaccard, tokencounts, toxicity, warc
+from peerscope.llm import bpe, capfilters, chat, decontaminate, jaccard, repeats, tokencounts, toxicity, warc
 from peerscope.llm import oracles as sql
 from peerscope.llm.common import table
 
@@ -52,6 +52,13 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op8_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return out.select(
+        F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.scored_documents(docs, table(spark, sf_dir, "labels"))
@@ -72,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_cap_filters": op4_cap_filters,
     "op6_warc": op6_warc,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_repeated_bytes": op8_repeated_bytes,
     "op9_toxicity": op9_toxicity,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
@@ -81,4 +89,5 @@ ORACLES: dict[str, str] = {
     "op4_cap_filters": sql.CAP_LINKS,
     "op6_warc": sql.WARC,
     "op7_jaccard_join": sql.JACCARD,
+    "op8_repeated_bytes": sql.REPEATS,
 }
