@@ -1,20 +1,66 @@
 """The corpus pipeline: toxicity, n-gram Jaccard join, repeated passages, decontamination, BPE.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; a stage's result is written as
-Parquet and reread as the next one's ``docs``.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as Parquet and
+reread as the next stage's ``docs``.  Documents with a null id can't be named in a group, so the
+filtering stages that decide by id let them pass.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from peerscope.llm import queries
-from peerscope.llm.common import saved, table
+from peerscope.llm import bpe, decontaminate, jaccard, repeats, toxicity
+from peerscope.llm.common import bounded_batches, saved, table
+from peerscope.llm.queries import WORD_BPE
 
-STAGES: list = []
+#: No stage can be written as SQL as a whole (scores, components, byte spans, token ids).
 ORACLE_SQL = None
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is under one half."""
+    bounded_batches(spark)
+    scored = toxicity.scored_documents(docs, table(spark, sf_dir, "labels"), out="_toxicity")
+    return scored.where("_toxicity < 0.5").select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id."""
+    bounded_batches(spark)
+    groups = saved(jaccard.jaccard_join(docs).where("doc_id IS NOT NULL"), "jaccard-groups")
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes of strings of 100 bytes that also start earlier; n_chars follows."""
+    bounded_batches(spark)
+    out = repeats.shortened(docs)
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.lit(0).cast("long")))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that do not hold benchmark passages in a twentieth of their words or more."""
+    bounded_batches(spark)
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the encoded and the decoded texts."""
+    bounded_batches(spark)
+    return bpe.round_trip(docs, bpe.load(spark, WORD_BPE))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("jaccard", one_of_each_group),
+    ("repeats", cut_repeats),
+    ("decontamination", drop_contaminated),
+    ("bpe", encode),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pickle
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -10,10 +11,12 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.session import cut_lineage
+from peerscope.session import ensure_checkpoint_dir
 
 #: Text bytes a task scans at once; numpy temporaries are about 60 times this size.
 CHUNK_BYTES = 1 << 20
+BATCH_BYTES = 16 << 20
+BATCH_BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 class Shared:
@@ -31,12 +34,25 @@ class Shared:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back (see session.cut_lineage)."""
-    return cut_lineage(df, name)
+def bounded_batches(spark: SparkSession) -> None:
+    """Let the batches that Python tasks receive follow their bytes, not only their rows: texts vary
+    from one word to many pages.  A limit that the session already has is kept if it is lower."""
+    limit = int(spark.conf.get(BATCH_BYTES_SETTING, str(BATCH_BYTES)))
+    if limit <= 0 or limit > BATCH_BYTES:
+        spark.conf.set(BATCH_BYTES_SETTING, str(BATCH_BYTES))
+
+
+def saved(df: DataFrame, name: str, **options) -> DataFrame:
+    """``df`` written once as Parquet to the shared folder and read back: a cut in the lineage that
+    survives lost executors."""
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/peerscope/{name}-{uuid.uuid4().hex}"
+    df.write.options(**options).mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def column_arrays(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -89,7 +105,7 @@ class Rolling:
             with np.errstate(over="ignore"):
                 base, inv = np.full(n, self.BASE, np.uint64), np.full(n, pow(self.BASE, -1, 1 << 64), np.uint64)
                 base[0] = inv[0] = 1
-                self.power, self.inverse = np.cumprod(base), np.cumprod(inv)
+                self.power, self.inverse = np.cumprod(base, out=base), np.cumprod(inv, out=inv)
 
     def prefix(self, data: np.ndarray) -> np.ndarray:
         """Prefix sums of ``data`` (length + 1 values) for :meth:`ranges`."""

@@ -287,8 +287,8 @@ def held_out(key: str = "doc_id"):
     return F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0
 
 
-def scored_documents(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None) -> DataFrame:
-    """``docs`` with ``score``; the labelled texts are read from ``corpus`` (``docs`` by default)."""
+def scored_documents(docs: DataFrame, labels: DataFrame, out: str = "score") -> DataFrame:
+    """``docs`` with the column ``out``; the model is learnt from the labelled ones that are not held out."""
     restorer = channel(docs)
-    weights, beta = train(corpus if corpus is not None else docs, labels.where(~held_out()), restorer)
-    return with_scores(docs, restorer, weights, beta)
+    weights, beta = train(docs, labels.where(~held_out()), restorer)
+    return with_scores(docs, restorer, weights, beta, out=out)
