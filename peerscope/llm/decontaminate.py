@@ -28,18 +28,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.llm.common import Rolling, column_arrays, row_chunks, saved, word_bounds
 
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 BLOCK_BYTES = 4 << 20
 WINDOW = 13
 #: Positions left free behind each document, so that no phrase of up to this length crosses a border.
 GAP = 1 << 16
 
-INDEX_SCHEMA = "uid long, keys array<long>, n_words array<long>, terms binary, offsets binary, positions binary"
+INDEX_SCHEMA = "uid long, keys array<long>, n_words array<int>, terms binary, offsets binary, positions binary"
 
 
 def fold_table() -> np.ndarray:
@@ -70,7 +70,7 @@ def build_index(df: DataFrame, key: str = "doc_id", text: str = "text", name: st
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rolling, uid = Rolling(), TaskContext.get().partitionId() << 40
         for batch in batches:
-            keys = batch.column(0).to_pylist()
+            keys = batch.column(0)
             data, offsets = column_arrays(batch, "text")
             for a, b in row_chunks(offsets, SHARD_BYTES):
                 terms, counts = words_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], rolling)
@@ -81,8 +81,8 @@ def build_index(df: DataFrame, key: str = "doc_id", text: str = "text", name: st
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([uid], pa.int64()),
-                        pa.array([keys[a:b]], pa.list_(pa.int64())),
-                        pa.array([counts.tolist()], pa.list_(pa.int64())),
+                        pa.array([keys.slice(a, b - a).to_pylist()], pa.list_(pa.int64())),
+                        pa.array([counts.astype(np.int32)], pa.list_(pa.int32())),
                         pa.array([terms[first].tobytes()], pa.binary()),
                         pa.array([np.append(first, len(terms)).astype("<i4").tobytes()], pa.binary()),
                         pa.array([place[order].astype("<u4" if (b - a) < (1 << 15) else "<i8").tobytes()], pa.binary()),
@@ -92,7 +92,8 @@ def build_index(df: DataFrame, key: str = "doc_id", text: str = "text", name: st
                 uid += b - a
 
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    return saved(rows.mapInArrow(shards, INDEX_SCHEMA), name)
+    # lists of positions don't repeat: a dictionary would only take memory
+    return saved(rows.mapInArrow(shards, INDEX_SCHEMA), name, **{"parquet.enable.dictionary": "false"})
 
 
 class Shard:
@@ -196,8 +197,8 @@ def search(index: DataFrame, items: DataFrame, key: str = "item_id", text: str =
         def run(batches, shared=shared):
             names, groups = shared.value
             for batch in batches:
-                for row in batch.to_pylist():
-                    shard = Shard(row)
+                for number in range(batch.num_rows):
+                    shard = Shard(batch.slice(number, 1).to_pylist()[0])
                     docs, starts, ends, found = [], [], [], []
                     for _, rows, owner in groups:
                         lists = shard.lookup(rows.ravel()).reshape(rows.shape)
@@ -244,7 +245,7 @@ def contamination(index: DataFrame, items: DataFrame, key: str = "item_id", text
     A document is contaminated when at least one word in twenty lies inside an item's window."""
     docs = index.select(
         "uid", F.posexplode(F.arrays_zip("keys", "n_words")).alias("_at", "_d")
-    ).select((F.col("uid") + F.col("_at")).alias("uid"), F.col("_d.keys").alias("key"), F.col("_d.n_words").alias("n_words"))
+    ).select((F.col("uid") + F.col("_at")).alias("uid"), F.col("_d.keys").alias("key"), F.col("_d.n_words").cast("long").alias("n_words"))
     found = search(index, items, key, text).groupBy("uid").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).cast("long").alias("n_hit"),
         F.array_sort(F.array_distinct(F.array_compact(F.flatten(F.collect_list("items"))))).alias("items"),
@@ -261,7 +262,7 @@ def contamination(index: DataFrame, items: DataFrame, key: str = "item_id", text
     )
 
 
-def clean_documents(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
+def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` (with an integer doc_id) without the contaminated documents."""
     bad = contamination(build_index(docs), items).where("contaminated").select(F.col("key").alias("doc_id")).distinct()
     return docs.join(bad, "doc_id", "left_anti")

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from peerscope.llm.common import saved
 from peerscope.session import ensure_checkpoint_dir
 
 VERSION = b"WARC/1.1\r\n"
@@ -260,7 +261,8 @@ def archive_summary(pages: DataFrame, name: str = "archives", least_bytes: int =
     spark = pages.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/peerscope/{name}-{uuid.uuid4().hex}"
     write_archives(pages, path, least_bytes)
-    read = read_pages(read_records(spark, path)).drop("payload")
+    # saved: the archives are read once, though revisits look up their response
+    read = saved(read_pages(read_records(spark, path)).drop("payload"), f"{name}-read")
     lengths = read.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("payload_bytes").alias("_n"))
     cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     responses = read.where("record_type = 'response'").select(*cols)
