@@ -5,8 +5,9 @@ directions form a product code: the dimensions are cut into ``BLOCKS`` blocks, e
 number of random unit vectors, and every combination of one per block is a direction.  A vector lies
 in the cap of each direction whose inner product exceeds a threshold; these are list-decoded by
 combining sorted partial sums, without visiting the other directions.  The number of directions
-follows the number of vectors, and the threshold gives each vector ``CAPS`` caps on average (from the
-exact tail of a uniform direction), so caps stay small while the table grows.
+follows the number of vectors, and the threshold gives each vector ``CAPS`` caps of each of ``CODES``
+codes on average (from the exact tail of a uniform direction), so caps stay small while the table
+grows.
 
 Vectors meet in the caps they share and every pair of a cap is verified in double precision.  A pair
 is counted only in the first cap that both lie in, so link counts need no table of pairs: a cap sends
@@ -31,9 +32,10 @@ from pyspark.sql import functions as F
 
 from peerscope.llm.common import components, find_roots, saved, sorted_groups, split_parts
 
-BLOCKS = 4
-#: Mean number of caps a vector lies in: recall at the threshold grows with it.
-CAPS = 28
+BLOCKS = 2
+#: Independent codes, and the mean number of caps of a code that a vector lies in.  Recall at the
+#: threshold grows with both; several codes even out directions that one code covers badly.
+CODES, CAPS = 4, 12
 #: Rows of a cap that are compared in one task.
 CAP_ROWS = 2048
 SEED = 20240229
@@ -48,12 +50,12 @@ def tail(dim: int, a: float) -> float:
 
 
 class ProductCode:
-    """Filter directions for vectors of one length."""
+    """One code's filter directions for vectors of one length."""
 
-    def __init__(self, dim: int, words: int, caps: float = CAPS) -> None:
-        rng = np.random.default_rng([SEED, dim])
+    def __init__(self, dim: int, words: int, caps: float = CAPS, number: int = 0) -> None:
+        rng = np.random.default_rng([SEED, dim, number])
         self.dim, self.blocks = dim, max(1, min(BLOCKS, dim))
-        self.words = words if self.blocks == BLOCKS else 2 * words
+        self.words = words ** (BLOCKS // self.blocks)
         self.rotation = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
         self.cuts = np.linspace(0, dim, self.blocks + 1).astype(int)
         self.code = []
@@ -64,7 +66,8 @@ class ProductCode:
         for _ in range(50):
             mid = (low + high) / 2
             low, high = (mid, high) if tail(dim, mid) > share else (low, mid)
-        self.threshold = low if dim > 3 else -1.0
+        # in three dimensions or fewer the caps are whole spheres: all vectors meet
+        self.threshold = low if dim > 3 else -2.0
 
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, direction) of every direction whose inner product with a row exceeds the threshold."""
@@ -125,12 +128,12 @@ def cap_members(classes: DataFrame, words: int, caps: float) -> DataFrame:
     schema = "dim int, cap long, rep long, mult long, vector binary, caps binary"
 
     def decode(batches):
-        codes: dict[int, ProductCode] = {}
+        codes: dict[int, list[ProductCode]] = {}
         for batch in batches:
             dims = np.asarray(batch.column("dim"))
             for dim in np.unique(dims):
                 if dim not in codes:
-                    codes[dim] = ProductCode(int(dim), words, caps)
+                    codes[dim] = [ProductCode(int(dim), words, caps, k) for k in range(CODES if dim > 3 else 1)]
                 at = np.flatnonzero(dims == dim)
                 for lo in range(0, len(at), 256):
                     some = pa.array(at[lo : lo + 256])
@@ -138,7 +141,9 @@ def cap_members(classes: DataFrame, words: int, caps: float) -> DataFrame:
                     x = np.asarray(part.column("vector").flatten()).reshape(len(some), dim)
                     unit = x / np.abs(x).max(axis=1, keepdims=True)
                     unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
-                    row, cap = codes[dim].decode(unit)
+                    decoded = [c.decode(unit) for c in codes[dim]]
+                    row = np.concatenate([r for r, _ in decoded])
+                    cap = np.concatenate([c + k * words**BLOCKS for k, (_, c) in enumerate(decoded)])
                     order = np.lexsort((cap, row))
                     row, cap = row[order].astype(np.int64), cap[order].astype("<i8")
                     ends = np.searchsorted(row, np.arange(len(some) + 1))

@@ -45,8 +45,9 @@ LOOKS_LIKE = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "{": "c", "[": "c", "€": "e", "£": "l",
     "¡": "i", "µ": "u", "§": "s", "#": "h", "%": "x", "*": "aeiou",
 }
-#: Channel costs (negative logs): a disguise, keeping a sign, dropping a sign, dropping a repetition.
-SWAP, KEEP, DROP, DROP_REPEAT = 1.0, 6.0, 2.5, 0.4
+#: Channel costs (negative logs): a disguise, keeping a sign, dropping a sign, dropping a repetition,
+#: dropping a blank between spaced-out letters.
+SWAP, KEEP, DROP, DROP_REPEAT, DROP_BLANK = 1.0, 6.0, 2.5, 0.4, 0.2
 CLASSES = 28  # border, a-z, other letters
 EDGE = ".,;:!?\"'()[]{}*&%$#@-_/\\|<>=+~`…»«„“”’‘"
 
@@ -113,7 +114,7 @@ class Restorer:
         return ord(c) - 96 if "a" <= c <= "z" else 27 if c.isalpha() else 0
 
     def decode(self, token: str) -> str:
-        """The likeliest word behind a lower-cased token."""
+        """The likeliest word (words, where it holds blanks) behind a lower-cased token."""
         costs, classes = self.costs, self._class
         states = {(0, 0): (0.0, None)}  # the last two letter classes -> (cost, chain of letters)
         before = ""
@@ -123,6 +124,8 @@ class Restorer:
                 options.append((c, 0.0))
                 if c == before:
                     options.append(("", DROP_REPEAT if token[max(0, i - 2) : i] == c + c or token[i + 1 : i + 2] == c else 3.0))
+            elif c == " ":
+                options += [("", DROP_BLANK), (" ", 0.0)]
             else:
                 options += [(x, SWAP) for x in LOOKS_LIKE.get(c, "")]
                 options.append(("", DROP))
@@ -167,17 +170,28 @@ class Restorer:
         return found
 
     def tokens(self, text: str | None) -> list[str]:
-        """Tokens of a text; single letters that are spaced out come as one token."""
+        """Tokens of a text; single letters that are spaced out come as one token with blanks."""
         if not text:
             return []
-        if self.spaced.search(text):
-            text = self.spaced.sub(lambda m: re.sub(r"[ \t]", "", m[0]) if sum(map(str.isalpha, m[0])) >= 3 else m[0], text)
-        return text.split()
+        if not self.spaced.search(text):
+            return text.split()
+        out, at = [], 0
+        for m in self.spaced.finditer(text):
+            if sum(map(str.isalpha, m[0])) >= 3:
+                out += text[at : m.start()].split()
+                out.append(" ".join(m[0].split()))
+                at = m.end()
+        return out + text[at:].split()
 
     def words(self, text: str | None) -> set[str]:
         word = self.word
-        out = {word(t) for t in set(self.tokens(text))}
-        out.discard("")
+        out = set()
+        for t in set(self.tokens(text)):
+            w = word(t)
+            if " " in w:
+                out.update(w.split())
+            elif w:
+                out.add(w)
         return out
 
     def text(self, text: str | None) -> str:

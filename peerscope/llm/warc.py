@@ -76,8 +76,8 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page_id) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page:{page_id}')}>"
+def record_id(page_id, digest: str, segment: int = 1) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page_id}:{digest}:{segment}')}>"
 
 
 def record(fields: list[tuple[str, object]], block: bytes) -> bytes:
@@ -88,12 +88,13 @@ def record(fields: list[tuple[str, object]], block: bytes) -> bytes:
 
 def records_of(page_id, url, payload: bytes, first, segment_bytes: int) -> Iterator[bytes]:
     """All records of one page: a revisit, a response, or a segmented response."""
-    rid, digest = record_id(page_id), digest_of(payload)
+    digest = digest_of(payload)
+    rid = record_id(page_id, digest)
     uri = re.sub(r"[\r\n]", "", url) if url else None
     base = [("WARC-Target-URI", uri), ("WARC-Date", DATE), ("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Page-Id", page_id)]
     if first is not None and first != page_id:
         revisit = [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-                   ("WARC-Refers-To", record_id(first)), ("X-Refers-To-Page", first)]
+                   ("WARC-Refers-To", record_id(first, digest)), ("X-Refers-To-Page", first)]
         yield record([("WARC-Type", "revisit"), ("WARC-Record-ID", rid), *base, *revisit], HEAD)
         return
     block = HEAD + chunked(payload)
@@ -107,7 +108,7 @@ def records_of(page_id, url, payload: bytes, first, segment_bytes: int) -> Itera
         if n == 1:
             yield record([*kind, ("WARC-Segment-Number", 1)], piece)
         else:
-            own = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page:{page_id}:{n}')}>"
+            own = record_id(page_id, digest, n)
             last = [("WARC-Segment-Total-Length", len(block))] if n == len(cuts) else []
             yield record([("WARC-Type", "continuation"), ("WARC-Record-ID", own), ("WARC-Segment-Origin-ID", rid),
                           ("WARC-Segment-Number", n), ("WARC-Date", DATE), ("X-Page-Id", page_id), *last], piece)
@@ -212,14 +213,16 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 def reassembled(records: DataFrame) -> DataFrame:
     """Responses and revisits with whole blocks; continuation records are joined to their origin.
 
-    A group is the segments of one record, bounded by one page's size."""
+    A group is the segments of one record, bounded by one page's size.  Equal records (a repeated page)
+    have one identifier; their segments are joined once and come as often as there are first ones."""
     whole = records.where("record_type <> 'continuation' AND segment IS NULL")
     parts = records.where("segment IS NOT NULL").withColumn("origin", F.coalesce("origin", "record_id"))
     keep = ["page_id", "record_type", "record_id", "refers_to_id", "refers_to", "digest"]
     joined = parts.groupBy("origin").agg(
         *[F.max(F.when(F.col("record_type") != "continuation", F.col(c))).alias(c) for c in keep],
         F.max("total").alias("total"),
-        F.array_sort(F.collect_list(F.struct("segment", "block"))).alias("_s"),
+        F.array_sort(F.collect_set(F.struct("segment", "block"))).alias("_s"),
+        F.count(F.when(F.col("segment") == 1, 1)).alias("_copies"),
     )
     numbers = F.transform("_s", lambda s: s["segment"])
     in_order = numbers == F.sequence(F.lit(1), F.size("_s"))
@@ -229,7 +232,8 @@ def reassembled(records: DataFrame) -> DataFrame:
     checked = F.when(good, F.col("block")).otherwise(
         F.raise_error(F.concat(F.lit("segments of "), "origin", F.lit(" don't fit"))).cast("binary")
     )
-    return whole.select(*keep, "block").union(joined.select(*keep, checked.alias("block")))
+    joined = joined.withColumn("block", checked).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.greatest("_copies", F.lit(1)))))
+    return whole.select(*keep, "block").union(joined.select(*keep, "block"))
 
 
 def read_pages(records: DataFrame) -> DataFrame:
