@@ -63,8 +63,6 @@ LISTING_FIELDS = (
     Field("latitude", "float"), Field("longitude", "float"), Field("snapshot_date", "date", False),
 )
 LISTING_CONTRACT = Contract("listing_snapshot", ("listing_id", "snapshot_date"), LISTING_FIELDS)
-LISTING_INTEGER_COLUMNS = ["listing_id", "reviews_last_twelve_months", "host_listing_count", "beds_count",
-                           "bedrooms_count", "accommodates_count", "total_reviews"]
 LISTING_TEXT_COLUMNS = ["city_name", "neighbourhood_name", "room_type", "bathroom_type"]
 
 
@@ -104,20 +102,28 @@ BOUNDARY_CONTRACT = Contract(
 )
 
 
+# Text that counts as a number or a date (Java's suffixes and trailing text do not).
+NUMBER_TEXT = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
+DATE_TEXT = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?)?\s*$"
+
+
 def to_integer(col: Column) -> Column:
     """PRJ4: bad text -> NULL, half-even rounding, BIGINT."""
-    return F.bround(col.try_cast("double")).try_cast("bigint")
+    return F.bround(to_float(col)).try_cast("bigint")
 
 
 def to_float(col: Column) -> Column:
     """PRJ5: bad text -> NULL, NaN -> NULL."""
-    x = col.try_cast("double")
-    return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
+    text = col.cast("string")
+    x = F.when(text.rlike(NUMBER_TEXT), F.trim(text)).try_cast("double")
+    return F.when(~F.isnan(x), x)
 
 
 def to_date(col: Column) -> Column:
     """PRJ6: bad text -> NULL (ISO date, optionally followed by a time)."""
-    return F.call_function("try_to_date", F.substring(F.trim(col), 1, 10), F.lit("yyyy-MM-dd"))
+    text = col.cast("string")
+    day = F.when(text.rlike(DATE_TEXT), F.substring(F.trim(text), 1, 10))
+    return F.call_function("try_to_date", day, F.lit("yyyy-MM-dd"))
 
 
 def reorder_to_contract(df: DataFrame, contract: Contract) -> DataFrame:
@@ -191,13 +197,14 @@ def clean_boundaries(features: DataFrame, reference: DataFrame) -> DataFrame:
     neighbourhood_group, geometry_type, geometry text) -> boundary table with ids.
 
     The reference is joined on the neighbourhood name only, keeping its first row per
-    name (``ref_order`` gives that order); the group falls back to the reference's.
+    name (``ref_order`` gives that order; without it, by city and group); the group falls
+    back to the reference's.
     Ids are slug(city)_slug(neighbourhood)[_slug(group)]_NNN, NNN numbering features
     that share a slug in feature order.
     """
     f = T.normalize_columns(features, ["neighbourhood", "neighbourhood_group"])
     f = f.withColumnsRenamed({"neighbourhood": "neighbourhood_name", "neighbourhood_group": "_own_group"})
-    order = F.col("ref_order") if "ref_order" in reference.columns else F.monotonically_increasing_id()
+    order = F.col("ref_order") if "ref_order" in reference.columns else F.struct("city_name", "neighbourhood_group_name")
     ref = (
         reference.withColumn("_o", order)
         .withColumn("_rn", F.row_number().over(Window.partitionBy("neighbourhood_name").orderBy("_o")))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, DateType, DoubleType, FloatType, StructType, TimestampType
 
 from peerscope.functions.scalars import attach_one_row
 from peerscope.operators.benchmark import positioning_label
@@ -142,7 +143,8 @@ def decision_records(
 
 def attach_comparables(records: DataFrame, comparables: DataFrame, roles: Roles = Roles()) -> DataFrame:
     """DEC5 (nested part): ``selected_comparables`` as an array of structs in rank order,
-    plus the comparable median price (AGG37, own price when there is none)."""
+    plus the comparable median price (AGG37, own price when there is none).  A target has
+    at most top-N comparables, which bounds the array."""
     r = roles
     tkey = [f"target_{r.entity}", f"target_{r.snapshot}"]
     item = F.struct(
@@ -161,11 +163,39 @@ def attach_comparables(records: DataFrame, comparables: DataFrame, roles: Roles
     ).withColumn("comparable_median_price", F.coalesce("_cmp_median", F.col(r.price))).drop("_cmp_median")
 
 
+def attach_explanations(records: DataFrame, explained: DataFrame, source_model_name: str = "linear_baseline",
+                        roles: Roles = Roles()) -> DataFrame:
+    """DEC5: the struct ``local_explanation`` of source model, both driver lists and the comparable
+    median price.  ``explained`` has the key, ``upward`` and ``downward`` (modeling.driver_lists)."""
+    kind = "array<struct<feature:string,contribution:double>>"
+    out = records.join(explained.select(*roles.key, "upward", "downward"), roles.key, "left")
+    none = F.array().cast(kind)
+    return out.withColumn("local_explanation", F.struct(
+        F.lit(source_model_name).alias("source_model_name"),
+        F.coalesce("upward", none).alias("top_upward_drivers"),
+        F.coalesce("downward", none).alias("top_downward_drivers"),
+        F.col("comparable_median_price").cast("double").alias("comparable_median_price"),
+    )).drop("upward", "downward", "comparable_median_price")
+
+
+def json_safe(col: Column, kind: DataType) -> Column:
+    """JSN2: NaN -> NULL at every depth, dates as ISO text."""
+    if isinstance(kind, (DoubleType, FloatType)):
+        return F.when(~F.isnan(col), col)
+    if isinstance(kind, (DateType, TimestampType)):
+        return col.cast("string")
+    if isinstance(kind, ArrayType):
+        return F.transform(col, lambda x: json_safe(x, kind.elementType))
+    if isinstance(kind, StructType):
+        made = F.struct(*[json_safe(col[f.name], f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(col.isNotNull(), made)
+    return col
+
+
 def to_payload_json(records: DataFrame, roles: Roles = Roles()) -> DataFrame:
-    """JSN2: one JSON document per decision; dates as ISO text, NULLs kept as null."""
-    r = roles
-    body = F.struct(*[F.col(c).cast("string").alias(c) if c == r.snapshot else F.col(c) for c in records.columns])
-    return records.select(*r.key, F.to_json(body, {"ignoreNullFields": "false"}).alias("payload_json"))
+    """JSN2: one JSON document per decision; dates as ISO text, NaN and NULL as null."""
+    body = F.struct(*[json_safe(F.col(f.name), f.dataType).alias(f.name) for f in records.schema.fields])
+    return records.select(*roles.key, F.to_json(body, {"ignoreNullFields": "false"}).alias("payload_json"))
 
 
 def listing_browse(frame: DataFrame, roles: Roles = Roles(), city: str | None = None, period: str | None = None,

@@ -43,14 +43,6 @@ def rich_feature_columns(include_local_market_categoricals: bool = False) -> lis
     return [*NUMERIC_MODEL_FEATURES, *cats]
 
 
-def _null_safe_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def joined_with_reference(listings: DataFrame, reference: DataFrame, roles: Roles = Roles(),
                           zone_city: str = ZONE_CITY) -> DataFrame:
     """JON1 + DAT1 + DAT2 + CND1 before the price filter (one output row per match)."""
@@ -125,11 +117,15 @@ def attach_distance_features(frame: DataFrame, roles: Roles = Roles()) -> DataFr
 
 
 def feature_frame(model_input_df: DataFrame, roles: Roles = Roles(), features: list[str] | None = None) -> DataFrame:
-    """PRJ10 + DED1: identifiers, target and the model features present, one row per key."""
+    """PRJ10 + DED1: identifiers, target and the model features (typed NULLs for those the input
+    lacks), one row per key."""
     r = roles
     df = attach_distance_features(model_input_df, r)
     wanted = features or model_feature_columns()
-    feats = [c for c in wanted if c in df.columns]
+    missing = {c: "string" if c in rich_feature_columns(True) and c not in NUMERIC_MODEL_FEATURES else "double"
+               for c in wanted if c not in df.columns}
+    df = df.withColumns({c: F.lit(None).cast(t) for c, t in missing.items()})
+    feats = list(wanted)
     ids = [c for c in IDENTIFIER_COLUMNS if c in df.columns]
     cols = ids + [TARGET_COLUMN] + feats
     w = Window.partitionBy(*r.key).orderBy(*[F.col(c).asc_nulls_first() for c in cols if c not in r.key])

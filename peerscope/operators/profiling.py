@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from peerscope.functions.scalars import attach_one_row
 from peerscope.functions.text import collapse_types, primitive_type
 
 UNIQUE_SAMPLE_LIMIT = 20
@@ -53,7 +54,7 @@ def field_profile(df: DataFrame, order_by: str, categorical_hints: tuple[str, ..
         "null_count",
         F.coalesce("sample_values", F.lit("")).alias("sample_values"),
         (F.col("field").isin(list(categorical_hints)) | ((inferred == "string") & ~truncated)).alias("likely_categorical"),
-        F.least(F.col("_distinct"), F.lit(UNIQUE_SAMPLE_LIMIT)).alias("unique_values_observed"),
+        F.col("_distinct").alias("unique_values_observed"),
         truncated.alias("unique_values_truncated"),
     )
     return out
@@ -83,9 +84,18 @@ def coverage(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def geojson_profile(features: DataFrame, properties: str = "properties") -> DataFrame:
-    """AGG21: feature count and sorted geometry types of a feature frame with a
-    ``properties`` map and ``geometry_type`` column."""
-    return features.agg(
+    """AGG21: one row per property of a feature frame: feature count, sorted geometry types, and the
+    property's inferred type, non-empty and null counts (a feature without the property counts as null)."""
+    whole = features.agg(
         F.count(F.lit(1)).alias("feature_count"),
         F.array_join(F.array_sort(F.collect_set("geometry_type")), "|").alias("geometry_types"),
     )
+    if properties not in features.columns:
+        return whole
+    value = F.trim(F.col("value"))
+    present = F.col("value").isNotNull() & (value != "")
+    per = features.select(F.explode(properties).alias("property", "value")).groupBy("property").agg(
+        F.count_if(present).alias("non_empty_count"),
+        collapse_types(F.collect_set(primitive_type(value))).alias("inferred_type"),
+    )
+    return attach_one_row(per, whole).withColumn("null_count", F.col("feature_count") - F.col("non_empty_count"))

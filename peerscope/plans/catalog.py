@@ -55,15 +55,15 @@ def register(name: str, oracle: str | None = None, doubles: list[str] | tuple =
     return deco
 
 
-# Sparse binding: summaries are published only for groups with enough rows.
-SPARSE_NB_MIN_ROWS = 8
-SPARSE_CT_MIN_ROWS = 35
+# Sparse binding: summary tables that lack these named groups, so that every rung is reached.
+SPARSE_NB_LEFT_OUT = "neighbourhood_name IN ('NATION_0', 'NATION_1', 'NATION_2')"
+SPARSE_CT_LEFT_OUT = "city_name = 'AFRICA'"
 ROLES = Roles()
 
 # ---------------------------------------------------------------- comparables / benchmark
 from peerscope.operators.benchmark import benchmark_ranges, price_positioning  # noqa: E402
 from peerscope.operators.comparables import select_comparables  # noqa: E402
-from peerscope.operators.summaries import city_period_summary, neighbourhood_period_summary  # noqa: E402
+from peerscope.operators.summaries import city_period_summary, neighbourhood_period_summary, price_summaries  # noqa: E402
 
 COMP_DOUBLES = ["nightly_price", "distance_km", "similarity_score"]
 
@@ -95,11 +95,10 @@ def q_neighbourhood_period_summary(spark, d):
 RANGE_DOUBLES = ["nightly_price", "benchmark_lower_bound", "benchmark_upper_bound"]
 
 
-def _ranges(m: DataFrame, top_n: int = 10, nb_min: int = 1, ct_min: int = 1) -> DataFrame:
+def _ranges(m: DataFrame, top_n: int = 10, nb_left_out: str = "FALSE", ct_left_out: str = "FALSE") -> DataFrame:
     comps = select_comparables(m, ROLES, ComparableSearch(top_n=top_n))
-    return benchmark_ranges(
-        m, comps, neighbourhood_period_summary(m, min_rows=nb_min), city_period_summary(m, min_rows=ct_min)
-    )
+    nb, ct = price_summaries(m)
+    return benchmark_ranges(m, comps, nb.where(f"NOT ({nb_left_out})"), ct.where(f"NOT ({ct_left_out})"))
 
 
 @register("benchmark_range", sql.benchmark_sql(sql.MARKET), RANGE_DOUBLES)
@@ -108,10 +107,10 @@ def q_benchmark_range(spark, d):
 
 
 @register("benchmark_range_sparse",
-          sql.benchmark_sql(sql.SPARSE_MARKET, nb_min_rows=SPARSE_NB_MIN_ROWS, ct_min_rows=SPARSE_CT_MIN_ROWS),
+          sql.benchmark_sql(sql.SPARSE_MARKET, nb_left_out=SPARSE_NB_LEFT_OUT, ct_left_out=SPARSE_CT_LEFT_OUT),
           RANGE_DOUBLES)
 def q_benchmark_range_sparse(spark, d):
-    return _ranges(sparse_market_frame(spark, d), nb_min=SPARSE_NB_MIN_ROWS, ct_min=SPARSE_CT_MIN_ROWS)
+    return _ranges(sparse_market_frame(spark, d), nb_left_out=SPARSE_NB_LEFT_OUT, ct_left_out=SPARSE_CT_LEFT_OUT)
 
 
 @register("benchmark_range_iqr", sql.benchmark_sql(sql.MARKET, top_n=20), RANGE_DOUBLES)
@@ -138,7 +137,10 @@ def _model_input(spark, d):
 
 
 def _feature_frame(spark, d):
-    return cut_lineage(feat.feature_frame(_model_input(spark, d)), "feature_frame")
+    m = _model_input(spark, d)
+    # the binding has columns for some of the features only; the distances are derived
+    bound = [c for c in feat.model_feature_columns() if c in m.columns or c.startswith("distance_to_")]
+    return cut_lineage(feat.feature_frame(m, features=bound), "feature_frame")
 
 
 @register("model_input", rep.MODEL_INPUT, ["nightly_price", "rating_score", "latitude", "longitude"])
@@ -273,7 +275,7 @@ def q_interval_calibration(spark, d):
 def _fm_ranges(spark, d, fm: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     comps = select_comparables(fm, ROLES, ComparableSearch(), targets=targets)
     t = fm if targets is None else targets
-    return benchmark_ranges(t, comps, neighbourhood_period_summary(fm), city_period_summary(fm))
+    return benchmark_ranges(t, comps, *price_summaries(fm))
 
 
 @register("benchmark_diagnostics", rep.BENCHMARK_DIAGNOSTICS, ["value"])
@@ -343,7 +345,7 @@ def _decisions(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     found = cut_lineage(req.where(F.col("status") == "found").select("listing_id", "snapshot_date").join(
         fm, ["listing_id", "snapshot_date"]), "targets")
     comps = select_comparables(fm, ROLES, ComparableSearch(), targets=found)
-    ranges = benchmark_ranges(found, comps, neighbourhood_period_summary(fm), city_period_summary(fm))
+    ranges = benchmark_ranges(found, comps, *price_summaries(fm))
     estimates = _predict(split, rep.BASE_KEYS).select(
         "listing_id", "snapshot_date", F.col("prediction").alias("estimated_market_price"))
     scored = _predict(split, rep.BASE_KEYS).where(F.col("split") == "test")
@@ -360,12 +362,47 @@ def q_price_decisions(spark, d):
         records, ["listing_id", "snapshot_date"], "left")
 
 
-@register("price_decision_payload")
+# A fixed coefficient table, so that SQL can check the explanation arithmetic.
+FIXED_TERMS = [
+    ("accommodates_count", None, 12.5, 3.0, 1.5, 2.0), ("rating_score", None, -7.25, 4.0, 0.5, 4.5),
+    ("latitude", None, 3.0, 45.0, 10.0, 44.0), ("longitude", None, -2.0, 10.0, 5.0, 11.0),
+    ("distance_to_city_center_km", None, -1.5, 2000.0, 1000.0, 1500.0),
+    ("room_type", "AUTOMOBILE", 9.0, 0.0, 1.0, "BUILDING"), ("room_type", "BUILDING", -4.0, 0.0, 1.0, "BUILDING"),
+    ("room_type", "FURNITURE", 2.5, 0.0, 1.0, "BUILDING"), ("is_superhost", "true", 6.0, 0.0, 1.0, "false"),
+    ("is_superhost", "false", -6.0, 0.0, 1.0, "false"), ("season_peak_flag", "true", 5.5, 0.0, 1.0, "false"),
+]
+
+
+def _fixed_terms():
+    from peerscope.operators.modeling import LinearTerm
+
+    return [LinearTerm(*t) for t in FIXED_TERMS]
+
+
+@register("price_decision_payload", rep.decision_payload_sql(FIXED_TERMS), ["comparable_median_price"])
 def q_price_decision_payload(spark, d):
-    """Nested form (rows-only check): comparables array, comparable median and JSON text."""
+    """The nested record and its JSON text, read back as flat columns: comparables in rank order,
+    driver lists, comparable median, and whether a NaN is left in the text."""
+    from peerscope.operators.modeling import driver_lists
+
     _, records, comps = _decisions(spark, d)
-    full = dec.attach_comparables(records, comps)
-    return full.join(dec.to_payload_json(full), ["listing_id", "snapshot_date"])
+    frame = _feature_frame(spark, d)
+    full = dec.attach_explanations(dec.attach_comparables(records, comps), driver_lists(frame, _fixed_terms()))
+    out = full.join(dec.to_payload_json(full), ["listing_id", "snapshot_date"])
+
+    def names(col):
+        return F.array_join(F.transform(col, lambda x: x["feature"]), "|")
+
+    ids = F.transform("selected_comparables", lambda c: F.concat_ws("@", c["listing_id"].cast("string"), c["snapshot_date"]))
+    return out.select(
+        "listing_id", "snapshot_date", F.array_join(ids, "|").alias("comparables"),
+        names(F.col("local_explanation.top_upward_drivers")).alias("upward_drivers"),
+        names(F.col("local_explanation.top_downward_drivers")).alias("downward_drivers"),
+        F.col("local_explanation.comparable_median_price").alias("comparable_median_price"),
+        F.col("local_explanation.source_model_name").alias("source_model_name"),
+        F.col("payload_json").contains("NaN").alias("has_nan"),
+        (F.get_json_object("payload_json", "$.local_explanation.source_model_name") == "linear_baseline").alias("in_json"),
+    )
 
 
 @register("listing_browse", rep.LISTING_BROWSE, ["nightly_price", "rating_score", "latitude", "longitude"])
@@ -439,9 +476,6 @@ def _bound_city_summary(spark, d):
     return city_period_summary(market_frame(spark, d))
 
 
-_MISSING_SUMMARY = None
-
-
 def _missing_summary_columns() -> list[str]:
     have = {"city_name", "period_label", "dominant_neighbourhood", "neighbourhood_entropy", "dominant_room_type",
             "room_type_entropy", *sql._stat_cols(sql.SUMMARY_METRICS_BOUND)}
@@ -500,8 +534,9 @@ def _splits(spark, d):
 
 
 def _linear(spark, d):
-    train, _, test = _splits(spark, d)
-    return mdl.fit_linear(train, "nightly_price", NUMERIC, CATEGORICAL), test
+    """The linear learner, fitted to training and validation rows as a final fit is (SET1)."""
+    train, valid, test = _splits(spark, d)
+    return mdl.fit_linear(train.unionByName(valid), "nightly_price", NUMERIC, CATEGORICAL), test
 
 
 @register("linear_model")
@@ -512,8 +547,8 @@ def q_linear_model(spark, d):
 
 @register("tree_model")
 def q_tree_model(spark, d):
-    train, _, test = _splits(spark, d)
-    m = mdl.fit_boosting(train, "nightly_price", NUMERIC, CATEGORICAL)
+    train, valid, test = _splits(spark, d)
+    m = mdl.fit_boosting(train.unionByName(valid), "nightly_price", NUMERIC, CATEGORICAL)
     return mdl.evaluation_record(m.name, m.predict(test), "nightly_price")
 
 
@@ -543,17 +578,25 @@ def q_tuned_model(spark, d):
 @register("permutation_importance")
 def q_permutation_importance(spark, d):
     m, test = _linear(spark, d)
-    sample = mdl.sample_rows(test, mdl.IMPORTANCE_SAMPLE_SIZE, ["listing_id", "snapshot_date"])
-    return mdl.permutation_importance(m, sample, "nightly_price", NUMERIC + CATEGORICAL)
+    return mdl.permutation_importance(m, test, "nightly_price", NUMERIC + CATEGORICAL)
 
 
-@register("local_explanation")
+@register("local_explanation", rep.local_explanation_sql(FIXED_TERMS), ["contribution"])
 def q_local_explanation(spark, d):
-    m, test = _linear(spark, d)
-    return mdl.local_explanations(m, test, ["listing_id", "snapshot_date"], NUMERIC, CATEGORICAL,
+    """EXP1 + TOP3 for every listing, with a fixed coefficient table."""
+    return mdl.local_explanations(_feature_frame(spark, d), _fixed_terms(), ["listing_id", "snapshot_date"],
                                   zone_city=rep.ZONE_CITY)
 
 
+@register("model_explanation")
+def q_model_explanation(spark, d):
+    """EXP1 + TOP3 for every listing, with the terms of the fitted linear model."""
+    m, _ = _linear(spark, d)
+    frame = _feature_frame(spark, d)
+    terms = mdl.linear_terms(m, frame, NUMERIC, CATEGORICAL)
+    return mdl.local_explanations(frame, terms, ["listing_id", "snapshot_date"], zone_city=rep.ZONE_CITY)
+
+
 @register("model_bundle")
 def q_model_bundle(spark, d):
     """MLT12: save the linear model and its calibration/metric metadata; read the metadata back."""

@@ -85,7 +85,7 @@ SELECT * FROM ranked WHERE comparable_rank <= {top_n}
 """
 
 
-def _med_mad_sql(market: str, keys: list[str], metrics: list[str], min_rows: int) -> str:
+def _med_mad_sql(market: str, keys: list[str], metrics: list[str], left_out: str = "FALSE") -> str:
     k = ", ".join(keys)
     meds = ", ".join(f"MEDIAN(CAST({m} AS DOUBLE)) AS {m}_median" for m in metrics)
     mads = ", ".join(
@@ -97,7 +97,7 @@ def _med_mad_sql(market: str, keys: list[str], metrics: list[str], min_rows: int
   JOIN (SELECT {", ".join("x." + c for c in keys)}, {mads}
         FROM ({market}) x JOIN (SELECT {k}, {meds} FROM ({market}) WHERE {nn} GROUP BY {k}) y USING ({k})
         GROUP BY {", ".join("x." + c for c in keys)}) z USING ({k})
-  WHERE _rows >= {min_rows}"""
+  WHERE NOT ({left_out})"""
 
 
 def _dominant_sql(market: str, keys: list[str], column: str, prefix: str) -> str:
@@ -120,23 +120,23 @@ def _stat_cols(metrics: list[str]) -> list[str]:
     return out
 
 
-def city_summary_sql(market: str, min_rows: int = 1, metrics: list[str] = SUMMARY_METRICS_BOUND) -> str:
+def city_summary_sql(market: str, left_out: str = "FALSE", metrics: list[str] = SUMMARY_METRICS_BOUND) -> str:
     keys = ["city_name", "period_label"]
     cols = ", ".join(_stat_cols(metrics))
     return f"""
 SELECT city_name, period_label, dominant_neighbourhood, neighbourhood_entropy, dominant_room_type,
        room_type_entropy, {cols}
-FROM ({_med_mad_sql(market, keys, metrics, min_rows)}) s
+FROM ({_med_mad_sql(market, keys, metrics, left_out)}) s
 LEFT JOIN ({_dominant_sql(market, keys, 'neighbourhood_name', 'neighbourhood')}) USING (city_name, period_label)
 LEFT JOIN ({_dominant_sql(market, keys, 'room_type', 'room_type')}) USING (city_name, period_label)"""
 
 
-def neighbourhood_summary_sql(market: str, min_rows: int = 1, metrics: list[str] = SUMMARY_METRICS_BOUND) -> str:
+def neighbourhood_summary_sql(market: str, left_out: str = "FALSE", metrics: list[str] = SUMMARY_METRICS_BOUND) -> str:
     keys = ["city_name", "neighbourhood_name", "period_label"]
     cols = ", ".join(_stat_cols(metrics))
     return f"""
 SELECT city_name, neighbourhood_name, period_label, dominant_room_type, room_type_entropy, {cols}
-FROM ({_med_mad_sql(market, keys, metrics, min_rows)}) s
+FROM ({_med_mad_sql(market, keys, metrics, left_out)}) s
 LEFT JOIN ({_dominant_sql(market, keys, 'room_type', 'room_type')}) USING (city_name, neighbourhood_name, period_label)"""
 
 
@@ -144,7 +144,7 @@ def _mad_bounds_sql(med: str, mad: str) -> tuple[str, str]:
     return (f"GREATEST({med} - 1.4826 * {mad}, 1.0)", f"GREATEST({med} + 1.4826 * {mad}, {med})")
 
 
-def benchmark_sql(market: str, top_n: int = 10, nb_min_rows: int = 1, ct_min_rows: int = 1,
+def benchmark_sql(market: str, top_n: int = 10, nb_left_out: str = "FALSE", ct_left_out: str = "FALSE",
                   with_label: bool = False) -> str:
     mad_lo, mad_hi = _mad_bounds_sql("a.med", "d.mad")
     nb_lo, nb_hi = _mad_bounds_sql("nb.nightly_price_median", "nb.nightly_price_median_abs_deviation")
@@ -165,9 +165,9 @@ r AS (
   FROM ({market}) m
   LEFT JOIN a ON a.target_listing_id = m.listing_id AND a.target_snapshot_date = m.snapshot_date
   LEFT JOIN d ON d.target_listing_id = m.listing_id AND d.target_snapshot_date = m.snapshot_date
-  LEFT JOIN ({neighbourhood_summary_sql(market, nb_min_rows)}) nb
+  LEFT JOIN ({neighbourhood_summary_sql(market, nb_left_out)}) nb
     ON nb.city_name = m.city_name AND nb.neighbourhood_name = m.neighbourhood_name AND nb.period_label = m.period_label
-  LEFT JOIN ({city_summary_sql(market, ct_min_rows)}) ct
+  LEFT JOIN ({city_summary_sql(market, ct_left_out)}) ct
     ON ct.city_name = m.city_name AND ct.period_label = m.period_label)
 SELECT listing_id, snapshot_date, city_name, neighbourhood_name, period_label, nightly_price,
   CASE rung WHEN 1 THEN GREATEST(q1, 1.0) WHEN 2 THEN mad_lo WHEN 3 THEN nb_lo WHEN 4 THEN ct_lo

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from peerscope.plans.oracle import MARKET, benchmark_sql
+from peerscope.plans.oracle import MARKET, benchmark_sql, comparables_sql
 
 REFERENCE = """
 SELECT r.r_name AS city_name, n.n_name AS neighbourhood_name,
@@ -399,7 +399,7 @@ inf AS (SELECT *, CASE WHEN NOT (i OR f OR d OR s) THEN 'string' WHEN i AND NOT
 SELECT field, inferred_type, null_count > 0 AS nullable, non_empty_count, null_count,
        COALESCE(sample_values, '') AS sample_values,
        (inferred_type = 'string' AND n_distinct <= 20) AS likely_categorical,
-       LEAST(n_distinct, 20) AS unique_values_observed, n_distinct > 20 AS unique_values_truncated
+       n_distinct AS unique_values_observed, n_distinct > 20 AS unique_values_truncated
 FROM inf LEFT JOIN samples USING (field)"""
 
 CANDIDATE_KEYS = """
@@ -469,3 +469,58 @@ def validation_sql(missing_summary_columns: list[str]) -> str:
     ]
     body = " UNION ALL ".join(f"({p})" for p in parts)
     return f"SELECT * FROM ({body}) AS t(dataset, check_name, severity, message)"
+
+
+_LOCATION = ("latitude", "longitude", "distance_to_city_center_km", "distance_to_neighbourhood_center_km")
+_FLAGS = {"is_superhost": "superhost_status", "season_peak_flag": "peak_season", "season_shoulder_flag": "shoulder_season"}
+
+
+def local_explanation_sql(terms: list[tuple]) -> str:
+    """EXP1 + TOP3 over the feature frame for a fixed table of (column, category, coef, center, scale, fill)."""
+    sums: dict[str, list[str]] = {}
+    for column, category, coef, center, scale, fill in terms:
+        if category is None:
+            name = "location" if column in _LOCATION else column
+            text = f"(COALESCE(CAST({column} AS DOUBLE), {fill}::DOUBLE) - {center}::DOUBLE) / {scale}::DOUBLE * {coef}::DOUBLE"
+        elif column in _FLAGS and category != "true":
+            continue
+        else:
+            name = _FLAGS.get(column, f"{column}={category}")
+            text = f"CASE WHEN COALESCE(CAST({column} AS VARCHAR), '{fill}') = '{category}' THEN {coef}::DOUBLE ELSE 0 END"
+        sums.setdefault(name, []).append(text)
+    items = ", ".join(
+        f"{{'feature': '{name}', 'contribution': {' + '.join(values)}}}" for name, values in sorted(sums.items())
+    )
+    return f"""
+SELECT listing_id, snapshot_date, direction, CAST(rank AS INT) AS rank, feature, contribution FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY listing_id, snapshot_date, direction ORDER BY ABS(contribution) DESC, feature) AS rank
+  FROM (SELECT listing_id, snapshot_date, d.feature AS feature, d.contribution AS contribution,
+               CASE WHEN d.contribution > 0 THEN 'upward' ELSE 'downward' END AS direction
+        FROM (SELECT listing_id, snapshot_date, UNNEST([{items}]) AS d FROM ({FEATURE_FRAME}))
+        WHERE d.contribution <> 0))
+WHERE rank <= 3"""
+
+
+def decision_payload_sql(terms: list[tuple]) -> str:
+    """The nested decision record, flattened (latest snapshot of each listing)."""
+    return f"""
+WITH fm AS ({FEATURE_FRAME}),
+t AS (SELECT listing_id, MAX(snapshot_date) AS snapshot_date FROM fm GROUP BY listing_id),
+c AS ({comparables_sql(f"({FEATURE_FRAME})")}),
+near AS (
+  SELECT target_listing_id, target_snapshot_date, MEDIAN(nightly_price) AS med,
+    STRING_AGG(CAST(listing_id AS VARCHAR) || '@' || CAST(snapshot_date AS VARCHAR), '|' ORDER BY comparable_rank) AS ids
+  FROM c GROUP BY ALL
+),
+x AS ({local_explanation_sql(terms)}),
+drivers AS (
+  SELECT listing_id, snapshot_date, STRING_AGG(feature, '|' ORDER BY rank) FILTER (direction = 'upward') AS up,
+    STRING_AGG(feature, '|' ORDER BY rank) FILTER (direction = 'downward') AS down
+  FROM x GROUP BY ALL
+)
+SELECT fm.listing_id, fm.snapshot_date, COALESCE(ids, '') AS comparables, COALESCE(up, '') AS upward_drivers,
+  COALESCE(down, '') AS downward_drivers, COALESCE(med, fm.nightly_price) AS comparable_median_price,
+  'linear_baseline' AS source_model_name, FALSE AS has_nan, TRUE AS in_json
+FROM t JOIN fm USING (listing_id, snapshot_date)
+LEFT JOIN near ON target_listing_id = fm.listing_id AND target_snapshot_date = fm.snapshot_date
+LEFT JOIN drivers d ON d.listing_id = fm.listing_id AND d.snapshot_date = fm.snapshot_date"""

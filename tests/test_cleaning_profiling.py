@@ -11,10 +11,16 @@ from peerscope.sources import files
 
 
 def test_text_golden_vectors(spark):
-    assert T.normalize_text_value("PARCO BOSCO IN CITT\x85") == "PARCO BOSCO IN CITTÀ"
-    assert T.normalize_text_value("PARCO BOSCO IN CITTÂ…") == "PARCO BOSCO IN CITTÀ"
-    assert T.normalize_text_value("VII San Giovanni/CinecittÃ\xa0") == "VII San Giovanni/Cinecittà"
-    assert T.slug_value("VII San Giovanni/Cinecittà") == "vii_san_giovanni_cinecitta"
+    vectors = {
+        "PARCO BOSCO IN CITT\x85": "PARCO BOSCO IN CITTÀ", "PARCO BOSCO IN CITTÂ…": "PARCO BOSCO IN CITTÀ",
+        "VII San Giovanni/CinecittÃ\xa0": "VII San Giovanni/Cinecittà", "cafÃ©  du\x1ccoin": "café du coin",
+        "Ã?": "Ã?", "\ufeff ": None, "ﬁn\u3000 a": "fin a", "plain": "plain", None: None,
+    }
+    rows = spark.createDataFrame([(k, v) for k, v in vectors.items()], "raw string, want string")
+    for r in T.normalize_columns(rows.withColumn("got", F.col("raw")), ["got"]).collect():
+        assert r.got == r.want, r
+    slugs = T.slug_columns(spark.createDataFrame([("VII San Giovanni/Cinecittà",), (None,), ("—",)], "s string"), {"s": "o"})
+    assert [r.o for r in slugs.collect()] == ["vii_san_giovanni_cinecitta", "unknown", "unknown"]
     df = spark.createDataFrame(
         [(" roma ", "early spring", "Superhost", "43.77709, 11.25216", "VII San Giovanni/Cinecittà"),
          ("﻿Milano\t", "Early  Summer", "Host", "bad-value", "  Duomo  "),
@@ -114,3 +120,50 @@ def test_contract_null_and_key_findings(spark):
     assert by["primary_key_uniqueness"] == "Primary key `city_name, neighbourhood_name` contains `1` duplicate rows."
     missing = val.contract_column_findings(df.drop("neighbourhood_group_name"), contract).collect()
     assert [r.check_name for r in missing] == ["missing_contract_columns"]
+
+
+def test_coercion_rejects_what_is_no_number_or_date(spark):
+    vals = ["12d", "1.5f", " 7 ", "2.5", "3.5", "1e3", "nan", "inf", "x", "", None, "0x10", ".5"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    got = [(r.i, r.f) for r in df.select(cl.to_integer(F.col("v")).alias("i"), cl.to_float(F.col("v")).alias("f")).collect()]
+    inf = float("inf")
+    assert got == [(None, None), (None, None), (7, 7.0), (2, 2.5), (4, 3.5), (1000, 1000.0), (None, None), (None, inf),
+                   (None, None), (None, None), (None, None), (None, None), (0, 0.5)]
+    days = ["2024-03-15garbage", "2024-03-15", "2024-03-15T10:20:30Z", "2024-03-15 10:20", "2024-13-01", None]
+    df = spark.createDataFrame([(v,) for v in days], "v string")
+    got = [str(r.d) for r in df.select(cl.to_date(F.col("v")).alias("d")).collect()]
+    assert got == ["None", "2024-03-15", "2024-03-15", "2024-03-15", "None", "None"]
+
+
+def test_canonical_json_keeps_the_form_of_numbers(spark):
+    vals = ['{"b": 12.0, "a": [1, 1.50]}', "1.0", "{bad", None, '"é"', "NaN"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    assert [r.j for r in df.select(T.canonical_json(F.col("v")).alias("j")).collect()] == [
+        '{"a":[1,1.5],"b":12.0}', "1.0", None, None, '"é"', None]
+
+
+def test_findings_of_every_kind(spark):
+    boundary = spark.createDataFrame(
+        [("b1", "Atlantis", "Nowhere", "Point"), ("b1", "Roma", "Else", "Polygon")],
+        "boundary_id string, city_name string, neighbourhood_name string, geometry_type string")
+    ref = spark.createDataFrame([("Roma", "Centro", None)], cl.REFERENCE_CONTRACT and "city_name string, neighbourhood_name string, neighbourhood_group_name string")
+    manifest = spark.createDataFrame([("other", 5, "a|b")], "dataset_name string, row_count long, columns string")
+    found = val.validate({"neighbourhood_boundary": (boundary, cl.BOUNDARY_CONTRACT), "neighbourhood_reference": (ref, cl.REFERENCE_CONTRACT)},
+                         manifests={"neighbourhood_boundary": manifest})
+    found = found.unionByName(val.cross_dataset_findings(boundary, ref)).cache()
+    rows = {(r.check_name, r.message) for r in found.collect()}
+    assert ("geometry_type_values", "Unexpected geometry types found: Point.") in rows
+    assert ("canonical_city_labels", "Unexpected city labels found: Atlantis.") in rows
+    assert ("boundary_reference_alignment", "Boundary neighbourhoods missing from reference vocabulary: Else.") in rows
+    assert ("manifest_dataset_name", "Manifest dataset_name is `other` instead of `neighbourhood_boundary`.") in rows
+    assert ("manifest_row_count", "Manifest row_count is `5` but dataset has `2` rows.") in rows
+    assert ("manifest_columns", "Manifest column list does not match the actual dataset columns.") in rows
+    assert any(c == "primary_key_uniqueness" for c, _ in rows) and any(c == "missing_contract_columns" for c, _ in rows)
+    status = {r.dataset: r.status for r in val.validation_status(found, ["neighbourhood_boundary", "neighbourhood_reference"]).collect()}
+    assert status == {"neighbourhood_boundary": "failed", "neighbourhood_reference": "passed", "overall": "failed"}
+
+
+def test_geojson_properties_profile(spark):
+    df = spark.createDataFrame([("Polygon", {"a": "1", "b": None}), ("Point", {"a": "2.5"})], "geometry_type string, properties map<string,string>")
+    got = {r.property: (r.inferred_type, r.non_empty_count, r.null_count, r.geometry_types) for r in prof.geojson_profile(df).collect()}
+    assert got == {"a": ("float", 2, 0, "Point|Polygon"), "b": ("string", 0, 2, "Point|Polygon")}
