@@ -7,12 +7,14 @@ least T - L times in the short lists.
 
 Over the cluster, the split is by frequency: a fixed-size sketch counts all shingles of all documents,
 and only a set's n - ceil(t n) + 1 rarest shingles enter the distributed lists (the long lists, one
-fewer than the least T, are left to the probe).  Each list ties its members to its first member; the
-components of these ties are candidate groups that no link can leave.  Groups are then joined exactly,
-each in a task: short lists are merged, long ones probed by binary search, and only pairs that are
-not connected yet are looked for.  A group of more than ``GROUP_SETS`` sets or ``GROUP_SHINGLES``
-shingles is taken apart into its lists, and a list of more than that into parts that meet pairwise;
-nothing is capped.
+fewer than the least T, are left to the probe).  Within a list, pairs whose sizes or parity bitmaps
+rule a link out are passed over (a bitmap has one bit per bucket of shingles; two sets differ in at
+least as many shingles as their bitmaps do in bits), and the list sends a spanning forest of the rest.
+The components of these forests are candidate groups that no link can leave.  Groups are then joined
+exactly, each in a task: short lists are merged, long ones probed by binary search, and only pairs
+that are not connected yet are looked for.  A group or list of more than ``GROUP_SETS`` sets or
+``GROUP_SHINGLES`` shingles is cut into parts that meet pairwise, and a group of more than
+``GROUP_PARTS`` parts is taken apart into its lists; nothing is capped.
 
 Equal sets are one class from the start, so exact copies cost one posting each task.  Classes are known
 by a 64-bit hash of the set and hashes of shingles are taken as the shingles themselves.
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.llm.common import (
-    Rolling, Shared, column_arrays, components, mixed, ranges_concat, row_chunks, saved, sorted_groups, split_parts, word_bounds,
+    Rolling, Shared, column_arrays, components, find_roots, mixed, ranges_concat, row_chunks, saved, sorted_groups, split_parts, word_bounds,
 )
 
 WORDS = 5
@@ -40,7 +42,7 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 4, 5
 SKETCH_BITS, SLICE_BITS = 20, 12
 #: A candidate group is joined in one task up to this size.
-GROUP_SETS, GROUP_SHINGLES = 4096, 4_000_000
+GROUP_SETS, GROUP_SHINGLES, GROUP_PARTS = 2048, 2_000_000, 24
 #: Postings of one list that a task holds at once.
 LIST_ROWS = 1_000_000
 #: DivideSkip's weight of the longest list's logarithm when it chooses the number of long lists.
@@ -114,34 +116,89 @@ def least_overlap(n, m):
     return -(-NUMERATOR * (n + m) // (NUMERATOR + DENOMINATOR))
 
 
+def parity_bitmaps(shingles: np.ndarray, ends: np.ndarray) -> list[bytes | None]:
+    """Per row, a bit per bucket: whether an odd number of its shingles fall into it.  The number of
+    buckets is the power of two from twice the set's size on, 64 at least."""
+    out = []
+    for a, b in zip(ends, ends[1:], strict=False):
+        if a == b:
+            out.append(None)
+            continue
+        width = max(64, 1 << int(2 * (b - a) - 1).bit_length())
+        odd = np.bincount((shingles[a:b] >> np.uint64(8)).astype(np.int64) & (width - 1), minlength=width) & 1
+        out.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
+    return out
+
+
+def possible_pairs(n: np.ndarray, bitmaps: list[bytes], left: np.ndarray, right: np.ndarray):
+    """(i, j) of left and right rows whose sizes and bitmaps do not rule out a link."""
+    width = np.array([len(b) for b in bitmaps])
+    out_i, out_j = [], []
+
+    def folded(rows, to):
+        m = np.frombuffer(b"".join(bitmaps[r] for r in rows), np.uint64).reshape(len(rows), -1)
+        return m if m.shape[1] * 8 == to else m[:, : to // 8] ^ m[:, to // 8 :]
+
+    for w in np.unique(width):
+        for mine, others in ((left, right), (right, left)):
+            a = mine[width[mine] == w]
+            b = others[(width[others] == 2 * w) | ((width[others] == w) & (mine is left))]
+            if not len(a) or not len(b):
+                continue
+            x = folded(a, w)
+            y = np.empty((len(b), w // 8), np.uint64)
+            for at in (width[b] == w, width[b] != w):
+                if at.any():
+                    y[at] = folded(b[at], w)
+            step = max(1, (1 << 21) // y.size)
+            for lo in range(0, len(a), step):
+                i = a[lo : lo + step]
+                apart = np.bitwise_count(x[lo : lo + step, None, :] ^ y[None, :, :]).sum(axis=2, dtype=np.int64)
+                total = n[i][:, None] + n[b][None, :]
+                need = least_overlap(total, 0)
+                ok = (apart <= total - 2 * need) & (need <= np.minimum(n[i][:, None], n[b][None, :]))
+                p, q = np.nonzero(ok)
+                out_i.append(i[p])
+                out_j.append(b[q])
+    if not out_i:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(out_i), np.concatenate(out_j)
+
+
 def described(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """One row per document (key, n, cls), and each task's part of the frequency sketch (slice, counts)."""
+    """One row per document (key, n, cls, bitmap), and each task's part of the frequency sketch (slice,
+    counts); a set's bitmap comes once per task."""
 
     def describe(batches):
-        make, sketch = Shingler(words), np.zeros(1 << SKETCH_BITS, np.int64)
+        make, sketch, seen = Shingler(words), np.zeros(1 << SKETCH_BITS, np.int64), set()
         for batch in batches:
             data, offsets = column_arrays(batch, "text")
             keys = batch.column("key")
             for a, b in row_chunks(offsets):
                 s, ends = make.sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 sketch += np.bincount((s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
-                none = pa.nulls(b - a)
+                none, cls = pa.nulls(b - a), class_ids(s, ends)
+                bitmaps = parity_bitmaps(s, ends)
+                for i, c in enumerate(cls.tolist()):
+                    if c in seen:
+                        bitmaps[i] = None
+                    seen.add(c)
                 yield pa.RecordBatch.from_arrays(
-                    [keys.slice(a, b - a), pa.array(np.diff(ends)), pa.array(class_ids(s, ends)), none.cast(pa.int32()),
-                     none.cast(pa.binary())],
-                    names=["key", "n", "cls", "slice", "counts"],
+                    [keys.slice(a, b - a), pa.array(np.diff(ends)), pa.array(cls), pa.array(bitmaps, pa.binary()),
+                     none.cast(pa.int32()), none.cast(pa.binary())],
+                    names=["key", "n", "cls", "bitmap", "slice", "counts"],
                 )
         parts = [p.astype("<i8") for p in np.split(sketch, 1 << (SKETCH_BITS - SLICE_BITS))]
         used = [i for i, p in enumerate(parts) if p.any()]
         none = pa.nulls(len(used))
         yield pa.RecordBatch.from_arrays(
-            [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(used, pa.int32()),
-             pa.array([parts[i].astype("<i4").tobytes() for i in used], pa.binary())],
-            names=["key", "n", "cls", "slice", "counts"],
+            [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()),
+             pa.array(used, pa.int32()), pa.array([parts[i].astype("<i4").tobytes() for i in used], pa.binary())],
+            names=["key", "n", "cls", "bitmap", "slice", "counts"],
         )
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(describe, "key long, n long, cls long, slice int, counts binary")
+    return rows.mapInArrow(describe, "key long, n long, cls long, bitmap binary, slice int, counts binary")
 
 
 def sketch_of(rows: DataFrame) -> np.ndarray:
@@ -168,7 +225,7 @@ def frequent(sketch: np.ndarray) -> np.ndarray:
 
 
 def postings(docs: DataFrame, text: str, words: int, rare) -> DataFrame:
-    """(shingle, cls, n): the rarest n - ceil(t n) + 1 shingles of each set; copies in a task once."""
+    """(shingle, cls): the rarest n - ceil(t n) + 1 shingles of each set; copies in a task once."""
 
     def emit(batches):
         make, order, seen = Shingler(words), rare.value, set()
@@ -191,47 +248,70 @@ def postings(docs: DataFrame, text: str, words: int, rare) -> DataFrame:
                 if rows:
                     k = [len(x) for x in out]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.repeat(cls[rows], k)), pa.array(np.repeat(n[rows], k))],
-                        names=["shingle", "cls", "n"],
+                        [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.repeat(cls[rows], k))], names=["shingle", "cls"]
                     )
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(emit, "shingle long, cls long, n long")
+    return docs.select(F.col(text).alias("text")).mapInArrow(emit, "shingle long, cls long")
 
 
 def short_lists(rows: DataFrame) -> DataFrame:
-    """(shingle, cls, n, first): the members of each list of two classes or more, with the list's first."""
+    """(list, cls): the members of each list of two classes or more.  Lists with the same members are
+    one: a list is known by a hash of its members."""
 
-    def members(s, c, n):
+    def members(s, c, whole):
         start = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
         size = np.diff(np.append(start, len(s)))
-        first = np.repeat(c[start], size)
-        shared = np.repeat(np.logical_or.reduceat(first != c, start), size)
         again = np.zeros(len(s), bool)
         again[1:] = (s[1:] == s[:-1]) & (c[1:] == c[:-1])
+        shared = np.repeat(np.logical_or.reduceat(np.repeat(c[start], size) != c, start), size)
+        own = mixed(s[start].view(np.uint64))
+        with np.errstate(over="ignore"):
+            sums = np.add.reduceat(np.where(again, np.uint64(0), mixed(c.view(np.uint64))), start)
+        number = np.repeat(np.where(whole(s[start]), mixed(sums), own).view(np.int64), size)
         keep = shared & ~again
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x[keep]) for x in (s, c, n, first)], names=["shingle", "cls", "n", "first"]
-        )
+        return pa.RecordBatch.from_arrays([pa.array(number[keep]), pa.array(c[keep])], names=["list", "cls"])
 
     def merge(batches):
-        held = [np.empty(0, np.int64)] * 3
+        held, parted = [np.empty(0, np.int64)] * 2, None  # parted: a list of which a part has been handed on
+
+        def whole(x):
+            return x != parted if parted is not None else np.ones(len(x), bool)
+
         for batch in batches:
-            s, c, n = (np.concatenate((h, np.asarray(x))) for h, x in zip(held, batch.columns, strict=True))
+            s, c = (np.concatenate((h, np.asarray(x))) for h, x in zip(held, batch.columns, strict=True))
             if not len(s):
                 continue
             cut = int(np.searchsorted(s, s[-1]))  # the last list may go on in the next batch
             if cut:
-                yield members(s[:cut], c[:cut], n[:cut])
-            held = [s[cut:], c[cut:], n[cut:]]
+                yield members(s[:cut], c[:cut], whole)
+            held = [s[cut:], c[cut:]]
             if len(held[0]) > LIST_ROWS:  # hand on what there is; the first member stays
-                yield members(*held)
+                parted = held[0][0]
+                yield members(*held, whole)
                 held = [h[:1] for h in held]
         if len(held[0]):
-            yield members(*held)
+            yield members(*held, whole)
 
-    schema = "shingle long, cls long, n long, first long"
-    ordered = rows.repartition("shingle").sortWithinPartitions("shingle", "n", "cls")
-    return ordered.mapInArrow(merge, schema)
+    ordered = rows.select("shingle", "cls").repartition("shingle").sortWithinPartitions("shingle", "cls")
+    return ordered.mapInArrow(merge, "list long, cls long").distinct()
+
+
+def list_forests(rows: DataFrame) -> DataFrame:
+    """(a, b): a spanning forest of the pairs that may link, inside each list of ``rows``
+    (list, u, v, part, cls, n, bitmap)."""
+    keys = ["list", "u", "v"]
+
+    def meet(batches):
+        for (_, u, v), group in sorted_groups(batches, keys):
+            if group.num_rows < 2:
+                continue
+            cls, n, part = (np.asarray(group.column(c)) for c in ("cls", "n", "part"))
+            i, j = possible_pairs(n, group.column("bitmap").to_pylist(), np.flatnonzero(part == u), np.flatnonzero(part == v))
+            root = find_roots(len(cls), i, j)
+            tied = np.flatnonzero(root != np.arange(len(cls)))
+            yield pa.RecordBatch.from_arrays([pa.array(cls[tied]), pa.array(cls[root[tied]])], names=["a", "b"])
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(meet, "a long, b long").distinct()
 
 
 def linked(shingles: np.ndarray, ends: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -314,27 +394,30 @@ def class_components(docs: DataFrame, key: str, text: str, words: int) -> tuple[
     rows = facts.where("slice IS NULL").select("key", "n", "cls")
     rare = Shared(docs.sparkSession, frequent(sketch_of(facts)))
     lists = saved(short_lists(postings(docs, text, words, rare)), "short-lists")
-    groups = components(lists.where("cls <> first").select(F.col("cls").alias("a"), F.col("first").alias("b")), "candidates")
-    groups = saved(groups.select(F.col("node").alias("cls"), F.col("component").alias("grp")), "candidate-groups")
+
+    def part_count(sets, shingles):
+        return F.ceil(F.greatest(sets / GROUP_SETS, shingles / GROUP_SHINGLES)).cast("int")
+
+    # bitmaps of the classes that have company; a class may have come from several tasks
+    listed = lists.select("cls").distinct()
+    bitmaps = facts.where("bitmap IS NOT NULL").select("cls", "n", "bitmap").join(listed, "cls").groupBy("cls", "n").agg(
+        F.min("bitmap").alias("bitmap")
+    )
+    large = lists.groupBy("list").agg(F.ceil(F.count("*") / GROUP_SETS).cast("int").alias("_b")).where("_b > 1")
+    may = list_forests(split_parts(lists.join(bitmaps, "cls"), ["list"], large, "cls"))
+    groups = components(may, "candidates")
     reps = rows.where("n > 0").groupBy("cls").agg(F.min("key").alias("rep"), F.max("n").alias("n"))
-    members = groups.join(reps, "cls")
-    sizes = members.groupBy("grp").agg(F.count("*").alias("_sets"), F.sum("n").alias("_n"))
     members = saved(
-        members.join(sizes, "grp").withColumn(
-            "large", (F.col("_sets") > GROUP_SETS) | (F.col("_n") > GROUP_SHINGLES)
-        ).select("cls", "rep", "grp", "large"),
-        "candidate-members",
-    )
-    zero = F.lit(0)
-    whole = members.where("NOT large").select(
-        zero.alias("kind"), "grp", zero.alias("u"), zero.alias("v"), zero.alias("part"), "rep"
-    )
-    apart = lists.join(members.where("large").select("cls", "rep"), "cls").select(F.col("shingle").alias("grp"), "rep", "cls", "n")
-    load = apart.groupBy("grp").agg(
-        F.ceil(F.greatest(F.count("*") / GROUP_SETS * 2, F.sum("n") / GROUP_SHINGLES * 2)).cast("int").alias("_b")
+        groups.select(F.col("node").alias("cls"), F.col("component").alias("grp")).join(reps, "cls"), "candidate-groups"
     )
-    parts = split_parts(apart, ["grp"], load.where("_b > 1"), "cls")
-    routes = whole.union(parts.select(F.lit(1).alias("kind"), "grp", "u", "v", "part", "rep"))
+    sizes = members.groupBy("grp").agg(part_count(F.count("*"), F.sum("n")).alias("_b"))
+    huge = sizes.where(F.col("_b") > GROUP_PARTS).select("grp")
+    whole = split_parts(members.join(huge, "grp", "left_anti"), ["grp"], sizes.where(F.col("_b").between(2, GROUP_PARTS)), "cls")
+    apart = lists.join(members.join(huge, "grp", "left_semi"), "cls").select(F.col("list").alias("grp"), "cls", "rep", "n")
+    load = apart.groupBy("grp").agg(part_count(F.count("*"), F.sum("n")).alias("_b")).where("_b > 1")
+    parts = split_parts(apart, ["grp"], load, "cls")
+    columns = ["grp", "u", "v", "part", "rep"]
+    routes = whole.select(F.lit(0).alias("kind"), *columns).union(parts.select(F.lit(1).alias("kind"), *columns))
     texts = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text"))
     edges = group_links(texts.join(routes, "rep"), words)
     comp = components(edges, "jaccard-links")
