@@ -33,15 +33,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a scratch one only when unset.
+    """Return the session's checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is;
-    a local scratch folder is made only when nothing is configured (tests, bench).
+    On a cluster ``spark.checkpoint.dir`` must name a folder that all executors share; without it
+    this raises, since intermediate tables in machine-local folders would be read back in part.
+    Only a local session (tests, bench), whose one process has one file system, gets a scratch folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not configured:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="peerscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)

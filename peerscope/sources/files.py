@@ -7,7 +7,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, StringType
 
 from peerscope.operators.cleaning import SPARK_TYPES, Contract
 
@@ -156,7 +155,3 @@ def write_tables(tables: dict[str, DataFrame], root: str, sources: dict[str, lis
     for m in manifests[1:]:
         out = out.unionByName(m)
     return out
-
-
-def string_schema(columns: list[str]) -> StructType:
-    return StructType([StructField(c, StringType()) for c in columns])
