@@ -123,7 +123,7 @@ class Rolling:
     def windows(self, prefix: np.ndarray, size: int) -> np.ndarray:
         """Hash of every ``size``-byte window (window i starts at byte i)."""
         n = len(prefix) - size
-        if n <= 0:
+        if n <= 0:  # a buffer shorter than a window
             return np.empty(0, np.uint64)
         with np.errstate(over="ignore"):
             return mixed((prefix[size:] - prefix[:n]) * self.inverse[:n])
