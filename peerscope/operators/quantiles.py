@@ -11,8 +11,8 @@ a hot group (a third of all rows, continuous values) would sit in one task's mem
 4. only the (at most two per probability) buckets holding the wanted ranks are ranked,
    by a running count over their distinct values.
 
-Every task holds at most one bucket's distinct values; the result equals pandas /
-``percentile`` (linear interpolation between closest ranks).
+A task ranks one bucket's distinct values, and the number of buckets follows the largest group; the
+result equals pandas / ``percentile`` (linear interpolation between closest ranks).
 
 ``method="auto"`` first reads one number, the size of the largest group: when every group
 fits the in-task bound (``IN_TASK_LIMIT`` rows) Spark's single-pass ``percentile`` is exact
@@ -33,7 +33,8 @@ IN_TASK_LIMIT = 1_000_000
 
 
 def choose_method(df: DataFrame, value: str, keys: list[str] | None = None) -> str:
-    """'in_task' when the largest group (non-NULL values) fits ``IN_TASK_LIMIT``, else 'buckets'.
+    """'in_task' when the largest group (non-NULL values) fits ``IN_TASK_LIMIT``, else 'buckets:N'
+    with N so large that a bucket of the largest group stays within a fraction of that limit.
 
     One small aggregate; share its answer between quantile passes over the same groups.
     """
@@ -41,7 +42,7 @@ def choose_method(df: DataFrame, value: str, keys: list[str] | None = None) -> s
     vals = df.where(F.col(value).isNotNull())
     sizes = vals.groupBy(*keys).count() if keys else vals.agg(F.count(F.lit(1)).alias("count"))
     biggest = sizes.agg(F.max("count")).first()[0] or 0
-    return "in_task" if biggest <= IN_TASK_LIMIT else "buckets"
+    return "in_task" if biggest <= IN_TASK_LIMIT else f"buckets:{max(DEFAULT_BUCKETS, -(-4 * biggest // IN_TASK_LIMIT))}"
 
 
 def _by_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -63,9 +64,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], keys: list[st
     if method == "in_task":
         return vals.groupBy(*keys).agg(
             F.percentile("_x", [float(p) for p in probs]).alias(out), F.count(F.lit(1)).alias("n"))
+    if ":" in method:
+        buckets = int(method.split(":")[1])
     cut_probs = [i / buckets for i in range(1, buckets)]
     cuts = vals.groupBy(*keys).agg(
-        F.percentile_approx("_x", cut_probs, SKETCH_ACCURACY).alias("_cuts"), F.count(F.lit(1)).alias("n")
+        F.percentile_approx("_x", cut_probs, max(SKETCH_ACCURACY, 40 * buckets)).alias("_cuts"), F.count(F.lit(1)).alias("n")
     )
     counted = (
         _by_keys(vals, cuts.select(*keys, "_cuts"), keys)

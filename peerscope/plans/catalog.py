@@ -78,6 +78,21 @@ def q_comparables_sparse(spark, d):
     return select_comparables(sparse_market_frame(spark, d))
 
 
+@register("comparables_grid", sql.comparables_sql(sql.MARKET), COMP_DOUBLES)
+def q_comparables_grid(spark, d):
+    """The large-pool search on its own: no pool is joined pair-wise."""
+    return select_comparables(market_frame(spark, d), ROLES, ComparableSearch(direct_pool_limit=0))
+
+
+@register("medians_bucketed", sql.med_mad_sql(sql.MARKET, ["city_name", "period_label"], sql.SUMMARY_METRICS_BOUND),
+          sql._stat_cols(sql.SUMMARY_METRICS_BOUND))
+def q_medians_bucketed(spark, d):
+    """The large-group quantiles on their own: every group goes through the bucketed plan."""
+    from peerscope.operators.summaries import median_and_mad
+
+    return median_and_mad(market_frame(spark, d), ["city_name", "period_label"], sql.SUMMARY_METRICS_BOUND, "buckets")
+
+
 SUMMARY_DOUBLES = ["neighbourhood_entropy", "room_type_entropy"] + sql._stat_cols(sql.SUMMARY_METRICS_BOUND)
 
 

@@ -110,6 +110,10 @@ def _dominant_sql(market: str, keys: list[str], column: str, prefix: str) -> str
   GROUP BY {k}"""
 
 
+def med_mad_sql(market: str, keys: list[str], metrics: list[str]) -> str:
+    return f"SELECT * EXCLUDE (_rows) FROM ({_med_mad_sql(market, keys, metrics)})"
+
+
 SUMMARY_METRICS_BOUND = ["accommodates_count", "nightly_price", "rating_score", "latitude", "longitude"]
 
 
