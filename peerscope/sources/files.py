@@ -26,6 +26,12 @@ class SourceDescriptor:
     candidate_keys: tuple[tuple[str, ...], ...] = ()
     categorical_hints: tuple[str, ...] = ()
     reader_options: dict = field(default_factory=dict)
+    source_category: str = ""
+    encoding: str = "utf-8"
+    steward: str = ""
+    immutable: bool = True
+    description: str = ""
+    known_limitations: str = ""
 
 
 def read_raw_csv(spark: SparkSession, path: str, na_tokens: list[str] | None = NA_TOKENS) -> DataFrame:
@@ -119,6 +125,22 @@ def file_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     )
 
 
+def provenance_manifest(spark: SparkSession, descriptors: list[SourceDescriptor]) -> DataFrame:
+    """SRC7: one row per described source: what it is and who keeps it, with its file's facts."""
+    names = ["dataset_name", "canonical_path", "source_category", "file_format", "encoding", "steward", "immutable",
+             "description", "known_limitations"]
+    told = spark.createDataFrame(
+        [(d.name, d.path, d.source_category, d.file_format, d.encoding, d.steward, d.immutable, d.description,
+          d.known_limitations) for d in descriptors],
+        ", ".join(f"{n} {'boolean' if n == 'immutable' else 'string'}" for n in names))
+    files = spark.read.format("binaryFile").load([d.path for d in descriptors]).select(
+        F.regexp_replace("path", "^file:/*", "/").alias("_path"), F.col("length").alias("size_bytes"),
+        F.sha2("content", 256).alias("sha256"), F.current_date().alias("import_date"))
+    plain = F.regexp_replace("canonical_path", "^file:/*", "/")
+    return told.withColumn("original_filename", F.regexp_extract("canonical_path", r"([^/]+)$", 1)).join(
+        files, plain == F.col("_path"), "left").drop("_path")
+
+
 def write_processed(df: DataFrame, name: str, root: str, sources: list[str],
                     generation_date: dt.date | None = None, sort_keys: list[str] | None = None) -> DataFrame:
     """SNK1: write Parquet and CSV (header) plus a one-row manifest; returns the manifest.
