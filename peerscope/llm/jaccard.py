@@ -118,13 +118,13 @@ def least_overlap(n, m):
 
 def parity_bitmaps(shingles: np.ndarray, ends: np.ndarray) -> list[bytes | None]:
     """Per row, a bit per bucket: whether an odd number of its shingles fall into it.  The number of
-    buckets is the power of two from twice the set's size on, 64 at least."""
+    buckets is the power of two from the set's size on, 64 at least."""
     out = []
     for a, b in zip(ends, ends[1:], strict=False):
         if a == b:
             out.append(None)
             continue
-        width = max(64, 1 << int(2 * (b - a) - 1).bit_length())
+        width = max(64, 1 << int(b - a - 1).bit_length())
         odd = np.bincount((shingles[a:b] >> np.uint64(8)).astype(np.int64) & (width - 1), minlength=width) & 1
         out.append(np.packbits(odd.astype(np.uint8), bitorder="little").tobytes())
     return out
