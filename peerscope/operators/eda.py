@@ -183,7 +183,7 @@ def heatmap_scale(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
 
 def data_profile(df: DataFrame, roles: Roles = Roles(), approx: bool = False) -> DataFrame:
     """AGG14 as a long table (metric, key, value): overall statistics plus counts per city
-    and per period, from one scan with GROUPING SETS."""
+    and per period, one aggregate each (medians need their own grouping)."""
     r = roles
     x = F.col(r.price).cast("double")
     counts = df.agg(
