@@ -35,7 +35,7 @@ from peerscope.llm.common import components, find_roots, saved, sorted_groups, s
 BLOCKS = 2
 #: Independent codes, and the mean number of caps of a code that a vector lies in.  Recall at the
 #: threshold grows with both; several codes even out directions that one code covers badly.
-CODES, CAPS = 4, 12
+CODES, CAPS = 4, 10
 #: Rows of a cap that are compared in one task.
 CAP_ROWS = 2048
 SEED = 20240229
@@ -109,18 +109,35 @@ def usable(col):
     return F.coalesce(finite & F.exists(col, lambda v: v != 0), F.lit(False))
 
 
+def stored(df: DataFrame, vector: str):
+    """The vector column as array<float> if it is one, else as array<double>: what tasks exchange."""
+    kind = df.schema[vector].dataType.simpleString()
+    return F.col(vector) if kind == "array<float>" else F.col(vector).cast("array<double>")
+
+
 def vector_classes(df: DataFrame, key: str, vector: str) -> DataFrame:
     """(dim, vector, rep, mult): one row per distinct usable vector, its smallest id and its rows."""
-    rows = df.where(usable(F.col(vector))).select(F.col(key).alias("_k"), F.col(vector).cast("array<double>").alias("_v"))
+    rows = df.where(usable(F.col(vector))).select(F.col(key).alias("_k"), stored(df, vector).alias("_v"))
     return rows.groupBy("_v").agg(F.min("_k").alias("rep"), F.count("*").alias("mult")).select(
         F.size("_v").alias("dim"), F.col("_v").alias("vector"), "rep", "mult"
     )
 
 
-def _matrix(column: pa.ChunkedArray, dtype) -> np.ndarray:
-    col = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    raw = col.to_pylist()
-    return np.frombuffer(b"".join(raw), dtype).reshape(len(raw), -1)
+def unit_rows(raw: np.ndarray) -> np.ndarray:
+    """Rows normalised in double precision (scaled first, so that no square overflows or vanishes)."""
+    x = raw.astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
+    raw = column.to_pylist()
+    return np.frombuffer(b"".join(raw), "<f4" if len(raw[0]) == 4 * dim else "<f8").reshape(len(raw), dim)
+
+
+def _list_type(words: int) -> str:
+    """Cap numbers take four bytes while they fit."""
+    return "<i4" if CODES * words**BLOCKS < 1 << 31 else "<i8"
 
 
 def cap_members(classes: DataFrame, words: int, caps: float) -> DataFrame:
@@ -139,16 +156,16 @@ def cap_members(classes: DataFrame, words: int, caps: float) -> DataFrame:
                     some = pa.array(at[lo : lo + 256])
                     part = batch.take(some)
                     x = np.asarray(part.column("vector").flatten()).reshape(len(some), dim)
-                    unit = x / np.abs(x).max(axis=1, keepdims=True)
-                    unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
+                    unit = unit_rows(x)
                     decoded = [c.decode(unit) for c in codes[dim]]
                     row = np.concatenate([r for r, _ in decoded])
                     cap = np.concatenate([c + k * words**BLOCKS for k, (_, c) in enumerate(decoded)])
                     order = np.lexsort((cap, row))
-                    row, cap = row[order].astype(np.int64), cap[order].astype("<i8")
+                    row, cap = row[order].astype(np.int64), cap[order].astype(np.int64)
                     ends = np.searchsorted(row, np.arange(len(some) + 1))
-                    lists = [cap[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]
-                    raw = [v.tobytes() for v in unit.astype("<f8")]
+                    packed = cap.astype(_list_type(words))
+                    lists = [packed[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)]
+                    raw = [v.tobytes() for v in x]
                     take = pa.array(row)
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -180,7 +197,7 @@ def first_shared(mine: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.nda
         j += y < x
 
 
-def cap_links(members: DataFrame, threshold: float) -> DataFrame:
+def cap_links(members: DataFrame, words: int, threshold: float) -> DataFrame:
     """(a, b, n): with b null, n more links of class a; else a link of the spanning forests.
 
     Caps of more than CAP_ROWS rows are cut into parts by a hash of the class; each pair of parts
@@ -189,12 +206,12 @@ def cap_links(members: DataFrame, threshold: float) -> DataFrame:
     rows = split_parts(members, ["dim", "cap"], sizes.where("_b > 1"), "rep")
 
     def meet(batches):
-        for (_, cap, u, v), group in sorted_groups(batches, ["dim", "cap", "u", "v"]):
+        for (dim, cap, u, v), group in sorted_groups(batches, ["dim", "cap", "u", "v"]):
             if group.num_rows < 2:
                 continue
             rep, mult, part = (np.asarray(group.column(c)) for c in ("rep", "mult", "part"))
-            x = _matrix(group.column("vector"), "<f8")
-            caps = [np.frombuffer(c, "<i8") for c in group.column("caps").to_pylist()]
+            x = unit_rows(_matrix(group.column("vector"), int(dim)))
+            caps = [np.frombuffer(c, _list_type(words)) for c in group.column("caps").to_pylist()]
             left = np.flatnonzero(part == u)
             right = left if u == v else np.flatnonzero(part == v)
             found = np.zeros(len(rep), np.int64)
@@ -236,7 +253,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     rows = df.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("_e"))
     classes = saved(vector_classes(rows, "vec_id", "_e"), "vector-classes")
     words = max(4, math.ceil(classes.count() ** (1 / BLOCKS)))
-    found = saved(cap_links(cap_members(classes, words, caps), threshold), "cap-links")
+    found = saved(cap_links(cap_members(classes, words, caps), words, threshold), "cap-links")
     links = found.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("n"))
     comp = components(found.where("b IS NOT NULL").select("a", "b"), "vector-components")
     known = classes.join(links, F.col("rep") == F.col("a"), "left").join(comp, F.col("rep") == F.col("node"), "left").select(
@@ -244,7 +261,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
         (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("_links"),
         F.coalesce("component", "rep").alias("_comp"),
     )
-    able = rows.withColumn("_v", F.when(usable(F.col("_e")), F.col("_e").cast("array<double>")))
+    able = rows.withColumn("_v", F.when(usable(F.col("_e")), stored(rows, "_e")))
     out = able.join(known, "_v", "left")
     comp_id = F.coalesce("_comp", "vec_id")
     return out.select(
