@@ -301,24 +301,31 @@ def q_benchmark_diagnostics(spark, d):
     return ev.benchmark_diagnostics(ranges, scored)
 
 
-def _metrics_long(split_frame: DataFrame) -> DataFrame:
-    parts = []
+def _predictions(split_frame: DataFrame) -> DataFrame:
+    """Every model's prediction beside the rows (``pred_<model>``), written once."""
+    out = split_frame
     for name, keys in rep.MODELS.items():
-        sc = _predict(split_frame, keys).where(F.col("split") == "test")
-        e = ev.with_errors(sc, "nightly_price")
-        parts.append(e.agg(F.avg("absolute_error").alias("mae")).select(
-            F.lit(name).alias("model"), F.lit("overall").alias("slice"), F.lit(None).cast("string").alias("value"), "mae"))
-        parts.append(ev.sliced_mae(sc, "nightly_price", ["city_name"]).select(
-            F.lit(name).alias("model"), "slice", "value", "mae"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        out = _predict(out, keys).withColumnRenamed("prediction", f"pred_{name}")
+    return cut_lineage(out, "predictions")
+
+
+def _metrics_long(predictions: DataFrame) -> DataFrame:
+    """(model, slice, value, mae) of all models on the test rows, from one grouped sum of errors."""
+    test = predictions.where(F.col("split") == "test")
+    models = F.array(*[F.struct(F.lit(n).alias("model"), F.col(f"pred_{n}").alias("p")) for n in rep.MODELS])
+    sums = test.select("city_name", "nightly_price", F.explode(models).alias("m")).groupBy(
+        F.col("m.model").alias("model"), "city_name"
+    ).agg(F.sum(F.abs(F.col("nightly_price") - F.col("m.p"))).alias("e"), F.count("m.p").alias("n"))
+    city = sums.where(F.col("city_name").isNotNull()).select(
+        "model", F.lit("city_name").alias("slice"), F.col("city_name").alias("value"), (F.col("e") / F.col("n")).alias("mae"))
+    overall = sums.groupBy("model").agg((F.sum("e") / F.sum("n")).alias("mae")).select(
+        "model", F.lit("overall").alias("slice"), F.lit(None).cast("string").alias("value"), "mae")
+    return overall.unionByName(city)
 
 
 @register("champion_choice", rep.CHAMPION_CHOICE)
 def q_champion_choice(spark, d):
-    return ev.champion_choice(_metrics_long(_split_frame(spark, d)), rep.BASELINE_MODEL)
+    return ev.champion_choice(_metrics_long(_predictions(_split_frame(spark, d))), rep.BASELINE_MODEL)
 
 
 # ---------------------------------------------------------------- decisions
@@ -361,11 +368,12 @@ def _decisions(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
         fm, ["listing_id", "snapshot_date"]), "targets")
     comps = select_comparables(fm, ROLES, ComparableSearch(), targets=found)
     ranges = benchmark_ranges(found, comps, *price_summaries(fm))
-    estimates = _predict(split, rep.BASE_KEYS).select(
-        "listing_id", "snapshot_date", F.col("prediction").alias("estimated_market_price"))
-    scored = _predict(split, rep.BASE_KEYS).where(F.col("split") == "test")
+    predictions = _predictions(split)
+    base = F.col("pred_" + next(n for n, keys in rep.MODELS.items() if list(keys) == list(rep.BASE_KEYS)))
+    estimates = predictions.select("listing_id", "snapshot_date", base.alias("estimated_market_price"))
+    scored = predictions.where(F.col("split") == "test").withColumn("prediction", base)
     cal = ev.interval_calibration(scored, "nightly_price")
-    models = ev.champion_choice(_metrics_long(split), rep.BASELINE_MODEL)
+    models = cut_lineage(ev.champion_choice(_metrics_long(predictions), rep.BASELINE_MODEL), "champion")
     records = dec.decision_records(found, ranges, estimates, cal, models)
     return req, records, comps
 
