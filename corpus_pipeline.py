@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscope.llm import bpe, decontaminate, jaccard, repeats, toxicity
-from peerscope.llm.common import bounded_batches, saved, table
+from peerscope.llm.common import bounded_batches, fresh_name, saved, table
 from peerscope.llm.queries import WORD_BPE
 
 #: No stage can be written as SQL as a whole (scores, components, byte spans, token ids).
@@ -21,8 +21,9 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under one half."""
     bounded_batches(spark)
-    scored = toxicity.scored_documents(docs, table(spark, sf_dir, "labels"), out="_toxicity")
-    return scored.where("_toxicity < 0.5").select(*docs.columns)
+    score = fresh_name(docs, "toxicity")
+    scored = toxicity.scored_documents(docs, table(spark, sf_dir, "labels"), out=score)
+    return scored.where(F.col(score) < 0.5).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

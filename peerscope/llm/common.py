@@ -55,6 +55,14 @@ def saved(df: DataFrame, name: str, **options) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh_name(df: DataFrame, base: str) -> str:
+    """``base`` with as many leading underscores as it takes not to clash with a column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base = f"_{base}"
+    return base
+
+
 def column_arrays(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; a null value is empty."""
     col = batch.column(name).cast(pa.large_binary())

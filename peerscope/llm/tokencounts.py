@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Lengths per block of the two-level suffix sums.
-BLOCK = 4096
+BLOCK = 256
 
 
 def length_histogram(df: DataFrame, length: Column) -> DataFrame:

@@ -63,10 +63,15 @@ def test_pipeline_stages(spark):
 
 def test_stages_pass_nulls_and_empty_tables(spark):
     docs = spark.createDataFrame(
-        [(None, None, None, None, None), (1, "", "en", "s", 0), (None, "a b c d e f g", None, None, 3)],
-        "doc_id long, text string, lang string, source string, n_chars long",
+        [(None, None, None, None, None, 1, "a", 2.5, "x"), (1, "", "en", "s", 0, 2, "b", 0.0, "y"),
+         (None, "a b c d e f g", None, None, 3, 3, "c", 1.0, "z")],
+        # the last four clash with names that operators use
+        "doc_id long, text string, lang string, source string, n_chars long, doc int, twin string, toxicity double, spans string",
     )
     for data, n in ((docs, 3), (docs.where("n_chars = 99"), 0)):
         for name, stage in corpus_pipeline.STAGES:
             data = stage(spark, data, SMALL)
             assert data.count() == n, name
+            if name != "bpe":
+                assert data.columns == docs.columns
+                assert sorted(r["doc"] for r in data.collect()) == [1, 2, 3][:n]
