@@ -122,6 +122,12 @@ def neighbourhood_price_extremes(df: DataFrame, roles: Roles = Roles(), min_list
     )
 
 
+def extremes_in_display_order(extremes: DataFrame, roles: Roles = Roles()) -> DataFrame:
+    """SRT3: the extremes (ten rows) ordered by median for display, with ``display_rank``."""
+    w = Window.orderBy(F.col("median_nightly_price").asc_nulls_last(), roles.city, roles.neighbourhood, "segment")
+    return extremes.withColumn("display_rank", F.row_number().over(w)).orderBy("display_rank")
+
+
 def _global_quantiles(df: DataFrame, col: str, probs: list[float], approx: bool) -> DataFrame:
     """One-row table with ``_q`` (array) and ``n``."""
     if approx:

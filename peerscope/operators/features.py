@@ -63,6 +63,13 @@ def joined_with_reference(listings: DataFrame, reference: DataFrame, roles: Role
     )
 
 
+def repeated_reference_keys(reference: DataFrame, roles: Roles = Roles()) -> DataFrame:
+    """JON1's cardinality check: (city, neighbourhood) keys that the reference has more than once and
+    that would therefore multiply listing rows, with their number of rows."""
+    keys = [roles.city, roles.neighbourhood]
+    return reference.groupBy(*keys).agg(F.count(F.lit(1)).alias("reference_rows")).where("reference_rows > 1")
+
+
 def model_input(listings: DataFrame, reference: DataFrame, roles: Roles = Roles(),
                 max_price: float = MAX_MODELING_NIGHTLY_PRICE, zone_city: str = ZONE_CITY) -> DataFrame:
     """Listing rows with reference group, tenure, season flags and zone, price <= max_price.

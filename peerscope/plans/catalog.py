@@ -217,6 +217,18 @@ def q_price_extremes(spark, d):
     return eda.neighbourhood_price_extremes(market_frame(spark, d))
 
 
+@register("price_extremes_display", rep.PRICE_EXTREMES_DISPLAY, ["median_nightly_price"])
+def q_price_extremes_display(spark, d):
+    return eda.extremes_in_display_order(eda.neighbourhood_price_extremes(market_frame(spark, d)))
+
+
+@register("reference_cardinality", rep.REFERENCE_CARDINALITY)
+def q_reference_cardinality(spark, d):
+    """JON1's check on a reference table that holds every neighbourhood of two regions twice."""
+    ref = testdata.neighbourhood_reference(spark, d)
+    return feat.repeated_reference_keys(ref.unionByName(ref.where("city_name IN ('ASIA', 'EUROPE')")))
+
+
 @register("price_histogram", rep.PRICE_HISTOGRAM, ["bin_lower", "bin_upper"])
 def q_price_histogram(spark, d):
     return eda.price_histogram(market_frame(spark, d))
@@ -459,9 +471,9 @@ def q_slug(spark, d):
     return out.select("p_partkey", "name_slug", "brand_slug", "type_slug")
 
 
-@register("clean_text")
+@register("clean_text", rep.CLEAN_TEXT)
 def q_clean_text(spark, d):
-    """STR1 over every whole document (rows-only: NFKC has no SQL equivalent)."""
+    """STR1 over every whole document (its characters have no compatibility forms, so SQL's NFC will do)."""
     docs = testdata.table(spark, d, "documents").select("doc_id", "text")
     out = txt.normalize_columns(docs.withColumn("clean_text", F.col("text")), ["clean_text"])
     return out.select("doc_id", "clean_text", F.length("clean_text").alias("clean_chars"))

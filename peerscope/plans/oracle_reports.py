@@ -117,6 +117,17 @@ UNION ALL
 SELECT * FROM (SELECT *, 'Lower priced' AS segment FROM ({_EXTREME_BASE})
                ORDER BY median_nightly_price ASC NULLS LAST, city_name, neighbourhood_name LIMIT 5)"""
 
+PRICE_EXTREMES_DISPLAY = f"""
+SELECT *, ROW_NUMBER() OVER (ORDER BY median_nightly_price ASC NULLS LAST, city_name, neighbourhood_name, segment) AS display_rank
+FROM ({PRICE_EXTREMES})"""
+
+REFERENCE_CARDINALITY = f"""
+SELECT city_name, neighbourhood_name, 2 AS reference_rows FROM ({REFERENCE}) WHERE city_name IN ('ASIA', 'EUROPE')"""
+
+CLEAN_TEXT = r"""
+SELECT doc_id, c AS clean_text, length(c) AS clean_chars FROM (
+  SELECT doc_id, NULLIF(trim(nfc_normalize(regexp_replace(text, '[\t-\r\x1c-\x20\x{85}\x{a0}]+', ' ', 'g'))), '') AS c FROM documents)"""
+
 PRICE_HISTOGRAM = f"""
 WITH p AS (SELECT CAST(nightly_price AS DOUBLE) AS x FROM {M} WHERE nightly_price IS NOT NULL),
 cap AS (SELECT QUANTILE_CONT(x, 0.99) AS cap FROM p),
