@@ -1,6 +1,5 @@
 import json
 
-import pytest
 from pyspark.sql import functions as F
 
 from peerscope.functions import text as T

@@ -1,6 +1,5 @@
 import datetime as dt
 
-import pytest
 
 from peerscope.operators import eda
 from peerscope.operators.features import model_input, model_input_profile
