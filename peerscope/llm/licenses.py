@@ -93,7 +93,7 @@ class Matcher:
         v = {t: k * self.weight(t) for t, k in Counter(terms).items()}
         norm = math.sqrt(sum(w * w for w in v.values()))
         found = [(sum(w * t.get(x, 0.0) for x, w in v.items()) / norm, name) for t, name in zip(self.vectors, self.names, strict=True)]
-        score, name = max(found, key=lambda f: (round(f[0], 12), [-ord(c) for c in f[1]]))
+        score, name = min(found, key=lambda f: (-round(f[0], 12), f[1]))
         return min(score, 1.0), name
 
 
@@ -130,7 +130,7 @@ def own_licenses(files: DataFrame, text: str = "text", threshold: float = THRESH
     @F.arrow_udf("struct<license:string,similarity:double>")
     def match(texts: pa.Array) -> pa.Array:
         m, terms = matcher.value, Terms()
-        names, scores = [None] * len(texts), [None] * len(texts)
+        best: dict[int, tuple[float, str]] = {}  # row -> (minus the similarity, licence), the least one
         data, offsets = column_arrays(pa.RecordBatch.from_arrays([texts], names=["text"]), "text")
         for a, b in row_chunks(offsets):
             part, o = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
@@ -146,8 +146,10 @@ def own_licenses(files: DataFrame, text: str = "text", threshold: float = THRESH
                 w = np.searchsorted(starts, [lo, hi])
                 score, name = m.best(h[w[0] : w[1]].tolist())
                 row = a + int(np.searchsorted(o, lo, side="right")) - 1
-                if score >= m.threshold and (scores[row] is None or (round(score, 12), ) > (round(scores[row], 12), ) or (round(score, 12) == round(scores[row], 12) and name < names[row])):
-                    names[row], scores[row] = name, score
+                if score >= m.threshold:
+                    best[row] = min(best.get(row, (0.0, "")), (-round(score, 12), name))
+        names = [best[i][1] if i in best else None for i in range(len(texts))]
+        scores = [-best[i][0] if i in best else None for i in range(len(texts))]
         return pa.StructArray.from_arrays(
             [pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["license", "similarity"],
             mask=pa.array([x is None for x in names]),
