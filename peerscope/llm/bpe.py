@@ -27,12 +27,12 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import Shared
+from peerscope.llm.common import Shared, by_pieces
 
 #: Symbols up to which a word is merged by scanning the rank array.
 SCAN_LIMIT = 96
 #: Entries of one memo generation.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 150_000
 NO_RANK = 1 << 30
 #: White space of the vocabulary's pattern (Unicode White_Space).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -207,8 +207,7 @@ def encoder(model):
 
     @F.arrow_udf("binary")
     def bpe_encode(texts: pa.Array) -> pa.Array:
-        encode = model.value.encode
-        return pa.array([encode(t) for t in texts.to_pylist()], pa.binary())
+        return by_pieces(texts, model.value.encode, pa.binary())
 
     return bpe_encode
 
@@ -218,8 +217,7 @@ def decoder(model):
 
     @F.arrow_udf("string")
     def bpe_decode(ids: pa.Array) -> pa.Array:
-        decode = model.value.decode
-        return pa.array([decode(i) for i in ids.to_pylist()], pa.string())
+        return by_pieces(ids, model.value.decode, pa.string())
 
     return bpe_decode
 

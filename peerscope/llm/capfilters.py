@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import components, find_roots, saved, sorted_groups, split_parts
+from peerscope.llm.common import components, find_roots, saved, sorted_groups, split_parts, trimming
 
 BLOCKS = 2
 #: Independent codes, and the mean number of caps of a code that a vector lies in.  Recall at the
@@ -179,7 +179,7 @@ def cap_members(classes: DataFrame, words: int, caps: float) -> DataFrame:
                         names=["dim", "cap", "rep", "mult", "vector", "caps"],
                     )
 
-    return classes.select("dim", "vector", "rep", "mult").mapInArrow(decode, schema)
+    return classes.select("dim", "vector", "rep", "mult").mapInArrow(trimming(decode), schema)
 
 
 def first_shared(mine: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -244,7 +244,7 @@ def cap_links(members: DataFrame, words: int, threshold: float) -> DataFrame:
             )
 
     keys = ["dim", "cap", "u", "v"]
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(meet, "a long, b long, n long")
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(trimming(meet), "a long, b long, n long")
 
 
 def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.95,

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from peerscope.llm.common import trimming
+
 START, END = "<|im_start|>", "<|im_end|>"
 PARTS_TYPE = (
     "array<struct<kind:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>>"
@@ -200,6 +202,6 @@ def conversation_digests(formatted: DataFrame) -> DataFrame:
         .sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "role", "formatted")
     )
     return ordered.select("conv_id", "formatted").mapInArrow(
-        fold,
+        trimming(fold),
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
     )

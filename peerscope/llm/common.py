@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import pickle
 import uuid
 
@@ -14,8 +16,8 @@ from pyspark.sql import functions as F
 from peerscope.session import ensure_checkpoint_dir
 
 #: Text bytes a task scans at once; numpy temporaries are about 60 times this size.
-CHUNK_BYTES = 1 << 20
-BATCH_BYTES = 16 << 20
+CHUNK_BYTES = 1 << 19
+BATCH_BYTES = 8 << 20
 BATCH_BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -76,6 +78,36 @@ def column_arrays(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndar
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: Python workers live on from task to task, and what one
+    stage's large arrays took would otherwise stay with the process through all later stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def trimming(fn):
+    """A function for ``mapInArrow`` that gives freed memory back when its task is done."""
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            release_memory()
+
+    return run
+
+
+def by_pieces(values: pa.Array, make, kind: pa.DataType, rows: int = 256) -> pa.Array:
+    """``make`` of each value of a batch, turned into Arrow every ``rows`` rows, so that no more of its
+    Python objects live at a time."""
+    parts = []
+    for at in range(0, len(values), rows):
+        parts.append(pa.array([make(v) for v in values.slice(at, rows).to_pylist()], kind))
+    release_memory()
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
+
+
 def row_chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES):
     """Consecutive row ranges (first, last) whose texts hold about ``limit`` bytes, one row at least."""
     first, n = 0, len(offsets) - 1

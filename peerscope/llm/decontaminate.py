@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import Rolling, column_arrays, row_chunks, saved, word_bounds
+from peerscope.llm.common import Rolling, column_arrays, row_chunks, saved, trimming, word_bounds
 
 SHARD_BYTES = 1 << 19
 BLOCK_BYTES = 4 << 20
@@ -93,7 +93,7 @@ def build_index(df: DataFrame, key: str = "doc_id", text: str = "text", name: st
 
     rows = df.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     # lists of positions don't repeat: a dictionary would only take memory
-    return saved(rows.mapInArrow(shards, INDEX_SCHEMA), name, **{"parquet.enable.dictionary": "false"})
+    return saved(rows.mapInArrow(trimming(shards), INDEX_SCHEMA), name, **{"parquet.enable.dictionary": "false"})
 
 
 class Shard:
@@ -234,7 +234,7 @@ def search(index: DataFrame, items: DataFrame, key: str = "item_id", text: str =
                         [pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["uid", "key", "hits", "items"]
                     )
 
-        part = index.mapInArrow(run, schema)
+        part = index.mapInArrow(trimming(run), schema)
         out = part if out is None else out.union(part)
     return out if out is not None else spark.createDataFrame([], schema)
 

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.llm.common import (
-    Rolling, Shared, column_arrays, components, find_roots, mixed, ranges_concat, row_chunks, saved, sorted_groups, split_parts, word_bounds,
+    Rolling, Shared, column_arrays, components, find_roots, mixed, ranges_concat, row_chunks, saved, sorted_groups, split_parts, trimming, word_bounds,
 )
 
 WORDS = 5
@@ -198,7 +198,7 @@ def described(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
         )
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(describe, "key long, n long, cls long, bitmap binary, slice int, counts binary")
+    return rows.mapInArrow(trimming(describe), "key long, n long, cls long, bitmap binary, slice int, counts binary")
 
 
 def sketch_of(rows: DataFrame) -> np.ndarray:
@@ -213,7 +213,7 @@ def sketch_of(rows: DataFrame) -> np.ndarray:
 
     parts = rows.where("slice IS NOT NULL").select("slice", "counts").repartition("slice").sortWithinPartitions("slice")
     out = np.zeros(1 << SKETCH_BITS, np.int64)
-    for r in parts.mapInArrow(add, "slice int, counts binary").toLocalIterator():
+    for r in parts.mapInArrow(trimming(add), "slice int, counts binary").toLocalIterator():
         out[r["slice"] << SLICE_BITS : (r["slice"] + 1) << SLICE_BITS] = np.frombuffer(r["counts"], "<i8")
     return out
 
@@ -251,7 +251,7 @@ def postings(docs: DataFrame, text: str, words: int, rare) -> DataFrame:
                         [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.repeat(cls[rows], k))], names=["shingle", "cls"]
                     )
 
-    return docs.select(F.col(text).alias("text")).mapInArrow(emit, "shingle long, cls long")
+    return docs.select(F.col(text).alias("text")).mapInArrow(trimming(emit), "shingle long, cls long")
 
 
 def short_lists(rows: DataFrame) -> DataFrame:
@@ -293,7 +293,7 @@ def short_lists(rows: DataFrame) -> DataFrame:
             yield members(*held, whole)
 
     ordered = rows.select("shingle", "cls").repartition("shingle").sortWithinPartitions("shingle", "cls")
-    return ordered.mapInArrow(merge, "list long, cls long").distinct()
+    return ordered.mapInArrow(trimming(merge), "list long, cls long").distinct()
 
 
 def list_forests(rows: DataFrame) -> DataFrame:
@@ -311,7 +311,7 @@ def list_forests(rows: DataFrame) -> DataFrame:
             tied = np.flatnonzero(root != np.arange(len(cls)))
             yield pa.RecordBatch.from_arrays([pa.array(cls[tied]), pa.array(cls[root[tied]])], names=["a", "b"])
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(meet, "a long, b long").distinct()
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(trimming(meet), "a long, b long").distinct()
 
 
 def linked(shingles: np.ndarray, ends: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -385,7 +385,7 @@ def group_links(routed: DataFrame, words: int) -> DataFrame:
             tied = np.flatnonzero(root != np.arange(len(root)))
             yield pa.RecordBatch.from_arrays([pa.array(cls[tied]), pa.array(cls[root[tied]])], names=["a", "b"])
 
-    return routed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(join, "a long, b long")
+    return routed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(trimming(join), "a long, b long")
 
 
 def class_components(docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFrame, DataFrame]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import Rolling, Shared, column_arrays, row_chunks, word_bounds
+from peerscope.llm.common import Rolling, Shared, column_arrays, row_chunks, trimming, word_bounds
 from peerscope.llm.decontaminate import fold_table, word_table
 
 THRESHOLD = 0.7
@@ -117,7 +117,7 @@ def template_frequencies(files: DataFrame, text: str, templates=TEMPLATES) -> tu
             [pa.array(np.arange(-1, len(own))), pa.array(np.concatenate(([rows], total)))], names=["term", "n"]
         )
 
-    rows = files.select(F.col(text).alias("text")).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    rows = files.select(F.col(text).alias("text")).mapInArrow(trimming(count), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
     got = {r["term"]: r["n"] for r in rows.collect()}
     return {int(own[i]): got.get(i, 0) for i in range(len(own))}, got.get(-1, 0)
 

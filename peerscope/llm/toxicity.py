@@ -6,9 +6,10 @@
    three times or more, single letters spaced out) becomes a lattice: each character may stand for the
    letters it looks like, may be itself, or may be dropped (separators, repetitions, signs at the
    edge).  Viterbi decoding over the last two letters picks the likeliest restored word.
-3. The score: word weights are lower confidence bounds of log odds from labelled documents; a document
-   is described by its strongest words and how many there are, and a logistic model turns this into
-   a score.
+3. The score: weights of words and of word beginnings are lower confidence bounds of log odds from
+   labelled documents; a document is described by its strongest words and how many there are, and a
+   logistic model turns this into a score.  For its fit, each half of the labelled documents is
+   described by the weights that the other half gives.
 
 The labelled rows are a bounded sample (``TRAIN_ROWS``, by a hash of the id), and the lexicon keeps
 ``LEXICON_ROWS`` words; the character model and the scores cover every row and whole texts.
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import Shared, column_arrays, row_chunks
+from peerscope.llm.common import Shared, by_pieces, column_arrays, row_chunks, trimming
 
 #: Labelled rows the classifier is fitted to, at most (a hash of the id picks them).
 TRAIN_ROWS = 40_000
@@ -37,7 +38,7 @@ LEXICON_ROWS, LEAST_WEIGHT = 20_000, 1.0
 #: Standard errors that a word's log odds are lowered by.
 CAUTION = 1.5
 #: Distinct tokens memoised per task process.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 150_000
 
 # Letters that a sign may stand for.
 LOOKS_LIKE = {
@@ -74,7 +75,7 @@ def trigram_counts(df: DataFrame, text: str = "text") -> DataFrame:
         grams = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(total[grams])], names=["gram", "n"])
 
-    parts = df.select(F.col(text).alias("text")).mapInArrow(count, "gram long, n long")
+    parts = df.select(F.col(text).alias("text")).mapInArrow(trimming(count), "gram long, n long")
     return parts.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
@@ -204,16 +205,36 @@ def restored_text(df: DataFrame, restorer, text: str = "text", out: str = "resto
 
     @F.arrow_udf("string")
     def restore(texts: pa.Array) -> pa.Array:
-        r = restorer.value
-        return pa.array([r.text(t) for t in texts.to_pylist()], pa.string())
+        return by_pieces(texts, restorer.value.text, pa.string())
 
     return df.withColumn(out, restore(F.col(text)))
 
 
-def describe(words: set[str], weights: dict[str, float]) -> tuple[float, float, float]:
-    """A document's features: its strongest word, its three strongest words, log of how many are marked."""
-    found = sorted((weights[w] for w in words & weights.keys()), reverse=True)
-    return (found[0] if found else 0.0, sum(found[:3]), math.log1p(len(found)))
+def features_of(word: str) -> tuple[str, ...]:
+    """What the lexicon may know a word by: itself and, for longer words, how it begins."""
+    return (word, f"^{word[:4]}", f"^{word[:5]}") if len(word) > 5 else (word,)
+
+
+class Weights(dict):
+    """Word -> its strongest feature's weight, 0 without one; filled as words are met."""
+
+    def __init__(self, lexicon: dict[str, float]) -> None:
+        super().__init__()
+        self.lexicon = lexicon
+
+    def __missing__(self, word: str) -> float:
+        if len(self) >= MEMO_ENTRIES:
+            self.clear()
+        w = max(self.lexicon.get(f, 0.0) for f in features_of(word))
+        self[word] = w
+        return w
+
+
+def describe(words: set[str], weights: Weights) -> tuple[float, float, float, float]:
+    """A document's features: its strongest word, its three strongest words, logs of how many words are
+    marked and how many there are."""
+    found = sorted(filter(None, map(weights.__getitem__, words)), reverse=True)
+    return (found[0] if found else 0.0, sum(found[:3]), math.log1p(len(found)), math.log1p(len(words)))
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -238,36 +259,51 @@ def train(docs: DataFrame, labels: DataFrame, restorer, key: str = "doc_id", tex
     spark = docs.sparkSession
     rows = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).alias("_y"))
     picked = rows.orderBy(F.xxhash64(key), key).limit(TRAIN_ROWS)
-    known = docs.select(key, text).join(F.broadcast(picked), key).select(F.col(text).alias("text"), "_y")
+    half = F.pmod(F.xxhash64(F.col(key), F.lit("half")), F.lit(2)).cast("int")
+    known = docs.select(key, text).join(F.broadcast(picked), key).select(
+        F.col(text).alias("text"), (F.col("_y") == 1).cast("int").alias("_y"), half.alias("_h")
+    )
 
     @F.arrow_udf("array<string>")
-    def words(texts: pa.Array) -> pa.Array:
+    def features(texts: pa.Array) -> pa.Array:
         r = restorer.value
-        return pa.array([list(r.words(t)) for t in texts.to_pylist()], pa.list_(pa.string()))
+        return by_pieces(texts, lambda t: list({f for w in r.words(t) for f in features_of(w)}), pa.list_(pa.string()))
 
-    n1, n0 = known.agg(
-        F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)), F.sum(F.when(F.col("_y") != 1, 1).otherwise(0))
-    ).first()
-    if not n1 or not n0:
+    sizes = {(r["_y"], r["_h"]): r["count"] for r in known.groupBy("_y", "_h").count().collect()}
+    n = {y: [sizes.get((y, h), 0) for h in (0, 1)] for y in (0, 1)}
+    if not sum(n[1]) or not sum(n[0]):
         return {}, None
-    counted = known.select(F.explode(words("text")).alias("word"), "_y").groupBy("word").agg(
-        F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)).alias("a"), F.sum(F.when(F.col("_y") != 1, 1).otherwise(0)).alias("b")
+    cells = {f"n{y}{h}": F.count(F.when((F.col("_y") == y) & (F.col("_h") == h), 1)) for y in (0, 1) for h in (0, 1)}
+    counted = known.select(F.explode(features("text")).alias("word"), "_y", "_h").groupBy("word").agg(
+        *[c.alias(name) for name, c in cells.items()]
+    )
+
+    def weight(halves: tuple[int, ...]):
+        """Lower confidence bound of the log odds, from the given halves of the sample."""
+        a = sum((F.col(f"n1{h}") for h in halves), F.lit(0.5))
+        b = sum((F.col(f"n0{h}") for h in halves), F.lit(0.5))
+        of1, of0 = 1 + sum(n[1][h] for h in halves), 1 + sum(n[0][h] for h in halves)
+        return F.log(a / of1) - F.log(b / of0) - CAUTION * F.sqrt(1 / a + 1 / b)
+
+    both, first, second = weight((0, 1)), weight((0,)), weight((1,))
+    best = counted.select("word", both.alias("w"), first.alias("w0"), second.alias("w1")).where(
+        F.greatest("w", "w0", "w1") >= LEAST_WEIGHT
     )
-    a, b = F.col("a") + 0.5, F.col("b") + 0.5
-    weight = F.log(a / (n1 + 1)) - F.log(b / (n0 + 1)) - CAUTION * F.sqrt(1 / a + 1 / b)
-    best = counted.select("word", weight.alias("w")).where(F.col("w") >= LEAST_WEIGHT)
-    weights = {r[0]: r[1] for r in best.orderBy(F.col("w").desc(), "word").limit(LEXICON_ROWS).collect()}
-    shared = spark.sparkContext.broadcast(weights)
+    kept = best.orderBy(F.greatest("w", "w0", "w1").desc(), "word").limit(LEXICON_ROWS).collect()
+    lexicons = [{r["word"]: r[c] for r in kept if r[c] >= LEAST_WEIGHT} for c in ("w", "w0", "w1")]
+    shared = Shared(spark, [Weights(x) for x in lexicons])
 
     @F.arrow_udf("array<double>")
-    def features(texts: pa.Array) -> pa.Array:
+    def described(texts: pa.Array, halves: pa.Array) -> pa.Array:
         r, w = restorer.value, shared.value
-        return pa.array([list(describe(r.words(t), w)) for t in texts.to_pylist()], pa.list_(pa.float64()))
+        # a text is described by the words that the other half of the sample has marked
+        made = [list(describe(r.words(t), w[2 - h])) for t, h in zip(texts.to_pylist(), halves.to_pylist(), strict=True)]
+        return pa.array(made, pa.list_(pa.float64()))
 
-    fit = known.select(features("text").alias("x"), "_y").groupBy("x", "_y").count().collect()
-    x = np.array([r["x"] for r in fit]).reshape(-1, 3)
-    n = np.array([r["count"] for r in fit])
-    return weights, fit_logistic(np.repeat(x, n, axis=0), np.repeat(np.array([int(r["_y"] == 1) for r in fit]), n))
+    fit = known.select(described("text", "_h").alias("x"), "_y").groupBy("x", "_y").count().collect()
+    x = np.array([r["x"] for r in fit]).reshape(-1, 4)
+    times = np.array([r["count"] for r in fit])
+    return lexicons[0], fit_logistic(np.repeat(x, times, axis=0), np.repeat(np.array([r["_y"] for r in fit]), times))
 
 
 def channel(docs: DataFrame, text: str = "text"):
@@ -282,16 +318,17 @@ def with_scores(df: DataFrame, restorer, weights: dict, beta, text: str = "text"
     """``df`` with the column ``out``: the toxicity score of every row's whole text."""
     if beta is None:
         return df.withColumn(out, F.lit(0.0))
-    shared = df.sparkSession.sparkContext.broadcast((weights, [float(x) for x in beta]))
+    shared = Shared(df.sparkSession, (Weights(weights), [float(x) for x in beta]))
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         r, (w, coefficients) = restorer.value, shared.value
-        result = []
-        for t in texts.to_pylist():
-            z = sum(x * c for x, c in zip((*describe(r.words(t), w), 1.0), coefficients, strict=True))
-            result.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
-        return pa.array(result, pa.float64())
+
+        def of(text):
+            z = sum(x * c for x, c in zip((*describe(r.words(text), w), 1.0), coefficients, strict=True))
+            return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+        return by_pieces(texts, of, pa.float64())
 
     return df.withColumn(out, score(F.col(text)))
 

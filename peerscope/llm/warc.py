@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import saved
+from peerscope.llm.common import saved, trimming
 from peerscope.session import ensure_checkpoint_dir
 
 VERSION = b"WARC/1.1\r\n"
@@ -144,7 +144,7 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, segment_by
                     out, size = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
-    records = rows.mapInArrow(render, "record binary")
+    records = rows.mapInArrow(trimming(render), "record binary")
     (
         records.select(F.col("record").cast("string").alias("value"))
         .write.mode("overwrite")
@@ -207,7 +207,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
             raise ValueError(f"{file}: the last record is cut off")
         yield flushed()
 
-    return rows.mapInArrow(parse, RECORD_SCHEMA)
+    return rows.mapInArrow(trimming(parse), RECORD_SCHEMA)
 
 
 def reassembled(records: DataFrame) -> DataFrame:
