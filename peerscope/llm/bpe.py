@@ -21,18 +21,19 @@ import re
 import sys
 import unicodedata
 from array import array
+from hashlib import sha256
 
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import Shared, by_pieces
+from peerscope.llm.common import Shared, by_pieces, trimming
 
 #: Symbols up to which a word is merged by scanning the rank array.
 SCAN_LIMIT = 96
 #: Entries of one memo generation.
-MEMO_ENTRIES = 150_000
+MEMO_ENTRIES = 100_000
 NO_RANK = 1 << 30
 #: White space of the vocabulary's pattern (Unicode White_Space).
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -232,12 +233,27 @@ def token_count(ids: str | Column) -> Column:
 
 
 def round_trip(df: DataFrame, model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key, n_tokens, ids_sha256, decoded_sha256 (encode, then decode the ids)."""
-    coded = df.select(key, encoder(model)(F.col(text)).alias("_ids"))
-    coded = coded.select(key, "_ids", decoder(model)(F.col("_ids")).alias("_back"))
-    return coded.select(
-        key,
-        token_count("_ids").alias("n_tokens"),
-        F.sha2("_ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("_back").cast("binary"), 256).alias("decoded_sha256"),
+    """Per row: key, n_tokens, ids_sha256, decoded_sha256 (encode, then decode the ids).
+
+    Ids and decoded texts are digested where they are made: only the digests leave the task."""
+
+    def run(batches):
+        coder = model.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                rows = batch.slice(at, 256)
+                made = []
+                for body in rows.column(1).to_pylist():
+                    ids = coder.encode(body)
+                    made.append((len(ids) // 4, sha256(ids).hexdigest(),
+                                 sha256(coder.decode(ids).encode("utf-8", "surrogatepass")).hexdigest()))
+                n, ids_digest, text_digest = zip(*made, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), pa.array(n, pa.int64()), pa.array(ids_digest), pa.array(text_digest)],
+                    names=[key, "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, text).mapInArrow(
+        trimming(run), f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
