@@ -17,7 +17,7 @@ from peerscope.session import ensure_checkpoint_dir
 
 #: Text bytes a task scans at once; numpy temporaries are about 60 times this size.
 CHUNK_BYTES = 1 << 19
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 BATCH_BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
