@@ -7,7 +7,9 @@ in the cap of each direction whose inner product exceeds a threshold; these are
 combining sorted partial sums, without visiting the other directions.  The number of directions
 follows the number of vectors, and the threshold gives each vector ``CAPS`` caps of each of ``CODES``
 codes on average (from the exact tail of a uniform direction), so caps stay small while the table
-grows.
+grows.  Two vectors at the link threshold share a smaller part of their caps the more directions there
+are, so the caps of a vector grow slowly with the directions (``level_caps``): the caps that such a pair
+is expected to share, and with them the recall, stay level.
 
 Vectors meet in the caps they share and every pair of a cap is verified in double precision.  A pair
 is counted only in the first cap that both lie in, so link counts need no table of pairs: a cap sends
@@ -35,7 +37,9 @@ from peerscope.llm.common import components, find_roots, saved, sorted_groups, s
 BLOCKS = 2
 #: Independent codes, and the mean number of caps of a code that a vector lies in.  Recall at the
 #: threshold grows with both; several codes even out directions that one code covers badly.
-CODES, CAPS = 4, 10
+CODES, CAPS = 4, 12
+#: Where CAPS holds: dimensions, directions of a code and cosine.
+CAPS_AT = (64, 225**2, 0.95)
 #: Rows of a cap that are compared in one task.
 CAP_ROWS = 2048
 SEED = 20240229
@@ -49,6 +53,34 @@ def tail(dim: int, a: float) -> float:
     return float(((density[1:] + density[:-1]) / 2 * np.diff(t)).sum() / whole)
 
 
+def joint_tail(dim: int, a: float, cosine: float) -> float:
+    """P(<x, f> > a and <y, f> > a) for a uniform direction f and unit vectors x, y at ``cosine``; ``a``
+    is not negative and ``dim`` above 3 (f's projection on the plane of x and y, in polar coordinates)."""
+    r = np.linspace(a, 1, 4001)[1:]
+    width = np.maximum(2 * np.arccos(np.minimum(a / r, 1)) - math.acos(max(-1.0, min(1.0, cosine))), 0)
+    density = r * np.maximum(1 - r * r, 0) ** ((dim - 4) / 2) * width
+    return float(((density[1:] + density[:-1]) / 2 * np.diff(r)).sum()) * (dim - 2) / (2 * math.pi)
+
+
+def level_caps(dim: int, directions: int, cosine: float, caps: float = CAPS) -> float:
+    """Mean caps of a code with which a pair at ``cosine`` is expected to share as many of them as with
+    ``caps`` at ``CAPS_AT``; never fewer than ``caps``."""
+
+    def cut(share, reached) -> float:
+        low, high = 0.0, 1.0
+        for _ in range(50):
+            mid = (low + high) / 2
+            low, high = (mid, high) if reached(mid) > share else (low, mid)
+        return low
+
+    dim0, directions0, cosine0 = CAPS_AT
+    at = cut(min(0.5, caps / directions0), lambda a: tail(dim0, a))
+    share = directions0 * joint_tail(dim0, at, cosine0) / directions
+    if dim <= 3 or joint_tail(dim, 0.0, cosine) <= share:
+        return max(caps, directions)  # all vectors meet
+    return max(caps, directions * tail(dim, cut(share, lambda a: joint_tail(dim, a, cosine))))
+
+
 class ProductCode:
     """One code's filter directions for vectors of one length."""
 
@@ -140,20 +172,23 @@ def _list_type(words: int) -> str:
     return "<i4" if CODES * words**BLOCKS < 1 << 31 else "<i8"
 
 
-def cap_members(classes: DataFrame, words: int, caps: float) -> DataFrame:
+def cap_members(classes: DataFrame, words: int, caps: float, threshold: float) -> DataFrame:
     """(dim, cap, rep, mult, vector, caps): a class's row in each cap it lies in; ``caps`` are all of its caps."""
     schema = "dim int, cap long, rep long, mult long, vector binary, caps binary"
 
     def decode(batches):
         codes: dict[int, list[ProductCode]] = {}
+        steps: dict[int, int] = {}  # vectors decoded at a time: about 256 of CAPS caps
         for batch in batches:
             dims = np.asarray(batch.column("dim"))
             for dim in np.unique(dims):
                 if dim not in codes:
-                    codes[dim] = [ProductCode(int(dim), words, caps, k) for k in range(CODES if dim > 3 else 1)]
+                    level = level_caps(int(dim), words**BLOCKS, threshold, caps)
+                    codes[dim] = [ProductCode(int(dim), words, level, k) for k in range(CODES if dim > 3 else 1)]
+                    steps[dim] = max(1, min(256, int(256 * CAPS / level)))
                 at = np.flatnonzero(dims == dim)
-                for lo in range(0, len(at), 256):
-                    some = pa.array(at[lo : lo + 256])
+                for lo in range(0, len(at), steps[dim]):
+                    some = pa.array(at[lo : lo + steps[dim]])
                     part = batch.take(some)
                     x = np.asarray(part.column("vector").flatten()).reshape(len(some), dim)
                     unit = unit_rows(x)
@@ -249,11 +284,13 @@ def cap_links(members: DataFrame, words: int, threshold: float) -> DataFrame:
 
 def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", threshold: float = 0.95,
                     caps: float = CAPS) -> DataFrame:
-    """Per row of ``df``: key, n_links, component_id, kept (see the module's text)."""
+    """Per row of ``df``: key, n_links, component_id, kept (see the module's text).
+
+    ``caps`` holds for vectors, directions and a threshold as in ``CAPS_AT``; see :func:`level_caps`."""
     rows = df.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("_e"))
     classes = saved(vector_classes(rows, "vec_id", "_e"), "vector-classes")
     words = max(4, math.ceil(classes.count() ** (1 / BLOCKS)))
-    found = saved(cap_links(cap_members(classes, words, caps), words, threshold), "cap-links")
+    found = saved(cap_links(cap_members(classes, words, caps, threshold), words, threshold), "cap-links")
     links = found.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("n"))
     comp = components(found.where("b IS NOT NULL").select("a", "b"), "vector-components")
     known = classes.join(links, F.col("rep") == F.col("a"), "left").join(comp, F.col("rep") == F.col("node"), "left").select(
