@@ -133,3 +133,125 @@ SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
   sha256(unhex(coalesce(kept.h, t.h))) AS kept_sha256
 FROM t LEFT JOIN sums USING (u) LEFT JOIN kept USING (u)
 """
+
+NEGATIVES = """
+WITH r AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+a AS (SELECT row_number() OVER () AS q, * FROM r WHERE vec_id % 100 = 0),
+s AS (
+  SELECT a.q, a.vec_id AS anchor_id, r.vec_id AS id, r.label = a.label AS same,
+    CAST(CASE WHEN len(r.v) = 0 THEN 0 ELSE list_inner_product(a.v, r.v) END AS BIGINT) AS score FROM a, r
+),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, id) AS k FROM s WHERE same AND id <> anchor_id
+  QUALIFY k <= 5
+),
+n AS (
+  SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.q, p.k ORDER BY s.score DESC, s.id) AS INTEGER) AS rank
+  FROM p JOIN s ON p.q = s.q AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+  QUALIFY rank <= 10
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n
+"""
+
+# The cheapest edits run backwards over the rows: best[i] holds (cost, letters) from state i to the end, first
+# without and then with inserts before the row; at most two inserts in a row can pay.
+_CHEAP = "list_sort([{}])[1]"
+_INSERT = "{{'c': {0}.c + 2, 'a': 'I' || {0}.a}}"
+
+
+def _after_inserts(src: str) -> str:
+    """[start, system, user, assistant] with inserts allowed before what follows."""
+    user = _CHEAP.format(f"{src}[3], " + _INSERT.format(f"{src}[4]"))
+    assistant = _CHEAP.format(f"{src}[4], " + _INSERT.format(f"{src}[3]"))
+    start = _CHEAP.format(f"{src}[1], " + _INSERT.format(f"({user})"))
+    system = _CHEAP.format(f"{src}[2], " + _INSERT.format(f"({user})"))
+    return f"[{start}, {system}, {user}, {assistant}]"
+
+
+def _row_options(state: int) -> str:
+    """The cheapest of deleting, keeping or reroling row ``f`` from a state, given ``b.best`` behind it."""
+    kept = {1: "CASE f.i WHEN 's' THEN b.best[2] WHEN 'u' THEN b.best[3] END", 2: "CASE f.i WHEN 'u' THEN b.best[3] END",
+            3: "CASE f.i WHEN 'a' THEN b.best[4] END", 4: "CASE f.i WHEN 'u' THEN b.best[3] END"}[state]
+    made = "b.best[4]" if state == 3 else "b.best[3]"
+    return _CHEAP.format(
+        f"{{'c': b.best[{state}].c + 3, 'a': 'D' || b.best[{state}].a}}, "
+        f"CASE WHEN f.must OR ({kept}) IS NULL THEN {{'c': 1000000000, 'a': ''}} "
+        f"ELSE {{'c': ({kept}).c + f.extra, 'a': 'K' || ({kept}).a}} END, "
+        f"CASE WHEN f.must THEN {{'c': 1000000000, 'a': ''}} ELSE {{'c': {made}.c + 2 + f.extra, 'a': 'R' || {made}.a}} END"
+    )
+
+
+_LAST = "[{'c': 0, 'a': ''}, {'c': 1000000000, 'a': ''}, {'c': 1000000000, 'a': ''}, {'c': 0, 'a': ''}]"
+
+STRUCTURE = rf"""
+WITH RECURSIVE entry(n, v) AS (
+  SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+  FROM (SELECT unnest(range(256)) AS i)
+),
+crc AS (SELECT list(v ORDER BY n) AS t FROM entry),
+named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations
+),
+keyed AS (
+  SELECT * EXCLUDE (name), xor(list_reduce(list_transform(string_split(name, ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda c, x: xor(c >> 8, crc.t[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 20 AS k FROM named, crc
+),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN k = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM keyed WHERE k <> 0
+),
+inorder AS (
+  SELECT *, substr(role, 1, 1) AS i, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS g,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS o FROM hurt
+),
+judged AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY o) > 1 AS seen,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS cut,
+    coalesce(lag(i) OVER (PARTITION BY conv_id ORDER BY o) || i NOT IN ('su', 'ua', 'au'), false) AS bad FROM inorder
+),
+faulted AS (
+  SELECT *, CASE WHEN cut = '' THEN 'blank' WHEN seen THEN 'duplicate'
+    WHEN substr(cut, -1, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM judged
+),
+f AS (SELECT g, o, i, fault IN ('blank', 'duplicate') AS must, CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS extra FROM faulted),
+search(g, o, best) AS (
+  SELECT g, max(o), {_after_inserts(_LAST)} FROM f GROUP BY g
+  UNION ALL
+  SELECT b.g, b.o - 1, {_after_inserts('z.e')}
+  FROM search b JOIN f ON f.g = b.g AND f.o = b.o, LATERAL (SELECT [{', '.join(_row_options(s) for s in (1, 2, 3, 4))}] AS e) z
+),
+answer AS (SELECT g, best[1].c AS cost, best[1].a AS audit FROM search WHERE o = 0),
+walk(g, p, o, state, audit, text) AS (
+  SELECT g, 1, 0, 'x', audit, '' FROM answer WHERE audit <> ''
+  UNION ALL
+  SELECT w.g, w.p + 1, w.o + CASE WHEN w.l = 'I' THEN 0 ELSE 1 END,
+    CASE w.l WHEN 'D' THEN w.state WHEN 'K' THEN r.i ELSE CASE WHEN w.state = 'u' THEN 'a' ELSE 'u' END END, w.audit,
+    w.text || CASE w.l WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || r.role || ':' || r.text
+      ELSE chr(10) || CASE WHEN w.state = 'u' THEN 'assistant:' ELSE 'user:' END || CASE WHEN w.l = 'R' THEN r.text ELSE '' END END
+  FROM (SELECT *, substr(audit, CAST(p AS BIGINT), 1) AS l FROM walk WHERE p <= length(audit)) w
+  LEFT JOIN inorder r ON r.g = w.g AND r.o = w.o + 1
+),
+repaired AS (SELECT g, substr(text, 2) AS text FROM walk WHERE p > length(audit)),
+counts AS (
+  SELECT conv_id, g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (bad) AS illegal FROM faulted GROUP BY conv_id, g
+),
+names AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT n.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(text, '')) AS repaired_sha256
+FROM names n LEFT JOIN counts c ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN answer USING (g) LEFT JOIN repaired USING (g)
+"""
