@@ -19,11 +19,16 @@ Defined results: null and empty texts hold the end id alone; null keys come firs
 are ordered by a hash of their text; identical rows stay apart as rows of their own; other columns are
 not written.  An empty table gives an empty one.  Special tokens that a text spells out become their
 ids, as the library does by default.
+
+The library cuts a text into pieces by a fixed pattern and encodes each piece by itself, so a task lets
+it encode each distinct piece once and keeps the ids in two bounded generations.  Texts with a
+special token or with characters that the pattern's classes may see differently go to it whole.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 
@@ -43,19 +48,70 @@ PAGE_ROWS = 1024
 #: Text bytes that go to the library at once: its encodings take many times the text.
 ENCODE_BYTES = 1 << 18
 
-_loaded: dict[str, object] = {}
+#: Pieces of one memo generation, and the longest piece that is kept.
+MEMO_PIECES, MEMO_LENGTH = 200_000, 64
+#: The vocabulary's pattern on texts without the characters of ``ODD``: white space, digits and letters
+#: are then the same to Python and to the library (no Unicode blanks, separators, fractions, or
+#: characters above Latin Extended-B, whose classes differ between versions).
+PIECE = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+ODD = re.compile("[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbe]|[^\x00-\u024f]")
 
+_loaded: dict[str, PieceCoder] = {}
 
-def tokenizer(path: str):
-    """The tokenizer of a vocabulary file, loaded once per Python worker; truncation and padding off."""
-    if path not in _loaded:
+
+class PieceCoder:
+    """A byte-level vocabulary of the tokenizers library with a memo of its pieces."""
+
+    def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
-        made = Tokenizer.from_file(path)
-        made.no_truncation()
-        made.no_padding()
-        _loaded[path] = made
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of distinct pieces, encoded by the library in one call."""
+        made = self.library.encode(pieces, is_pretokenized=True, add_special_tokens=False)
+        ids, words = np.array(made.ids, "<i4"), np.array(made.word_ids, np.int64)
+        at = np.searchsorted(words, np.arange(len(pieces) + 1))
+        raw = ids.tobytes()
+        return {p: raw[4 * a : 4 * b] for p, a, b in zip(pieces, at[:-1].tolist(), at[1:].tolist(), strict=True)}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        whole = [i for i, t in enumerate(texts) if ODD.search(t) or (self.special and self.special.search(t))]
+        out: list = [None if t else b"" for t in texts]
+        if whole:
+            made = self.library.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)
+            for i, m in zip(whole, made, strict=True):
+                out[i] = np.array(m.ids, "<i4").tobytes()
+        cut = {i: PIECE.findall(t) for i, t in enumerate(texts) if out[i] is None}
+        if len(self.memo) > MEMO_PIECES:
+            self.memo, self.old = {}, self.memo
+        memo, old = self.memo, self.old
+        new = {p for pieces in cut.values() for p in pieces if p not in memo}
+        for p in new & old.keys():
+            memo[p] = old[p]
+        new -= memo.keys()
+        learnt = self.learn(list(new)) if new else {}
+        memo.update(learnt)
+        for i, pieces in cut.items():
+            out[i] = b"".join(map(memo.__getitem__, pieces))
+        for p in learnt:
+            if len(p) > MEMO_LENGTH:
+                del memo[p]
+        return out
+
+
+def tokenizer(path: str) -> PieceCoder:
+    """The tokenizer of a vocabulary file, loaded once per Python worker; truncation and padding off."""
+    if path not in _loaded:
+        _loaded[path] = PieceCoder(path)
     return _loaded[path]
 
 
@@ -96,20 +152,18 @@ def write_tokens(
     """Write the token files of ``docs`` and return their folder (one in the shared folder by default)."""
     if path is None:
         path = f"{ensure_checkpoint_dir(docs.sparkSession).rstrip('/')}/peerscope/tokens-{uuid.uuid4().hex}"
-    end = np.array([end_id], np.int32)
+    end = int(end_id).to_bytes(4, "little")
 
     def encode(batches):
         coder, part, before = tokenizer(vocabulary), TaskContext.get().partitionId(), 0
         for batch in batches:
             at = 0
             for run in text_runs(batch.column(1).to_pylist()):
-                made = coder.encode_batch_fast(run, add_special_tokens=False)
-                ids = [np.array(m.ids, np.int32) for m in made]
-                del made
-                n = np.array([len(i) + 1 for i in ids], np.int64)
+                ids = coder.encode(run)
+                n = np.array([len(i) // 4 + 1 for i in ids], np.int64)
                 offsets = np.zeros(len(n) + 1, np.int32)
                 np.cumsum(n, out=offsets[1:])
-                flat = np.concatenate([x for i in ids for x in (i, end)])
+                flat = np.frombuffer(b"".join([x for i in ids for x in (i, end)]), "<i4")
                 starts = before + offsets[:-1].astype(np.int64)
                 before += int(offsets[-1])
                 yield pa.RecordBatch.from_arrays(

@@ -5,6 +5,8 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from peerscope.llm import tokenfiles
@@ -81,6 +83,22 @@ def test_selective_reads_reach_the_scan(spark):
     assert "GreaterThanOrEqual(doc_id,100)" in plan and "ids" not in plan.split("ReadSchema")[1]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.one_of(st.characters(max_codepoint=0x24F), st.sampled_from(" \t\n'sdlvertm1²\xa0\x1c"), st.characters()), max_size=40), max_size=4))
+def test_pieces_equal_whole_texts(texts):
+    coder, plain = tokenfiles.tokenizer(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    want = [np.array(plain.encode(t, add_special_tokens=False).ids, "<i4").tobytes() for t in texts]
+    assert coder.encode(texts) == want
+
+
+def test_every_plain_character_is_cut_as_the_library_does():
+    coder, plain = tokenfiles.tokenizer(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
+    for c in map(chr, range(0x250)):
+        for text in (f"a{c}b", f"1{c}2", f" {c} ", f".{c}.", f"{c}{c}\n{c}'s{c}", f"it{c}'ll  {c}x"):
+            assert coder.encode([text])[0] == np.array(plain.encode(text, add_special_tokens=False).ids, "<i4").tobytes(), repr(text)
+
+
 def test_unknown_encoding(spark):
     with pytest.raises(ValueError):
         tokenfiles.write_options("plain", 1, 1, 1)
