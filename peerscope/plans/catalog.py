@@ -456,6 +456,7 @@ from peerscope.operators import cleaning as cl  # noqa: E402
 from peerscope.operators import profiling as prof  # noqa: E402
 from peerscope.operators import validation as val  # noqa: E402
 from peerscope.sources import files  # noqa: E402
+from peerscope.operators.boosting import ordered_statistics  # noqa: E402
 from peerscope.session import ensure_checkpoint_dir  # noqa: E402
 
 
@@ -589,20 +590,31 @@ def q_tree_model(spark, d):
 
 @register("categorical_model")
 def q_categorical_model(spark, d):
-    train, _, test = _splits(spark, d)
-    m = mdl.fit_boosting(train, "nightly_price", NUMERIC, CATEGORICAL + RICH, mdl.BASE_CANDIDATES[0],
-                         encode="target", name="catboost_challenger")
+    train, valid, test = _splits(spark, d)
+    m = mdl.fit_boosting(train.unionByName(valid), "nightly_price", NUMERIC, CATEGORICAL + RICH, mdl.BASE_CANDIDATES[0],
+                         encode="ordered", name="catboost_challenger")
     return mdl.evaluation_record(m.name, m.predict(test), "nightly_price")
 
 
+@register("ordered_statistics", rep.ORDERED_STATISTICS, ["room_type_value", "neighbourhood_value", "superhost_value"])
+def q_ordered_statistics(spark, d):
+    """MLT4: each training row's categories as the mean price of the rows before it in the hash order."""
+    train, _, _ = _splits(spark, d)
+    columns = ["room_type", "neighbourhood_name", "is_superhost"]
+    out = ordered_statistics(train, "nightly_price", columns, ["listing_id", "snapshot_date"], prior=rep.ORDERED_PRIOR,
+                             block_rows=2_000)
+    return out.select("listing_id", "snapshot_date", F.col("_ts_room_type").alias("room_type_value"),
+                      F.col("_ts_neighbourhood_name").alias("neighbourhood_value"), F.col("_ts_is_superhost").alias("superhost_value"))
+
+
 @register("tuned_model")
 def q_tuned_model(spark, d):
-    """MLT5: search the candidate grid on validation, refit the winner on train+validation
+    """MLT5: search the whole candidate grid on validation, refit the winner on train+validation
     (SET1), report the search table and the refit model's test metrics."""
     train, valid, test = _splits(spark, d)
-    best, table = mdl.validation_search(train, valid, "nightly_price", NUMERIC, CATEGORICAL)
-    refit = mdl.fit_boosting(ev.refit_rows(train.unionByName(valid)), "nightly_price", NUMERIC, CATEGORICAL, best,
-                             encode="target", name="catboost_tuned")
+    best, table = mdl.validation_search(train, valid, "nightly_price", NUMERIC, CATEGORICAL + RICH)
+    refit = mdl.fit_boosting(ev.refit_rows(train.unionByName(valid)), "nightly_price", NUMERIC, CATEGORICAL + RICH, best,
+                             encode="ordered", name="catboost_tuned")
     met = ev.model_metrics(refit.predict(test), "nightly_price").select(
         F.col("mae").alias("test_mae"), F.col("rmse").alias("test_rmse"))
     from peerscope.functions.scalars import attach_one_row
@@ -610,6 +622,28 @@ def q_tuned_model(spark, d):
     return attach_one_row(table, met)
 
 
+@register("training_run")
+def q_training_run(spark, d):
+    """MLT7, MLT10, MLT12: leak guard, three fits (one searched over the whole grid), evaluation records with
+    importance and benchmark diagnostics, champion; saved as a bundle and read back: its record, the champion's and
+    the fallback's names, and the test error of the champion that was loaded from the bundle again."""
+    split = cut_lineage(ev.group_split(_feature_frame(spark, d)), "split")
+    test = split.where("split = 'test'")
+    ranges = cut_lineage(_fm_ranges(spark, d, split.drop("split"), test.drop("split")), "ranges")
+    run = mdl.train_models(split, "nightly_price", NUMERIC, CATEGORICAL, RICH, benchmark_ranges=ranges)
+    path = ensure_checkpoint_dir(spark).rstrip("/") + "/peerscope/bundle-" + __import__("uuid").uuid4().hex
+    mdl.save_training_bundle(run, path, "v1", "nightly_price")
+    again = mdl.load_bundle_model(spark, path)
+    met = ev.model_metrics(again.predict(test), "nightly_price")
+    meta = spark.read.parquet(f"{path}/metadata")
+    reloaded = met.select(F.lit(again.name).alias("model"), F.lit("mae_of_the_reloaded_champion").alias("metric"),
+                          F.lit(None).cast("string").alias("slice"), F.col("mae").alias("value"))
+    names = meta.select(F.explode(F.array(*[
+        F.struct(F.col(f"{role}_model_name").alias("model"), F.lit(role).alias("metric")) for role in ("champion", "fallback")
+    ])).alias("s")).select("s.model", "s.metric", F.lit(None).cast("string").alias("slice"), F.lit(None).cast("double").alias("value"))
+    return spark.read.parquet(f"{path}/record").unionByName(names).unionByName(reloaded)
+
+
 @register("permutation_importance")
 def q_permutation_importance(spark, d):
     m, test = _linear(spark, d)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from peerscope.operators.evaluation import RANDOM_STATE
 from peerscope.plans.oracle import MARKET, benchmark_sql, comparables_sql
 
 REFERENCE = """
@@ -172,6 +173,25 @@ SELECT *, {SPLIT} AS split FROM (
 GROUP_SPLIT = f"SELECT listing_id, snapshot_date, split FROM ({FM_SPLIT})"
 
 
+#: The prior of the ordered target statistics query (any number; SQL and Spark must share it).
+ORDERED_PRIOR = 100_000.0
+
+
+def _ordered(column: str, name: str) -> tuple[str, str]:
+    """(output column, window) of one category's ordered statistic."""
+    window = (f"w_{name} AS (PARTITION BY COALESCE(CAST({column} AS VARCHAR), '__missing__') ORDER BY h, listing_id, snapshot_date "
+              "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
+    return (f"(COALESCE(SUM(nightly_price) OVER w_{name}, 0) + {ORDERED_PRIOR}) / (COUNT(*) OVER w_{name} + 1) AS {name}_value", window)
+
+
+_ORDERED = [_ordered("room_type", "room_type"), _ordered("neighbourhood_name", "neighbourhood"), _ordered("is_superhost", "superhost")]
+ORDERED_STATISTICS = f"""
+SELECT listing_id, snapshot_date, {", ".join(c for c, _ in _ORDERED)}
+FROM (SELECT *, md5(concat_ws(':', CAST(listing_id AS VARCHAR), CAST(snapshot_date AS VARCHAR), '{RANDOM_STATE}')) AS h
+      FROM ({FM_SPLIT}) WHERE split = 'train')
+WINDOW {", ".join(w for _, w in _ORDERED)}"""
+
+
 def predictions(keys: list[str]) -> str:
     """Baseline predictor: train-split median price per group, else the train median."""
     k = ", ".join(keys)
