@@ -598,13 +598,14 @@ def q_categorical_model(spark, d):
 
 @register("ordered_statistics", rep.ORDERED_STATISTICS, ["room_type_value", "neighbourhood_value", "superhost_value"])
 def q_ordered_statistics(spark, d):
-    """MLT4: each training row's categories as the mean price of the rows before it in the hash order."""
+    """MLT4: each training row's categories as the mean price (in hundreds) of the rows before it in the hash order."""
     train, _, _ = _splits(spark, d)
     columns = ["room_type", "neighbourhood_name", "is_superhost"]
-    out = ordered_statistics(train, "nightly_price", columns, ["listing_id", "snapshot_date"], prior=rep.ORDERED_PRIOR,
+    cents = train.withColumn("_cents", F.round(F.col("nightly_price") * 100))
+    out = ordered_statistics(cents, "_cents", columns, ["listing_id", "snapshot_date"], prior=rep.ORDERED_PRIOR,
                              block_rows=2_000)
-    return out.select("listing_id", "snapshot_date", F.col("_ts_room_type").alias("room_type_value"),
-                      F.col("_ts_neighbourhood_name").alias("neighbourhood_value"), F.col("_ts_is_superhost").alias("superhost_value"))
+    names = dict(zip(columns, ("room_type_value", "neighbourhood_value", "superhost_value")))
+    return out.select("listing_id", "snapshot_date", *[(F.col(f"_ts_{c}") / 10000.0).alias(n) for c, n in names.items()])
 
 
 @register("tuned_model")
