@@ -596,16 +596,16 @@ def q_categorical_model(spark, d):
     return mdl.evaluation_record(m.name, m.predict(test), "nightly_price")
 
 
-@register("ordered_statistics", rep.ORDERED_STATISTICS, ["room_type_value", "neighbourhood_value", "superhost_value"])
+@register("ordered_statistics", rep.ORDERED_STATISTICS)
 def q_ordered_statistics(spark, d):
-    """MLT4: each training row's categories as the mean price (in hundreds) of the rows before it in the hash order."""
+    """MLT4: each training row's categories as the mean price (thousandths of a cent) of the rows before it in the hash order."""
     train, _, _ = _splits(spark, d)
     columns = ["room_type", "neighbourhood_name", "is_superhost"]
     cents = train.withColumn("_cents", F.round(F.col("nightly_price") * 100))
     out = ordered_statistics(cents, "_cents", columns, ["listing_id", "snapshot_date"], prior=rep.ORDERED_PRIOR,
                              block_rows=2_000)
     names = dict(zip(columns, ("room_type_value", "neighbourhood_value", "superhost_value")))
-    return out.select("listing_id", "snapshot_date", *[(F.col(f"_ts_{c}") / 10000.0).alias(n) for c, n in names.items()])
+    return out.select("listing_id", "snapshot_date", *[F.floor(F.col(f"_ts_{c}") * 1000.0).cast("long").alias(n) for c, n in names.items()])
 
 
 @register("tuned_model")

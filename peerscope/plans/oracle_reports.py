@@ -174,7 +174,7 @@ GROUP_SPLIT = f"SELECT listing_id, snapshot_date, split FROM ({FM_SPLIT})"
 
 
 #: The prior of the ordered target statistics query (any number; SQL and Spark must share it).  Its target is
-#: the price in cents: sums of whole numbers are the same in any order.  Means are given in hundreds.
+#: the price in cents: sums of whole numbers are the same in any order.  Means are given in thousandths of a cent.
 ORDERED_PRIOR = 10_000_000.0
 
 
@@ -182,7 +182,8 @@ def _ordered(column: str, name: str) -> tuple[str, str]:
     """(output column, window) of one category's ordered statistic."""
     window = (f"w_{name} AS (PARTITION BY COALESCE(CAST({column} AS VARCHAR), '__missing__') ORDER BY h, listing_id, snapshot_date "
               "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)")
-    return (f"(COALESCE(SUM(ROUND(nightly_price * 100)) OVER w_{name}, 0) + {ORDERED_PRIOR}) / (COUNT(*) OVER w_{name} + 1) / 10000.0 AS {name}_value", window)
+    mean = f"(COALESCE(SUM(ROUND(nightly_price * 100)) OVER w_{name}, 0) + {ORDERED_PRIOR}) / (COUNT(*) OVER w_{name} + 1)"
+    return f"CAST(FLOOR({mean} * 1000.0) AS BIGINT) AS {name}_value", window
 
 
 _ORDERED = [_ordered("room_type", "room_type"), _ordered("neighbourhood_name", "neighbourhood"), _ordered("is_superhost", "superhost")]
