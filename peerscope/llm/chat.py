@@ -7,8 +7,9 @@ attachment it stands for and the tokens it expands to are recorded beside it.  A
     <|im_start|>ROLE newline CONTENT<|im_end|> newline
 
 Escaping is reversible and leaves no control string inside a text: in ``<|``, ``<\\|``, ``<\\\\|`` ... one
-more backslash is put behind the ``<``, so an escaped text never holds ``<|``.  In roles a backslash
-and a newline are written ``\\\\`` and ``\\n`` as well.
+more backslash is put behind the ``<``, so an escaped text never holds ``<|``.  Neighbouring text parts are
+joined before they are escaped, so a control string can't be dealt out over them (what else may follow a
+text, a placeholder or the turn's end, begins with ``<`` and completes none).  In roles a backslash and a newline are written ``\\\\`` and ``\\n`` as well.
 
 ``read_turns`` parses formatted turns back; ``conversation_digests`` reads whole conversations as a
 stream sorted by conversation and turn, with running hashes, so the memory of a task holds one turn
@@ -17,7 +18,8 @@ conversation, formatting and parsing work row by row.)
 
 Defined results: null text or parts are empty; a null role is an empty role; a null turn comes first;
 equal (conversation, turn) rows are ordered by role, then text; rows with a null conversation form
-one conversation of their own.  Unknown part kinds raise an error in the task.
+one conversation of their own.  Negative, infinite and NaN sizes of attachments count as zero.  Text parts that
+follow each other are read back as one.  Unknown part kinds raise an error in the task.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ PARTS_TYPE = (
 ATTACHMENTS_TYPE = "array<struct<ordinal:int,kind:string,ref:string,tokens:bigint>>"
 #: Token counts of expanded attachments: image patches, audio frames a second, tokens a page.
 PATCH, FRAMES_PER_SECOND, TOKENS_PER_PAGE = 28, 25, 512
+#: Tokens that an attachment expands to at most (what a 64-bit count can hold).
+MOST_TOKENS = 2**62
 LOSS_ROLE = "assistant"
 
 _CONTROL, _ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
@@ -61,12 +65,18 @@ def unescape_role(role: str) -> str:
     return re.sub(r"\\(.)", lambda m: "\n" if m[1] == "n" else m[1], unescape(role))
 
 
+def size_of(x: float | None):
+    """An attachment's size; nothing, negative, infinite and NaN sizes count as zero."""
+    return x if x is not None and math.isfinite(x) and x > 0 else 0
+
+
 class PartVisitor:
     """Flattens the parts of one turn; ``ordinal`` runs over the turn's attachments."""
 
     def __init__(self) -> None:
         self.out: list[str] = []
         self.attachments: list[dict] = []
+        self.pending: list[str] = []  # texts since the last placeholder: escaped together
 
     def visit(self, part: dict) -> None:
         kind = part.get("kind") or "text"
@@ -76,19 +86,24 @@ class PartVisitor:
         handler(part)
 
     def visit_text(self, part: dict) -> None:
-        self.out.append(escape(part.get("text") or ""))
+        self.pending.append(part.get("text") or "")
 
     def visit_image(self, part: dict) -> None:
-        w, h = part.get("width") or 0, part.get("height") or 0
+        w, h = size_of(part.get("width")), size_of(part.get("height"))
         self._attach("image", part, math.ceil(w / PATCH) * math.ceil(h / PATCH))
 
     def visit_audio(self, part: dict) -> None:
-        self._attach("audio", part, math.ceil((part.get("seconds") or 0.0) * FRAMES_PER_SECOND))
+        self._attach("audio", part, math.ceil(min(size_of(part.get("seconds")) * FRAMES_PER_SECOND, MOST_TOKENS)))
 
     def visit_document(self, part: dict) -> None:
-        self._attach("document", part, (part.get("pages") or 0) * TOKENS_PER_PAGE)
+        self._attach("document", part, size_of(part.get("pages")) * TOKENS_PER_PAGE)
+
+    def flush(self) -> None:
+        self.out.append(escape("".join(self.pending)))
+        self.pending.clear()
 
     def _attach(self, kind: str, part: dict, tokens: int) -> None:
+        self.flush()
         n = len(self.attachments)
         self.out.append(f"<|{kind}:{n}|>")
         self.attachments.append({"ordinal": n, "kind": kind, "ref": part.get("ref"), "tokens": tokens})
@@ -99,6 +114,7 @@ def format_turn(role: str | None, parts: list[dict] | None) -> tuple[str, list[d
     for part in parts or []:
         if part is not None:
             visitor.visit(part)
+    visitor.flush()
     return f"{START}{escape_role(role or '')}\n{''.join(visitor.out)}{END}\n", visitor.attachments
 
 
