@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import components, find_roots, saved, sorted_groups, split_parts, trimming
+from peerscope.llm.common import components, find_roots, repeated_keys, saved, sorted_groups, split_parts, tied_by_key, trimming
 
 BLOCKS = 2
 #: Independent codes, and the mean number of caps of a code that a vector lies in.  Recall at the
@@ -148,10 +148,12 @@ def stored(df: DataFrame, vector: str):
 
 
 def vector_classes(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """(dim, vector, rep, mult): one row per distinct usable vector, its smallest id and its rows."""
+    """(dim, vector, rep, low, mult): one row per distinct usable vector, a number of its own, its smallest
+    id and its rows.  The number holds for a written table."""
     rows = df.where(usable(F.col(vector))).select(F.col(key).alias("_k"), stored(df, vector).alias("_v"))
-    return rows.groupBy("_v").agg(F.min("_k").alias("rep"), F.count("*").alias("mult")).select(
-        F.size("_v").alias("dim"), F.col("_v").alias("vector"), "rep", "mult"
+    rows = rows.withColumn("_u", F.monotonically_increasing_id())
+    return rows.groupBy("_v").agg(F.min("_u").alias("rep"), F.min("_k").alias("low"), F.count("*").alias("mult")).select(
+        F.size("_v").alias("dim"), F.col("_v").alias("vector"), "rep", "low", "mult"
     )
 
 
@@ -292,15 +294,20 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     words = max(4, math.ceil(classes.count() ** (1 / BLOCKS)))
     found = saved(cap_links(cap_members(classes, words, caps, threshold), words, threshold), "cap-links")
     links = found.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("n"))
-    comp = components(found.where("b IS NOT NULL").select("a", "b"), "vector-components")
-    known = classes.join(links, F.col("rep") == F.col("a"), "left").join(comp, F.col("rep") == F.col("node"), "left").select(
-        F.col("vector").alias("_v"),
-        (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("_links"),
-        F.coalesce("component", "rep").alias("_comp"),
+    # an id that several vectors have belongs to one component
+    several = rows.join(repeated_keys(rows, "vec_id"), "vec_id", "left_semi").where(usable(F.col("_e")))
+    several = several.select(F.col("vec_id").alias("key"), stored(rows, "_e").alias("vector"))
+    shared = saved(several.join(classes, "vector").select("key", F.col("rep").alias("node")).distinct(), "vector-ids")
+    comp = components(found.where("b IS NOT NULL").select("a", "b").union(tied_by_key(shared)), "vector-components")
+    placed = classes.join(comp, F.col("rep") == F.col("node"), "left").withColumn("_c", F.coalesce("component", "rep"))
+    lowest = placed.groupBy("_c").agg(F.min("low").alias("_comp"))
+    known = placed.join(lowest, "_c").join(links, F.col("rep") == F.col("a"), "left").select(
+        "rep", F.col("vector").alias("_v"), (F.coalesce("n", F.lit(0)) + F.col("mult") - 1).alias("_links"), "_comp"
     )
+    by_id = shared.join(known, F.col("node") == F.col("rep")).groupBy("key").agg(F.min("_comp").alias("_own"))
     able = rows.withColumn("_v", F.when(usable(F.col("_e")), stored(rows, "_e")))
-    out = able.join(known, "_v", "left")
-    comp_id = F.coalesce("_comp", "vec_id")
+    out = able.join(known, "_v", "left").join(by_id, F.col("vec_id") == F.col("key"), "left")
+    comp_id = F.coalesce("_own", "_comp", "vec_id")
     return out.select(
         "vec_id",
         F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"),

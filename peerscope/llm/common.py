@@ -248,6 +248,24 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     )
 
 
+def repeated_keys(rows: DataFrame, key: str) -> DataFrame:
+    """The keys that several rows have (null is no key)."""
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key)
+
+
+def tied_by_key(members: DataFrame) -> DataFrame:
+    """Edges (a, b) between the nodes that share a key, from ``members`` (key, node)."""
+    least = members.groupBy("key").agg(F.min("node").alias("b"))
+    return members.join(least, "key").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
+
+
+def numbered(df: DataFrame, base: str) -> tuple[DataFrame, str]:
+    """``df`` with a row number, given once and written, and the number's column name: decisions about rows
+    can go by it when ids repeat or are null."""
+    name = fresh_name(df, base)
+    return saved(df.withColumn(name, F.monotonically_increasing_id()), base.strip("_")), name
+
+
 def sorted_groups(batches, key: list[str]):
     """Tables of equal ``key`` from batches that are sorted by it; only the current group is held."""
     held: list[pa.RecordBatch] = []

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from peerscope.llm.common import Rolling, column_arrays, row_chunks, saved, trimming, word_bounds
+from peerscope.llm.common import Rolling, column_arrays, fresh_name, row_chunks, saved, trimming, word_bounds
 
 SHARD_BYTES = 1 << 19
 BLOCK_BYTES = 4 << 20
@@ -262,7 +262,10 @@ def contamination(index: DataFrame, items: DataFrame, key: str = "item_id", text
     )
 
 
-def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` (with an integer doc_id) without the contaminated documents."""
-    bad = contamination(build_index(docs), items).where("contaminated").select(F.col("key").alias("doc_id")).distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` without the contaminated rows.  A verdict depends on the text alone, so rows go by 64 bits of
+    their text's hash, whatever ids they have or share."""
+    name = fresh_name(docs, "text_hash")
+    rows = docs.withColumn(name, F.xxhash64(F.col(text)))
+    bad = contamination(build_index(rows, name, text), items).where("contaminated").select(F.col("key").alias(name)).distinct()
+    return rows.join(bad, name, "left_anti").select(*docs.columns)

@@ -20,8 +20,8 @@ Equal sets are one class from the start, so exact copies cost one posting each t
 by a 64-bit hash of the set and hashes of shingles are taken as the shingles themselves.
 
 Defined results: null, empty and wordless texts have the empty set, link with nothing and are their own
-component; a text of fewer words than a shingle has one shingle; a repeated id belongs to the
-component of each of its rows (one row out for each row in).
+component; a text of fewer words than a shingle has one shingle; the rows of a repeated id are in one
+component (one row out for each row in).
 """
 
 from __future__ import annotations
@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from peerscope.llm.common import (
-    Rolling, Shared, column_arrays, components, find_roots, mixed, ranges_concat, row_chunks, saved, sorted_groups, split_parts, trimming, word_bounds,
+    Rolling, Shared, column_arrays, components, find_roots, mixed, ranges_concat, repeated_keys, row_chunks, saved,
+    sorted_groups, split_parts, tied_by_key, trimming, word_bounds,
 )
 
 WORDS = 5
@@ -388,8 +389,9 @@ def group_links(routed: DataFrame, words: int) -> DataFrame:
     return routed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(trimming(join), "a long, b long")
 
 
-def class_components(docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFrame, DataFrame]:
-    """(rows with key, n, cls; table cls -> component id, for classes that link)."""
+def class_components(docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows with key, n, cls; table cls -> component id, for classes that link; keys of several rows
+    with their component)."""
     facts = saved(described(docs, key, text, words), "shingle-sets")
     rows = facts.where("slice IS NULL").select("key", "n", "cls")
     rare = Shared(docs.sparkSession, frequent(sketch_of(facts)))
@@ -420,20 +422,26 @@ def class_components(docs: DataFrame, key: str, text: str, words: int) -> tuple[
     routes = whole.select(F.lit(0).alias("kind"), *columns).union(parts.select(F.lit(1).alias("kind"), *columns))
     texts = docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text"))
     edges = group_links(texts.join(routes, "rep"), words)
-    comp = components(edges, "jaccard-links")
+    # an id that several sets have belongs to one component
+    shared = rows.where("n > 0").join(repeated_keys(rows, "key"), "key", "left_semi").select("key", F.col("cls").alias("node"))
+    shared = saved(shared.distinct(), "jaccard-ids")
+    comp = components(edges.union(tied_by_key(shared)), "jaccard-links")
     known = comp.join(reps, F.col("node") == F.col("cls")).select("cls", "component", "rep")
     lowest = known.groupBy("component").agg(F.min("rep").alias("component_id"))
-    return rows, known.join(lowest, "component").select("cls", "component_id").unionByName(
+    found = known.join(lowest, "component").select("cls", "component_id").unionByName(
         reps.join(known.select("cls"), "cls", "left_anti").select("cls", F.col("rep").alias("component_id"))
     )
+    by_id = shared.join(found, F.col("node") == F.col("cls")).groupBy("key").agg(F.min("component_id").alias("_own"))
+    return rows, found, by_id
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """Per row of ``docs``: key (as doc_id), n_shingles, component_id."""
-    rows, comp = class_components(docs, key, text, words)
-    out = rows.join(comp.withColumn("_some", F.lit(True)), "cls", "left")
+    rows, comp, by_id = class_components(docs, key, text, words)
+    out = rows.join(comp, "cls", "left").join(by_id, "key", "left")
+    linked_id = F.when(F.col("n") > 0, F.col("component_id"))
     return out.select(
         F.col("key").alias("doc_id"),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("key")).alias("component_id"),
+        F.coalesce("_own", linked_id, "key").alias("component_id"),
     )

@@ -115,7 +115,7 @@ WITH d AS (SELECT row_number() OVER () AS u, doc_id, hex(encode(coalesce(text, '
 t AS (SELECT u, doc_id, h, len(h) // 2 AS n FROM d),
 s AS (SELECT u, doc_id, p, md5(substr(h, 2 * p + 1, 200)) AS g FROM (SELECT *, unnest(range(n - 99)) AS p FROM t WHERE n >= 100)),
 later AS (
-  SELECT u, p FROM (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, p) AS k FROM s) WHERE k > 1
+  SELECT u, p FROM (SELECT *, rank() OVER (PARTITION BY g ORDER BY doc_id NULLS LAST, p) AS k FROM s) WHERE k > 1
 ),
 marked AS (SELECT u, p, lag(p) OVER (PARTITION BY u ORDER BY p) AS q FROM later),
 runs AS (SELECT u, p, sum(CASE WHEN q IS NULL OR p > q + 100 THEN 1 ELSE 0 END) OVER (PARTITION BY u ORDER BY p) AS r FROM marked),
