@@ -1,8 +1,8 @@
 """The corpus pipeline: toxicity, n-gram Jaccard join, repeated passages, decontamination, BPE.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is written as Parquet and
-reread as the next stage's ``docs``.  Documents with a null id can't be named in a group, so the
-filtering stages that decide by id let them pass.
+reread as the next stage's ``docs``.  Stages decide about rows: documents whose ids repeat or are null are
+judged like all others, each by its own text.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from peerscope.llm import bpe, decontaminate, jaccard, repeats, toxicity
-from peerscope.llm.common import bounded_batches, fresh_name, saved, table
+from peerscope.llm.common import bounded_batches, fresh_name, numbered, saved, table
 from peerscope.llm.queries import WORD_BPE
 
 #: No stage can be written as SQL as a whole (scores, components, byte spans, token ids).
@@ -27,11 +27,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id."""
+    """Of each group of linked documents the one with the smallest id (null ids last; ties: any one row)."""
     bounded_batches(spark)
-    groups = saved(jaccard.jaccard_join(docs).where("doc_id IS NOT NULL"), "jaccard-groups")
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows, row = numbered(docs, "row_number")
+    groups = saved(jaccard.jaccard_join(rows, key=row).where("n_shingles > 0"), "jaccard-groups")
+    groups = groups.select(F.col("doc_id").alias(row), F.col("component_id").alias("_group"))
+    ranked = rows.select(row, F.struct(F.col("doc_id").isNull(), "doc_id", row).alias("_rank")).join(groups, row)
+    first = ranked.groupBy("_group").agg(F.min("_rank").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    gone = groups.join(first, "_group").where(F.col(row) != F.col("_first")[row]).select(row)
+    return rows.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +48,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that do not hold benchmark passages in a twentieth of their words or more."""
     bounded_batches(spark)
-    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return decontaminate.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
