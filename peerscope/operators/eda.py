@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from peerscope.functions.scalars import attach_one_row
-from peerscope.operators.quantiles import exact_median, exact_quantiles
+from peerscope.operators.quantiles import exact_median, exact_quantiles, wide_quantiles
 from peerscope.roles import Roles
 
 # Display orders of the reference's charts.
@@ -65,11 +65,8 @@ def room_type_share(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
 
 def median_price_by(df: DataFrame, keys: list[str], roles: Roles = Roles()) -> DataFrame:
     """Median price per group; groups whose prices are all NULL keep a NULL median."""
-    g = df
-    for k in keys:
-        g = g.where(F.col(k).isNotNull())
-    med = exact_median(g, roles.price, keys, "median_nightly_price")
-    return g.select(*keys).distinct().join(med, keys, "left")
+    med = wide_quantiles(df, {"median_nightly_price": roles.price}, [0.5], keys)
+    return med.select(*keys, F.col("median_nightly_price")[0].alias("median_nightly_price"))
 
 
 def median_price_by_city_and_period(df: DataFrame, roles: Roles = Roles(), periods: list[str] | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from peerscope.functions.geo import haversine_km
-from peerscope.operators.quantiles import choose_method, exact_median
+from peerscope.operators.quantiles import wide_quantiles
 from peerscope.roles import Roles
 
 # Fixed values of the feature registry (names and order as in the reference contracts).
@@ -97,13 +97,8 @@ def model_input_profile(listings: DataFrame, reference: DataFrame, roles: Roles
 
 def centroids(frame: DataFrame, keys: list[str], roles: Roles = Roles()) -> DataFrame:
     """AGG1: median latitude / longitude per group; NULL keys are dropped."""
-    g = frame
-    for k in keys:
-        g = g.where(F.col(k).isNotNull())
-    method = choose_method(g, roles.latitude, keys)
-    lat = exact_median(g, roles.latitude, keys, "centroid_latitude", method)
-    lon = exact_median(g, roles.longitude, keys, "centroid_longitude", method)
-    return g.select(*keys).distinct().join(lat, keys, "left").join(lon, keys, "left")
+    both = {"centroid_latitude": roles.latitude, "centroid_longitude": roles.longitude}
+    return wide_quantiles(frame, both, [0.5], keys).select(*keys, *[F.col(c)[0].alias(c) for c in both])
 
 
 def attach_distance_features(frame: DataFrame, roles: Roles = Roles()) -> DataFrame:

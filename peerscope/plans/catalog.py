@@ -87,10 +87,10 @@ def q_comparables_grid(spark, d):
 @register("medians_bucketed", sql.med_mad_sql(sql.MARKET, ["city_name", "period_label"], sql.SUMMARY_METRICS_BOUND),
           sql._stat_cols(sql.SUMMARY_METRICS_BOUND))
 def q_medians_bucketed(spark, d):
-    """The large-group quantiles on their own: every group goes through the bucketed plan."""
+    """The large-group quantiles on their own: every group is narrowed by sketch, counts and brackets."""
     from peerscope.operators.summaries import median_and_mad
 
-    return median_and_mad(market_frame(spark, d), ["city_name", "period_label"], sql.SUMMARY_METRICS_BOUND, "buckets")
+    return median_and_mad(market_frame(spark, d), ["city_name", "period_label"], sql.SUMMARY_METRICS_BOUND, "narrowed")
 
 
 SUMMARY_DOUBLES = ["neighbourhood_entropy", "room_type_entropy"] + sql._stat_cols(sql.SUMMARY_METRICS_BOUND)

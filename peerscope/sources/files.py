@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import re
+import uuid
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerscope.operators.cleaning import SPARK_TYPES, Contract
+from peerscope.operators.cleaning import SPARK_TYPES, Contract, to_float
 
 # Fixed value: the text tokens pandas' CSV reader turns into missing values.
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
@@ -51,7 +56,8 @@ def read_csv_with_contract(spark: SparkSession, path: str, contract: Contract) -
     cols = []
     for f in contract.fields:
         c = F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None)
-        cols.append(c.try_cast(SPARK_TYPES[f.type]).alias(f.name))
+        kind = SPARK_TYPES[f.type]
+        cols.append((to_float(c) if kind == "double" else c.try_cast(kind)).alias(f.name))
     return raw.select(*cols)
 
 
@@ -111,18 +117,43 @@ def read_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFra
     return {name: spark.read.parquet(path) for name, path in paths.items()}
 
 
-def file_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """SRC7: one row per file: path, size in bytes, SHA-256 of the content, import date.
+#: Bytes of a file that a hashing task holds at once.
+HASH_CHUNK = 8 << 20
 
-    Runs as a distributed job (one task per file); files up to 2 GB each.
-    """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return files.select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-        F.col("length").alias("size_bytes"),
-        F.sha2("content", 256).alias("sha256"),
-        F.current_date().alias("import_date"),
-    )
+
+def hashed_files(spark: SparkSession, paths: str | list[str], glob: str = "*") -> DataFrame:
+    """One row per file: ``path``, ``size_bytes``, ``sha256``.  The listing reads no content; tasks stream
+    each file in chunks, so files may have any size.  Files of no bytes are not listed (Spark skips them)."""
+    # content is not selected, so only names and lengths are listed
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths).select("path", F.col("length").alias("size_bytes"))
+
+    def hashed(batches):
+        from pyarrow import fs
+
+        for batch in batches:
+            sums = []
+            for path in batch.column("path").to_pylist():
+                # names are listed unescaped
+                if path.startswith("file:"):
+                    system, inner = fs.LocalFileSystem(), re.sub("^file:/+", "/", path)
+                else:
+                    system, inner = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+                digest = hashlib.sha256()
+                with system.open_input_stream(inner) as stream:
+                    while chunk := stream.read(HASH_CHUNK):
+                        digest.update(chunk)
+                sums.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sums, pa.string())], names=["path", "size_bytes", "sha256"])
+
+    # one file a task at most times: the listing may come as a few partitions
+    return listed.repartition("path").mapInArrow(hashed, "path string, size_bytes long, sha256 string")
+
+
+def file_manifest(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """SRC7: one row per file: path, size in bytes, SHA-256 of the content, import date."""
+    return hashed_files(spark, path, glob).select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "size_bytes", "sha256",
+        F.current_date().alias("import_date"))
 
 
 def provenance_manifest(spark: SparkSession, descriptors: list[SourceDescriptor]) -> DataFrame:
@@ -133,9 +164,9 @@ def provenance_manifest(spark: SparkSession, descriptors: list[SourceDescriptor]
         [(d.name, d.path, d.source_category, d.file_format, d.encoding, d.steward, d.immutable, d.description,
           d.known_limitations) for d in descriptors],
         ", ".join(f"{n} {'boolean' if n == 'immutable' else 'string'}" for n in names))
-    files = spark.read.format("binaryFile").load([d.path for d in descriptors]).select(
-        F.regexp_replace("path", "^file:/*", "/").alias("_path"), F.col("length").alias("size_bytes"),
-        F.sha2("content", 256).alias("sha256"), F.current_date().alias("import_date"))
+    files = hashed_files(spark, [d.path for d in descriptors]).select(
+        F.regexp_replace("path", "^file:/*", "/").alias("_path"), "size_bytes", "sha256",
+        F.current_date().alias("import_date"))
     plain = F.regexp_replace("canonical_path", "^file:/*", "/")
     return told.withColumn("original_filename", F.regexp_extract("canonical_path", r"([^/]+)$", 1)).join(
         files, plain == F.col("_path"), "left").drop("_path")
@@ -143,15 +174,16 @@ def provenance_manifest(spark: SparkSession, descriptors: list[SourceDescriptor]
 
 def write_processed(df: DataFrame, name: str, root: str, sources: list[str],
                     generation_date: dt.date | None = None, sort_keys: list[str] | None = None) -> DataFrame:
-    """SNK1: write Parquet and CSV (header) plus a one-row manifest; returns the manifest.
+    """SNK1/SRT1: write Parquet and CSV (header) plus a one-row manifest; returns the manifest.
 
-    The row count comes from the written Parquet's footers (no second pass over the data).
+    With ``sort_keys`` both outputs are in global order: part by part in the order of the file names
+    (range shuffles, nulls first).  The row count reads no column of the written Parquet, only its footers.
     """
     spark = df.sparkSession
-    out = df.sortWithinPartitions(*sort_keys) if sort_keys else df
-    out.write.mode("overwrite").parquet(f"{root}/parquet/{name}")
+    (df.orderBy(*sort_keys) if sort_keys else df).write.mode("overwrite").parquet(f"{root}/parquet/{name}")
     written = spark.read.parquet(f"{root}/parquet/{name}")
-    written.write.mode("overwrite").option("header", True).csv(f"{root}/csv/{name}")
+    ordered = written.orderBy(*sort_keys) if sort_keys else written
+    ordered.write.mode("overwrite").option("header", True).csv(f"{root}/csv/{name}")
     manifest = written.agg(F.count(F.lit(1)).alias("row_count")).select(
         F.lit(name).alias("dataset_name"),
         "row_count",
@@ -177,3 +209,27 @@ def write_tables(tables: dict[str, DataFrame], root: str, sources: dict[str, lis
     for m in manifests[1:]:
         out = out.unionByName(m)
     return out
+
+
+def publish(df: DataFrame, name: str, root: str, sources: list[str], sort_keys: list[str] | None = None) -> DataFrame:
+    """SNK1 published atomically: the outputs go to a folder of their own under ``root/staged``, and the last
+    write adds one row (one file, renamed into place) to ``root/published/<name>``.  A run that stops half
+    way leaves the former version as it was; ``read_published`` never sees the unfinished one.
+
+    Returns the manifest row with ``base`` (the version's folder) and ``published_at``."""
+    base = f"{root}/staged/{name}/{uuid.uuid4().hex}"
+    manifest = write_processed(df, name, base, sources, sort_keys=sort_keys)
+    row = manifest.withColumns({"base": F.lit(base), "published_at": F.current_timestamp()})
+    row.coalesce(1).write.mode("append").parquet(f"{root}/published/{name}")
+    return published_versions(df.sparkSession, name, root).where(F.col("base") == base)
+
+
+def published_versions(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """The manifests of all finished versions of a table."""
+    return spark.read.parquet(f"{root}/published/{name}")
+
+
+def read_published(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """The Parquet output of the last finished version (ties in time: the larger folder name)."""
+    last = published_versions(spark, name, root).agg(F.max(F.struct("published_at", "base")).alias("v")).first()["v"]
+    return spark.read.parquet(f"{last['base']}/parquet/{name}")

@@ -37,6 +37,17 @@ def test_text_golden_vectors(spark):
     ]
 
 
+def test_coordinates_and_contract_numbers_refuse_type_suffixes(spark, tmp_path):
+    vectors = {"45.1d, 9.2": (None, None), "45.1f, 9f": (None, None), "0x1p3, 9": (None, None), "45.1, ": (None, None),
+               "45.1": (None, None), " 45.1 ,9": (45.1, 9.0), "+4.5e1,-1_0.5": (45.0, -10.5), None: (None, None)}
+    rows = T.with_coordinates(spark.createDataFrame([(k,) for k in vectors], "xy string"), "xy").collect()
+    assert {r.xy: (r.latitude, r.longitude) for r in rows} == vectors
+    (tmp_path / "t.csv").write_text("id,x\n1,12d\n2,12.5\n3,nan\n4,\n")
+    contract = cl.Contract("t", ("id",), (cl.Field("id", "integer", False, ("id",)), cl.Field("x", "float", True, ("x",))))
+    read = files.read_csv_with_contract(spark, str(tmp_path / "t.csv"), contract)
+    assert sorted(map(tuple, read.collect())) == [(1, None), (2, 12.5), (3, None), (4, None)]
+
+
 def test_primitive_types(spark):
     vals = ["", "12", "1_000", "-3.5e2", "nan", "2024-06-15", "2024-02-30", "abc", ".5"]
     df = spark.createDataFrame([(v,) for v in vals], "v string")

@@ -1,6 +1,7 @@
 """Sources, sinks and the summary and reference cleaners."""
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +67,46 @@ def test_wanted_features_that_are_missing_come_as_nulls(spark):
     assert dict(out.dtypes)["beds_count"] == "double" and out.first()["beds_count"] is None
     assert set(feat.rich_feature_columns(True)) > set(feat.rich_feature_columns())
     assert out.select(F.count("latitude")).first()[0] == 1
+
+
+def test_outputs_are_in_global_order(spark, tmp_path):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("id")).repartition(7)
+    files.write_processed(df, "t", str(tmp_path), ["raw"], sort_keys=["id"])
+    parts = sorted((tmp_path / "csv" / "t").glob("part-*.csv"))
+    lines = [x for p in parts for x in p.read_text().split()[1:]]
+    assert len(lines) == 5000 and [int(x) for x in lines] == list(range(5000))
+    parts = sorted((tmp_path / "parquet" / "t").glob("part-*.parquet"))
+    assert [x for p in parts for x in pq.read_table(p)["id"].to_pylist()] == list(range(5000))
+
+
+def test_published_versions_survive_a_run_that_stops(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    first = spark.createDataFrame([(2, "b"), (1, "a")], "id long, name string")
+    row = files.publish(first, "t", root, ["raw"], ["id"]).first()
+    assert row["row_count"] == 2 and [r.id for r in files.read_published(spark, "t", root).collect()] == [1, 2]
+
+    def stop(value):
+        raise ValueError("stopped")
+
+    broken = first.withColumn("id", F.udf(stop, "long")("id"))
+    with pytest.raises(Exception, match="stopped"):
+        files.publish(broken, "t", root, ["raw"], ["id"])
+    # stopped behind the data, ahead of the last write
+    with monkeypatch.context() as m:
+        m.setattr(files.F, "current_timestamp", lambda: stop(None))
+        with pytest.raises(ValueError):
+            files.publish(first.where("id = 1"), "t", root, ["raw"])
+    assert [r.id for r in files.read_published(spark, "t", root).collect()] == [1, 2]
+    files.publish(first.where("id = 2"), "t", root, ["raw"])
+    assert [r.id for r in files.read_published(spark, "t", root).collect()] == [2]
+    assert files.published_versions(spark, "t", root).count() == 2
+
+
+def test_hashes_of_files_above_one_chunk(spark, tmp_path):
+    import hashlib
+
+    data = bytes(range(256)) * (files.HASH_CHUNK // 256 + 3)
+    (tmp_path / "big file%1.bin").write_bytes(data)
+    (tmp_path / "empty.bin").write_bytes(b"")
+    got = {r["file_name"]: (r["size_bytes"], r["sha256"]) for r in files.file_manifest(spark, str(tmp_path)).collect()}
+    assert got == {"big file%1.bin": (len(data), hashlib.sha256(data).hexdigest())}  # empty files are not listed
