@@ -242,14 +242,16 @@ def template_frequencies(files: DataFrame, text: str, templates=TEMPLATES) -> tu
 
 
 def own_licenses(files: DataFrame, text: str = "text", threshold: float = THRESHOLD, templates=TEMPLATES) -> DataFrame:
-    """``files`` with the column ``own`` (struct of licence and similarity, null without a match)."""
+    """``files`` with the column ``own`` (struct of licence, similarity and ``whole``: the file is a whole licence
+    text; null without a match)."""
     df, n = template_frequencies(files, text, templates)
     matcher = Shared(files.sparkSession, Matcher(templates, df, n, threshold, license_texts()))
 
-    @F.arrow_udf("struct<license:string,similarity:double>")
+    @F.arrow_udf("struct<license:string,similarity:double,whole:boolean>")
     def match(texts: pa.Array) -> pa.Array:
         m, terms = matcher.value, Terms()
         best: dict[int, tuple[float, str]] = {}  # row -> (minus the similarity, licence), the least one
+        wholes: set[int] = set()
         data, offsets = column_arrays(pa.RecordBatch.from_arrays([texts], names=["text"]), "text")
         for a, b in row_chunks(offsets):
             part, o = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
@@ -276,16 +278,22 @@ def own_licenses(files: DataFrame, text: str = "text", threshold: float = THRESH
                 for score, name in m.windows(h[lo:hi], inside[lo : hi + 1]) + m.named(part[o[i] : o[i + 1]].tobytes()):
                     best[a + i] = min(best.get(a + i, (0.0, "")), (-round(score, 12), name))
             best |= {a + i: found for i, found in whole.items()}
+            wholes |= {a + i for i in whole}
         names = [best[i][1] if i in best else None for i in range(len(texts))]
         scores = [-best[i][0] if i in best else None for i in range(len(texts))]
         return pa.StructArray.from_arrays(
-            [pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["license", "similarity"],
+            [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array([i in wholes for i in range(len(texts))])],
+            names=["license", "similarity", "whole"],
             mask=pa.array([x is None for x in names]),
         )
 
     return files.withColumn("own", match(F.col(text)))
 
 
+#: File names that stand for a licence file.
+LICENSE_FILE = r"(?i)^(licen[cs]e|copying|unlicense|notice)([._-].*)?$"
+
+
 def directory_of(path: Column) -> Column:
     """Everything before the last slash; empty for a file at the top."""
     return F.when(path.isNotNull(), F.regexp_replace(path, "/?[^/]*$", ""))
@@ -294,9 +302,13 @@ def directory_of(path: Column) -> Column:
 def inherited(found: DataFrame, path: str = "path", is_license_file: Column | None = None) -> DataFrame:
     """``found`` (with ``own``) with ``license``, ``similarity``, ``license_path`` (the file it comes from).
 
-    ``is_license_file`` says which files speak for their directory (default: every file with a licence)."""
+    ``is_license_file`` says which files with a licence speak for their directory (default: whole licence texts and
+    files named as licence files are); a header speaks for its own file alone."""
+    if is_license_file is None:
+        named = F.regexp_extract(F.col(path), "[^/]*$", 0).rlike(LICENSE_FILE)
+        is_license_file = F.coalesce(F.col("own.whole"), F.lit(False)) | F.coalesce(named, F.lit(False))
     rows = found.withColumn("_dir", directory_of(F.col(path)))
-    speaks = F.col("own").isNotNull() & (is_license_file if is_license_file is not None else F.lit(True))
+    speaks = F.col("own").isNotNull() & is_license_file
     given = rows.where(speaks & F.col("_dir").isNotNull()).groupBy("_dir").agg(
         F.min(F.struct(F.col(path).alias("p"), F.col("own.license").alias("l"))).alias("_given")
     )

@@ -35,7 +35,27 @@ def test_licenses_of_blocks_and_files(spark):
     df = spark.createDataFrame(rows, "path string, text string")
     got = {r["path"]: r["own"] and r["own"]["license"] for r in licenses.own_licenses(df).collect()}
     assert got == want
-    # a file next to a wrapped header inherits it
-    both = spark.createDataFrame([rows[0], ("0/plain.txt", "plain")], "path string, text string")
-    found = licenses.inherited(licenses.own_licenses(both)).where("path = '0/plain.txt'").first()
-    assert (found["license"], found["license_path"]) == ("GPL-3.0", "0/x.txt")
+
+
+def test_headers_speak_for_their_file_and_licence_files_for_their_directory(spark):
+    mit = "Released under the MIT License."
+    whole = dict(licenses.license_texts())
+    rows = [("LICENSE", STATEMENTS["GPL-3.0"]), ("src/a/util.py", f"# {mit}"), ("src/a/other.py", "plain"), ("src/a/b/deep.py", "plain"),
+            ("lib/terms.txt", whole["Apache-2.0"]), ("lib/x/y.c", "plain"), ("lib/z/COPYING.md", mit), ("lib/z/q/w.c", ""),
+            ("lib/z/q/v.c", STATEMENTS["BSD-3-Clause"]), ("LICENSE-notes/x.c", None), ("lib/license.c.d/u.c", "plain")]
+    rows += [(f"n/{i}", "the garden of the sea is under the river") for i in range(40)]
+    df = spark.createDataFrame(rows, "path string, text string")
+    got = {r["path"]: (r["license"], r["license_path"]) for r in licenses.inherited(licenses.own_licenses(df)).collect()}
+    own = {"LICENSE": "GPL-3.0", "src/a/util.py": "MIT", "lib/terms.txt": "Apache-2.0", "lib/z/COPYING.md": "MIT", "lib/z/q/v.c": "BSD-3-Clause"}
+    speakers = {"": "LICENSE", "lib": "lib/terms.txt", "lib/z": "lib/z/COPYING.md"}
+
+    def brute(path):
+        if path in own:
+            return own[path], path
+        at = path
+        while at:
+            at = at.rpartition("/")[0]
+            if at in speakers:
+                return own[speakers[at]], speakers[at]
+
+    assert got == {path: brute(path) for path, _ in rows}
