@@ -12,7 +12,7 @@
    described by the weights that the other half gives.
 
 The labelled rows are a bounded sample (``TRAIN_ROWS``, by a hash of the id), and the lexicon keeps
-``LEXICON_ROWS`` words; the character model and the scores cover every row and whole texts.
+the words of those texts; the character model and the scores cover every row and whole texts.
 
 Defined results: null and empty texts get the model's score of a text without marked words; rows that
 repeat get equal scores; without labels of both kinds every score is 0.
@@ -33,8 +33,8 @@ from peerscope.llm.common import Shared, by_pieces, column_arrays, row_chunks, t
 
 #: Labelled rows the classifier is fitted to, at most (a hash of the id picks them).
 TRAIN_ROWS = 40_000
-#: Words of the lexicon, at most, by weight; and the least weight of a word.
-LEXICON_ROWS, LEAST_WEIGHT = 20_000, 1.0
+#: Least weight of a word of the lexicon, which is bounded by the words of ``TRAIN_ROWS`` texts.
+LEAST_WEIGHT = 1.0
 #: Standard errors that a word's log odds are lowered by.
 CAUTION = 1.5
 #: Distinct tokens memoised per task process.
@@ -47,8 +47,8 @@ LOOKS_LIKE = {
     "¡": "i", "µ": "u", "§": "s", "#": "h", "%": "x", "*": "aeiou",
 }
 #: Channel costs (negative logs): a disguise, keeping a sign, dropping a sign, dropping a repetition,
-#: dropping a blank between spaced-out letters.
-SWAP, KEEP, DROP, DROP_REPEAT, DROP_BLANK = 1.0, 6.0, 2.5, 0.4, 0.2
+#: dropping a blank between spaced-out letters, dropping one of two equal letters.
+SWAP, KEEP, DROP, DROP_REPEAT, DROP_BLANK, DROP_DOUBLED = 1.0, 6.0, 2.5, 0.4, 0.2, 3.0
 CLASSES = 28  # border, a-z, other letters
 EDGE = ".,;:!?\"'()[]{}*&%$#@-_/\\|<>=+~`…»«„“”’‘"
 
@@ -100,8 +100,8 @@ class Restorer:
 
     def _setup(self) -> None:
         self.memo: dict[str, str] = {}
-        self.spaced = re.compile(r"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")
-        self.thrice = re.compile(r"(.)\1\1")
+        self.spaced = re.compile(r"(?<!\S)(?:\S\s+){2,}\S(?!\S)")
+        self.repeated = re.compile(r"(.)\1+")
 
     def __getstate__(self) -> dict:
         return {"costs": self.costs}
@@ -119,12 +119,14 @@ class Restorer:
         costs, classes = self.costs, self._class
         states = {(0, 0): (0.0, None)}  # the last two letter classes -> (cost, chain of letters)
         before = ""
+        # a doubled letter is dropped more readily the more of them a token has
+        doubled = DROP_DOUBLED / max(1, sum(len(m[0]) == 2 for m in self.repeated.finditer(token)))
         for i, c in enumerate(token):
             options: list[tuple[str, float]] = []
             if c.isalpha():
                 options.append((c, 0.0))
                 if c == before:
-                    options.append(("", DROP_REPEAT if token[max(0, i - 2) : i] == c + c or token[i + 1 : i + 2] == c else 3.0))
+                    options.append(("", DROP_REPEAT if token[max(0, i - 2) : i] == c + c or token[i + 1 : i + 2] == c else doubled))
             elif c == " ":
                 options += [("", DROP_BLANK), (" ", 0.0)]
             else:
@@ -161,7 +163,7 @@ class Restorer:
             low = token.lower()
             core = low.strip(EDGE)
             if core.isalpha():
-                found = self.decode(core) if self.thrice.search(core) else core
+                found = self.decode(core) if self.repeated.search(core) else core
             elif any(c.isalpha() for c in low):
                 found = self.decode(low)
             else:
@@ -171,14 +173,15 @@ class Restorer:
         return found
 
     def tokens(self, text: str | None) -> list[str]:
-        """Tokens of a text; single letters that are spaced out come as one token with blanks."""
+        """Tokens of a text; single letters that are spaced out, by any white space, come as one token with blanks."""
         if not text:
             return []
         if not self.spaced.search(text):
             return text.split()
         out, at = [], 0
         for m in self.spaced.finditer(text):
-            if sum(map(str.isalpha, m[0])) >= 3:
+            # signs that stand for letters count as letters beside one
+            if any(map(str.isalpha, m[0])) and sum(c.isalpha() or c in LOOKS_LIKE for c in m[0]) >= 3:
                 out += text[at : m.start()].split()
                 out.append(" ".join(m[0].split()))
                 at = m.end()
@@ -289,7 +292,7 @@ def train(docs: DataFrame, labels: DataFrame, restorer, key: str = "doc_id", tex
     best = counted.select("word", both.alias("w"), first.alias("w0"), second.alias("w1")).where(
         F.greatest("w", "w0", "w1") >= LEAST_WEIGHT
     )
-    kept = best.orderBy(F.greatest("w", "w0", "w1").desc(), "word").limit(LEXICON_ROWS).collect()
+    kept = best.collect()
     lexicons = [{r["word"]: r[c] for r in kept if r[c] >= LEAST_WEIGHT} for c in ("w", "w0", "w1")]
     shared = Shared(spark, [Weights(x) for x in lexicons])
 

@@ -116,14 +116,14 @@ def test_chunked_round_trip():
 
 def test_licenses(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
-    rows = [("a/x.txt", f"text\n{mit}"), ("a/b/y.txt", "plain"), ("a/b/c/z.txt", f"{gpl}\nmore the the"), ("a/b/c/w.txt", None),
+    rows = [("a/LICENSE.txt", f"text\n{mit}"), ("a/b/y.txt", "plain"), ("a/b/c/COPYING", f"{gpl}\nmore the the"), ("a/b/c/w.txt", None),
             ("q/u.txt", ""), ("top.txt", "nothing licensed here"), (None, mit), (None, "x"), ("a/b/c/w.txt", None)]
     rows += [(f"n/{i}.txt", "the work of this version is under the sea " * 3) for i in range(40)]
     df = spark.createDataFrame([(*r, "k") for r in rows], "path string, text string, license string")
     got = [tuple(r) for r in licenses.inherited(licenses.own_licenses(df)).select("path", "license", "license_path").collect()]
     by = {k: v for k, *v in got if k}
-    assert by["a/x.txt"] == ["MIT", "a/x.txt"] and by["a/b/y.txt"] == ["MIT", "a/x.txt"]
-    assert by["a/b/c/z.txt"] == ["GPL-3.0", "a/b/c/z.txt"] and by["a/b/c/w.txt"] == ["GPL-3.0", "a/b/c/z.txt"]
+    assert by["a/LICENSE.txt"] == ["MIT", "a/LICENSE.txt"] and by["a/b/y.txt"] == ["MIT", "a/LICENSE.txt"]
+    assert by["a/b/c/COPYING"] == ["GPL-3.0", "a/b/c/COPYING"] and by["a/b/c/w.txt"] == ["GPL-3.0", "a/b/c/COPYING"]
     assert by["q/u.txt"] == [None, None] and by["top.txt"] == [None, None] and by["n/3.txt"] == [None, None]
     assert sorted(str(x[1]) for x in got if x[0] is None) == ["MIT", "None"] and len(got) == len(rows)
     assert licenses.inherited(licenses.own_licenses(df.where("path = '-'"))).count() == 0
@@ -186,3 +186,14 @@ def test_viterbi_restores_text(spark):
     r = toxicity.channel(docs).value
     assert r.text("You 1D10T, such a s.t.u.p.i.d m0r0n!!") == "you idiot such a stupid moron"
     assert r.text(None) == "" and r.word("windooooow") == "window" and r.word("555-1234") == ""
+
+
+def test_spaced_signs_and_doubled_letters_are_restored(spark):
+    rows, _ = toxic_corpus(300)
+    r = toxicity.channel(spark.createDataFrame(rows, "doc_id long, text string")).value
+    forms = {"idiot": ["1 d 1 0 t", "i  d  i  o  t", "i\nd\ni\no\nt", "iddiioott", "1 D 1 O T"],
+             "stupid": ["5 t u p 1 d", "stuupid", "s \t t u p i d", "sttuuppiidd"], "moron": ["m 0 r 0 n", "moorroon"]}
+    for want, texts in forms.items():
+        for text in texts:
+            assert r.text(f"the quick {text} river") == f"the quick {want} river", text
+    assert r.text("little 1 2 3 4 paper") == "little paper" and r.tokens("1 2 3 4") == ["1", "2", "3", "4"]
