@@ -13,8 +13,9 @@ Words: A-Z lower-cased, then runs of characters outside 00-2F, 3A-60, 7B-7F (dig
 everything from U+0080 on).  Terms are 64-bit hashes of the words; a false match would need the
 same collision at every offset of a phrase.
 
-The test items are read in blocks of at most ``BLOCK_BYTES`` of text; each block is broadcast and run
-against all shards, so memory does not follow the size of the benchmark.
+Tasks turn the test items into blocks of at most ``BLOCK_BYTES`` of text, which are written; one block at a
+time is broadcast, run against all shards and its matches written before the next, so no memory follows the
+size of the benchmark.
 
 Defined results: null and empty texts have no words and no hits; an item without words never occurs;
 repeated documents are separate rows; repeated items count once per item id; a null item id is
@@ -153,67 +154,80 @@ class Shard:
         return np.searchsorted(self.first, positions, side="right") - 1
 
 
-def item_blocks(items: DataFrame, key: str, text: str) -> Iterator[list[tuple]]:
-    """The test items (item key, text) in blocks of at most ``BLOCK_BYTES`` of text, one item at least."""
-    block, size = [], 0
-    for row in items.select(F.col(key).cast("string"), F.col(text)).toLocalIterator():
-        n = len((row[1] or "").encode())
-        if block and size + n > BLOCK_BYTES:
-            yield block
-            block, size = [], 0
-        block.append((row[0], row[1]))
-        size += n
-    if block:
-        yield block
+def item_blocks(items: DataFrame, key: str, text: str) -> DataFrame:
+    """The test items as written rows of at most about ``BLOCK_BYTES`` of text, one item at least: block,
+    item keys, words per item, terms of all words.  Tasks take the words; the driver sees the sum of sizes."""
 
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rolling, block = Rolling(), TaskContext.get().partitionId() << 40
+        for batch in batches:
+            data, offsets = column_arrays(batch, "text")
+            for a, b in row_chunks(offsets, BLOCK_BYTES):
+                terms, counts = words_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], rolling)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([block], pa.int64()),
+                        pa.array([batch.column(0).slice(a, b - a).to_pylist()], pa.list_(pa.string())),
+                        pa.array([counts.astype("<i8").tobytes()], pa.binary()),
+                        pa.array([terms.tobytes()], pa.binary()),
+                    ],
+                    names=["block", "items", "counts", "terms"],
+                )
+                block += 1
 
-def phrases_of(block: list[tuple], window: int | None) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """Distinct phrases of a block by length: (length, terms as rows, items of each row).
+    rows = items.select(F.col(key).cast("string").alias("item"), F.col(text).alias("text"))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    rows = rows.repartition(1 + size // BLOCK_BYTES)
+    return saved(rows.mapInArrow(trimming(blocks), "block long, items array<string>, counts binary, terms binary"), "items")
+
+
+def phrases_of(counts: np.ndarray, window: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, number of words, item) of each phrase of items with ``counts`` words laid end to end.
 
     ``window``: consecutive words of a phrase; an item of fewer words is one phrase.  None: whole items."""
-    rolling, by_length = Rolling(), {}
-    for n, (_, text) in enumerate(block):
-        raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
-        terms, _ = words_of(raw, np.array([0, len(raw)]), rolling)
-        if not len(terms):
-            continue
-        k = len(terms) if window is None else min(window, len(terms))
-        rows = np.lib.stride_tricks.sliding_window_view(terms, k)
-        by_length.setdefault(k, []).append((rows, np.full(len(rows), n)))
-    return [(k, np.concatenate([r for r, _ in v]), np.concatenate([i for _, i in v])) for k, v in by_length.items()]
+    length = counts if window is None else np.minimum(counts, window)
+    n = np.where(counts > 0, counts - length + 1, 0)
+    item = np.repeat(np.arange(len(counts)), n)
+    inside = np.arange(len(item)) - np.repeat(np.cumsum(n) - n, n)
+    return (np.cumsum(counts) - counts)[item] + inside, length[item], item
 
 
 def search(index: DataFrame, items: DataFrame, key: str = "item_id", text: str = "text",
            window: int | None = WINDOW, slop: int = 0) -> DataFrame:
     """Matches of the items' phrases: uid, key (document), hits (distinct word numbers inside the
     document, covered by a match), items (keys of the items that match).  One row per document and
-    block of items; documents without a match have no row."""
-    spark, out = index.sparkSession, None
-    schema = "uid long, key long, hits array<int>, items array<string>"
+    block of items; documents without a match have no row.
 
-    for block in item_blocks(items, key, text):
-        shared = spark.sparkContext.broadcast(([b[0] for b in block], phrases_of(block, window)))
-
-        def run(batches, shared=shared):
-            names, groups = shared.value
+    Each block's matches are written before the next block is sent, so one block is held at a time."""
+    spark = index.sparkSession
+    schema = "uid long, key long, hits array<int>, items array<string>"
+    blocks = item_blocks(items, key, text)
+    out = saved(spark.createDataFrame([], schema), "matches")
+
+    def matches(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, counts, terms = shared.value
+            terms = np.frombuffer(terms, np.uint64)
+            first_word, length, owner = phrases_of(np.frombuffer(counts, "<i8"), window)
             for batch in batches:
                 for number in range(batch.num_rows):
                     shard = Shard(batch.slice(number, 1).to_pylist()[0])
                     docs, starts, ends, found = [], [], [], []
-                    for _, rows, owner in groups:
-                        lists = shard.lookup(rows.ravel()).reshape(rows.shape)
-                        for i in np.flatnonzero((lists >= 0).all(axis=1)):
-                            if slop:
-                                s, e = shard.near(lists[i], slop)
-                            else:
-                                s = shard.exact(lists[i])
-                                e = s + rows.shape[1]
-                            if len(s):
-                                d = shard.documents(s)
-                                docs.append(d)
-                                starts.append(s - shard.first[d])
-                                ends.append(np.minimum(e - shard.first[d], shard.n_words[d]))
-                                found.append(np.full(len(s), owner[i]))
+                    lists = shard.lookup(terms)
+                    absent = np.concatenate(([0], np.cumsum(lists < 0)))
+                    for i in np.flatnonzero(absent[first_word] == absent[first_word + length]):
+                        here = lists[first_word[i] : first_word[i] + length[i]]
+                        if slop:
+                            s, e = shard.near(here, slop)
+                        else:
+                            s = shard.exact(here)
+                            e = s + len(here)
+                        if len(s):
+                            d = shard.documents(s)
+                            docs.append(d)
+                            starts.append(s - shard.first[d])
+                            ends.append(np.minimum(e - shard.first[d], shard.n_words[d]))
+                            found.append(np.full(len(s), owner[i]))
                     if not docs:
                         continue
                     d, s, e, o = map(np.concatenate, (docs, starts, ends, found))
@@ -234,9 +248,14 @@ def search(index: DataFrame, items: DataFrame, key: str = "item_id", text: str =
                         [pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["uid", "key", "hits", "items"]
                     )
 
-        part = index.mapInArrow(trimming(run), schema)
-        out = part if out is None else out.union(part)
-    return out if out is not None else spark.createDataFrame([], schema)
+        return index.mapInArrow(trimming(run), schema)
+
+    for (block,) in blocks.select("block").collect():  # one number per block
+        row = blocks.where(F.col("block") == block).first()
+        shared = spark.sparkContext.broadcast((row["items"], bytes(row["counts"]), bytes(row["terms"])))
+        out = out.union(saved(matches(shared), "matches"))
+        shared.destroy()
+    return out
 
 
 def contamination(index: DataFrame, items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:

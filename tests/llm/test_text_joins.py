@@ -1,6 +1,7 @@
 """Operators 3 (decontamination), 7 (Jaccard join) and 8 (repeated bytes) against plain versions."""
 import random
 
+import numpy as np
 import pytest
 
 from peerscope.llm import decontaminate, jaccard, repeats
@@ -113,6 +114,24 @@ def test_contamination(spark, monkeypatch, block):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r[0] for r in brute.contamination(rows, items) if not r[4])
 
 
+def test_phrases_of_items():
+    first, length, item = decontaminate.phrases_of(np.array([3, 0, 2, 5]), 3)
+    assert list(zip(first.tolist(), length.tolist(), item.tolist(), strict=True)) == [
+        (0, 3, 0), (3, 2, 2), (5, 3, 3), (6, 3, 3), (7, 3, 3)]
+    first, length, item = decontaminate.phrases_of(np.array([3, 0, 2]), None)
+    assert (first.tolist(), length.tolist(), item.tolist()) == ([0, 3], [3, 2], [0, 2])
+    assert [len(x) for x in decontaminate.phrases_of(np.array([], np.int64), 3)] == [0, 0, 0]
+
+
+def test_blocks_of_items_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 3000)
+    items = spark.range(400).selectExpr("id AS item_id", "concat_ws(' ', 'w', id, repeat('v ', 20)) AS text")
+    blocks = decontaminate.item_blocks(items, "item_id", "text").collect()
+    assert len(blocks) > 5 and max(len(b["terms"]) // 8 for b in blocks) <= 3000
+    assert sorted(int(i) for b in blocks for i in b["items"]) == list(range(400))
+    assert len({b["block"] for b in blocks}) == len(blocks)
+
+
 def test_proximity(spark):
     rows = [(1, "a x b c"), (2, "a b x x x c"), (3, "c b a"), (4, "a b"), (5, "a b c a q b q c")]
     index = decontaminate.build_index(frame(spark, rows))
