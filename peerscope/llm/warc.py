@@ -161,7 +161,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     rows = lines.select(F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, file, out, size = None, None, [], 0
+        held, file, out, size = [], None, [], 0
+        head, have, need = b"", 0, None
         names = [f.split(" ")[0] for f in RECORD_SCHEMA.split(", ")]
         types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(),
                  pa.int64(), pa.binary()]
@@ -178,19 +179,24 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for value, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if name != file:
-                    if held is not None:
+                    if held:
                         raise ValueError(f"{file}: the last record is cut off")
                     file = name
                     if value == b"":
                         continue  # what precedes the first version line
-                held = value if held is None else held + VERSION + value
-                head, sep, rest = held.partition(b"\r\n\r\n")
-                if not sep:
-                    raise ValueError(f"{file}: a record without an end of its head")
-                f = dict(line.split(": ", 1) for line in head.decode("utf-8", "surrogatepass").split("\r\n"))
-                n = int(f["Content-Length"])
-                if len(rest) < n + 4:
+                held += [VERSION, value] if held else [value]
+                have = have + len(VERSION) + len(value) if len(held) > 1 else len(value)
+                if need is None:  # a head may hold the version line too
+                    held = [b"".join(held)]
+                    head, sep, _ = held[0].partition(b"\r\n\r\n")
+                    if not sep:
+                        continue
+                    f = dict(line.split(": ", 1) for line in head.decode("utf-8", "surrogatepass").split("\r\n"))
+                    n = int(f["Content-Length"])
+                    need = len(head) + n + 8
+                if have < need:
                     continue
+                rest = b"".join(held)[len(head) + 4 :]
                 if rest[n:] != b"\r\n\r\n":
                     raise ValueError(f"{file}: a record whose length is not its Content-Length")
                 out.append((number(f.get("X-Page-Id") if f.get("X-Page-Id") != "None" else None), f["WARC-Type"],
@@ -199,11 +205,11 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                             f.get("WARC-Segment-Origin-ID"), number(f.get("WARC-Segment-Number")),
                             number(f.get("WARC-Segment-Total-Length")), rest[:n]))
                 size += n
-                held = None
+                held, need = [], None
                 if size > 8 << 20:
                     yield flushed()
                     size = 0
-        if held is not None:
+        if held:
             raise ValueError(f"{file}: the last record is cut off")
         yield flushed()
 
@@ -226,8 +232,12 @@ def reassembled(records: DataFrame) -> DataFrame:
     )
     numbers = F.transform("_s", lambda s: s["segment"])
     in_order = numbers == F.sequence(F.lit(1), F.size("_s"))
-    block = F.aggregate("_s", F.lit(b"").cast("binary"), lambda acc, s: F.concat(acc, s["block"]))
-    joined = joined.withColumn("block", block)
+
+    @F.arrow_udf("binary")
+    def end_to_end(pieces: pa.Array) -> pa.Array:
+        return pa.array([b"".join(p) for p in pieces.to_pylist()], pa.binary())
+
+    joined = joined.withColumn("block", end_to_end(F.transform("_s", lambda s: s["block"])))
     good = in_order & (F.octet_length("block") == F.col("total")) & F.col("record_id").isNotNull()
     checked = F.when(good, F.col("block")).otherwise(
         F.raise_error(F.concat(F.lit("segments of "), "origin", F.lit(" don't fit"))).cast("binary")

@@ -75,7 +75,8 @@ def test_warc(spark, monkeypatch):
     monkeypatch.setattr(warc, "RECORDS_PER_FILE", 3)
     tricky = "é" * 9000 + "WARC/1.1\r\n\r\n0\r\n\r\n" + "<p>\r\n" * 40
     pages = [(5, "http://a/", tricky), (3, "http://b/", "same"), (9, "http://c/\r\nX: y", "same"), (7, None, None), (8, "u", ""),
-             (1, "u", tricky), (20, "u", "WARC/1.1\r\n"), (21, "u", "x" * 40000), (3, "http://b/", "same")]
+             (1, "u", tricky), (20, "u", "WARC/1.1\r\n"), (21, "u", "x" * 40000), (3, "http://b/", "same"),
+             (30, "http://w/WARC/1.1", "WARC/1.1\r\n" * 700 + "é")]
     df = spark.createDataFrame([(*p, "z") for p in pages], "page_id long, url string, html string, record_type string")
     for segment in (16 << 10, 50):
         monkeypatch.setattr(warc, "SEGMENT_BYTES", segment)
@@ -99,6 +100,16 @@ def test_warc_payloads_and_small_payloads(spark, tmp_path):
     assert bytes(read[3]["payload"]) == b"long text" and read[4]["refers_to"] == 3 and read[4]["payload"] is None
 
 
+def test_warc_reads_long_pages_in_linear_time(spark, tmp_path):
+    """A page full of version lines, in one record and in segments: seconds, where rereading would take hours."""
+    text = "WARC/1.1\r\n" * 600_000
+    pages = spark.createDataFrame([(1, "u", text)], "page_id long, url string, html string")
+    for n, segment in enumerate((64 << 20, 16 << 10)):
+        warc.write_archives(pages, str(tmp_path / f"w{n}"), segment_bytes=segment)
+        row = warc.read_pages(warc.read_records(spark, str(tmp_path / f"w{n}"))).first()
+        assert bytes(row["payload"]) == text.encode()
+
+
 def test_warc_missing_segment_is_an_error(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "abc" * 100)], "page_id long, url string, html string")
     warc.write_archives(pages, str(tmp_path / "w"), segment_bytes=100)
