@@ -224,9 +224,9 @@ def q_price_extremes_display(spark, d):
 
 @register("reference_cardinality", rep.REFERENCE_CARDINALITY)
 def q_reference_cardinality(spark, d):
-    """JON1's check on a reference table that holds every neighbourhood of two regions twice."""
-    ref = testdata.neighbourhood_reference(spark, d)
-    return feat.repeated_reference_keys(ref.unionByName(ref.where("city_name IN ('ASIA', 'EUROPE')")))
+    """JON1's check on a reference table that the market has at a finer grain (by room type and capacity)."""
+    finer = ["city_name", "neighbourhood_name", "room_type", "accommodates_count"]
+    return feat.repeated_reference_keys(market_frame(spark, d).select(*finer).distinct())
 
 
 @register("price_histogram", rep.PRICE_HISTOGRAM, ["bin_lower", "bin_upper"])
@@ -508,29 +508,50 @@ def q_coverage(spark, d):
                          {"cities": "city_name", "periods": "period_label", "snapshot_dates": "snapshot_date"})
 
 
-def _bound_city_summary(spark, d):
-    return city_period_summary(market_frame(spark, d))
+def _missing_columns(contract: cl.Contract, own: list[str]) -> list[str]:
+    """Contract columns that the binding's summary lacks: ``own`` and the bound statistics are there."""
+    have = {*own, "city_name", "period_label", "dominant_room_type", "room_type_entropy",
+            *sql._stat_cols(sql.SUMMARY_METRICS_BOUND)}
+    return [n for n in contract.names if n not in have]
+
+
+VALIDATED = ["listing_snapshot", "city_period_summary", "neighbourhood_period_summary", "neighbourhood_reference",
+             "neighbourhood_boundary"]
+VALIDATION_SQL = rep.validation_sql(
+    _missing_columns(cl.CITY_SUMMARY_CONTRACT, ["dominant_neighbourhood", "neighbourhood_entropy"]),
+    _missing_columns(cl.NEIGHBOURHOOD_SUMMARY_CONTRACT, ["neighbourhood_name"]),
+)
 
 
-def _missing_summary_columns() -> list[str]:
-    have = {"city_name", "period_label", "dominant_neighbourhood", "neighbourhood_entropy", "dominant_room_type",
-            "room_type_entropy", *sql._stat_cols(sql.SUMMARY_METRICS_BOUND)}
-    return [f.name for f in cl.CITY_SUMMARY_CONTRACT.fields if f.name not in have]
+def _manifest(df: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    return df.agg(F.lit(name).alias("dataset_name"), F.count(F.lit(1)).alias("row_count"), F.lit("|".join(columns)).alias("columns"))
 
 
-@register("validation_findings", rep.validation_sql(_missing_summary_columns()))
+@register("validation_findings", VALIDATION_SQL)
 def q_validation_findings(spark, d):
+    """All five tables.  The listing comes with the manifest of another table (the market without repeated
+    keys), the boundaries with their own."""
     raw = testdata.market_frame(spark, d, dedupe=False)
     listing = cut_lineage(cl.clean_listing_snapshot(testdata.raw_listing_export(raw)), "listing")
+    market = market_frame(spark, d)
     ref = testdata.neighbourhood_reference(spark, d)
-    tables = {
-        "listing_snapshot": (listing, cl.LISTING_CONTRACT),
-        "city_period_summary": (_bound_city_summary(spark, d), cl.CITY_SUMMARY_CONTRACT),
-        "neighbourhood_reference": (ref, cl.REFERENCE_CONTRACT),
-        "neighbourhood_boundary": (cl.clean_boundaries(testdata.boundary_features(spark, d), ref), cl.BOUNDARY_CONTRACT),
-    }
-    boundaries = tables["neighbourhood_boundary"][0]
-    return val.validate(tables).unionByName(val.cross_dataset_findings(boundaries, ref))
+    boundaries = cut_lineage(cl.clean_boundaries(testdata.boundary_features(spark, d), ref), "boundaries")
+    tables = dict(zip(VALIDATED, (
+        (listing, cl.LISTING_CONTRACT),
+        (city_period_summary(market), cl.CITY_SUMMARY_CONTRACT),
+        (neighbourhood_period_summary(market), cl.NEIGHBOURHOOD_SUMMARY_CONTRACT),
+        (ref, cl.REFERENCE_CONTRACT),
+        (boundaries, cl.BOUNDARY_CONTRACT),
+    )))
+    manifests = {"listing_snapshot": _manifest(market, "listing_export", market.columns),
+                 "neighbourhood_boundary": _manifest(boundaries, "neighbourhood_boundary", boundaries.columns)}
+    return val.validate(tables, manifests=manifests).unionByName(val.cross_dataset_findings(boundaries, ref))
+
+
+@register("validation_status", rep.validation_status_sql(VALIDATION_SQL, VALIDATED))
+def q_validation_status(spark, d):
+    """AGG29: passed or failed for each of the five tables and for all of them."""
+    return val.validation_status(cut_lineage(q_validation_findings(spark, d), "findings"), VALIDATED)
 
 
 @register("file_manifest")

@@ -123,7 +123,8 @@ SELECT *, ROW_NUMBER() OVER (ORDER BY median_nightly_price ASC NULLS LAST, city_
 FROM ({PRICE_EXTREMES})"""
 
 REFERENCE_CARDINALITY = f"""
-SELECT city_name, neighbourhood_name, 2 AS reference_rows FROM ({REFERENCE}) WHERE city_name IN ('ASIA', 'EUROPE')"""
+SELECT city_name, neighbourhood_name, COUNT(*) AS reference_rows
+FROM (SELECT DISTINCT city_name, neighbourhood_name, room_type, accommodates_count FROM {M}) GROUP BY 1, 2 HAVING COUNT(*) > 1"""
 
 CLEAN_TEXT = r"""
 SELECT doc_id, c AS clean_text, length(c) AS clean_chars FROM (
@@ -474,9 +475,16 @@ def _pk_finding(dataset: str, source: str, pk: list[str]) -> str:
             f"GROUP BY {k})) WHERE d > 0")
 
 
-def validation_sql(missing_summary_columns: list[str]) -> str:
+def validation_sql(missing_city_columns: list[str], missing_neighbourhood_columns: list[str]) -> str:
     listing = RAW_MARKET
+    counts = f"SELECT (SELECT COUNT(*) FROM ({_MARKET})) AS m, (SELECT COUNT(*) FROM ({listing})) AS n"
     parts = [
+        "SELECT 'listing_snapshot', 'manifest_dataset_name', 'error', "
+        "'Manifest dataset_name is `listing_export` instead of `listing_snapshot`.'",
+        "SELECT 'listing_snapshot', 'manifest_row_count', 'error', 'Manifest row_count is `' || CAST(m AS VARCHAR) || "
+        f"'` but dataset has `' || CAST(n AS VARCHAR) || '` rows.' FROM ({counts}) WHERE m <> n",
+        "SELECT 'listing_snapshot', 'manifest_columns', 'error', "
+        "'Manifest column list does not match the actual dataset columns.'",
         *[_null_finding("listing_snapshot", listing, c) for c in ("listing_id", "city_name", "period_label", "snapshot_date")],
         _pk_finding("listing_snapshot", listing, ["listing_id", "snapshot_date"]),
         _label_finding("listing_snapshot", listing, "city_name", _CITIES, "canonical_city_labels", "city labels"),
@@ -489,12 +497,13 @@ def validation_sql(missing_summary_columns: list[str]) -> str:
         f"SELECT 'listing_snapshot', 'rating_bounds', 'error', '`rating_score` is outside the expected range [0, 5] in `' "
         f"|| CAST(n AS VARCHAR) || '` rows.' FROM (SELECT COUNT(*) FILTER (WHERE rating_score < 0 OR rating_score > 5) AS n "
         f"FROM ({listing})) WHERE n > 0",
-        f"SELECT 'city_period_summary', 'missing_contract_columns', 'error', "
-        f"'Missing required columns: {', '.join(missing_summary_columns)}.'",
-        _label_finding("city_period_summary", f"SELECT DISTINCT city_name, period_label FROM ({_MARKET})", "city_name",
-                       _CITIES, "canonical_city_labels", "city labels"),
-        _label_finding("city_period_summary", f"SELECT DISTINCT city_name, period_label FROM ({_MARKET})",
-                       "period_label", _PERIODS, "canonical_period_labels", "period labels"),
+        *[f"SELECT '{name}', 'missing_contract_columns', 'error', 'Missing required columns: {', '.join(missing)}.'"
+          for name, missing in (("city_period_summary", missing_city_columns),
+                                ("neighbourhood_period_summary", missing_neighbourhood_columns))],
+        *[_label_finding(name, f"SELECT DISTINCT city_name, period_label FROM ({_MARKET})", column, labels,
+                         f"canonical_{kind}_labels", f"{kind} labels")
+          for name in ("city_period_summary", "neighbourhood_period_summary")
+          for column, labels, kind in (("city_name", _CITIES, "city"), ("period_label", _PERIODS, "period"))],
         _null_finding("neighbourhood_boundary", "SELECT NULL::VARCHAR AS geometry_type FROM nation", "geometry_type"),
         _null_finding("neighbourhood_boundary", "SELECT NULL::VARCHAR AS geometry FROM nation", "geometry"),
         _label_finding("neighbourhood_boundary", f"SELECT city_name FROM nation n LEFT JOIN ({REFERENCE}) r "
@@ -504,6 +513,15 @@ def validation_sql(missing_summary_columns: list[str]) -> str:
     return f"SELECT * FROM ({body}) AS t(dataset, check_name, severity, message)"
 
 
+def validation_status_sql(findings: str, datasets: list[str]) -> str:
+    names = ", ".join(f"('{n}')" for n in datasets)
+    return f"""
+WITH f AS ({findings}), c AS (
+  SELECT d.dataset, COUNT(f.dataset) AS findings FROM (VALUES {names}) AS d(dataset) LEFT JOIN f ON f.dataset = d.dataset GROUP BY 1
+  UNION ALL SELECT 'overall', COUNT(*) FROM f)
+SELECT dataset, CASE WHEN findings > 0 THEN 'failed' ELSE 'passed' END AS status, findings FROM c"""
+
+
 _LOCATION = ("latitude", "longitude", "distance_to_city_center_km", "distance_to_neighbourhood_center_km")
 _FLAGS = {"is_superhost": "superhost_status", "season_peak_flag": "peak_season", "season_shoulder_flag": "shoulder_season"}
 

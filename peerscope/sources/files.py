@@ -61,31 +61,25 @@ def read_csv_with_contract(spark: SparkSession, path: str, contract: Contract) -
     return raw.select(*cols)
 
 
-GEOJSON_SCHEMA = (
-    "struct<features: array<struct<properties: map<string, string>, "
-    "geometry: struct<type: string, coordinates: string>>>>"
-)
+GEOJSON_SCHEMA = "struct<features: array<struct<properties: map<string, string>, geometry: string>>>"
 
 
 def read_geojson_features(spark: SparkSession, path: str) -> DataFrame:
-    """SRC2: one row per feature (raw_feature_index, neighbourhood, neighbourhood_group,
-    geometry_type, geometry as JSON text).
+    """SRC2: one row per feature (raw_feature_index, neighbourhood, neighbourhood_group, geometry_type,
+    geometry as JSON text, properties as a map of texts).
 
-    A FeatureCollection file is one JSON document, so each file is parsed by one task;
-    many files (or newline-delimited features) spread over many tasks.
+    A FeatureCollection file is one JSON document, so each file is parsed (once) by one task; many files
+    spread over many tasks.  A feature without properties or geometry has nulls.
     """
-    docs = spark.read.option("wholetext", True).text(path).withColumn("_file", F.input_file_name())
-    parsed = docs.select("_file", F.from_json("value", GEOJSON_SCHEMA).alias("doc"),
-                         F.get_json_object("value", "$.features").alias("_raw"))
-    geometries = parsed.select("_file", F.from_json("_raw", "array<struct<geometry: string>>").alias("_g"))
-    feats = parsed.select("_file", F.posexplode("doc.features").alias("raw_feature_index", "f"))
-    geo = geometries.select("_file", F.posexplode("_g").alias("raw_feature_index", "g"))
-    return feats.join(geo, ["_file", "raw_feature_index"]).select(
+    docs = spark.read.option("wholetext", True).text(path)
+    features = docs.select(F.posexplode(F.from_json("value", GEOJSON_SCHEMA)["features"]).alias("raw_feature_index", "f"))
+    return features.select(
         "raw_feature_index",
         F.col("f.properties")["neighbourhood"].alias("neighbourhood"),
         F.col("f.properties")["neighbourhood_group"].alias("neighbourhood_group"),
-        F.col("f.geometry.type").alias("geometry_type"),
-        F.col("g.geometry").alias("geometry"),
+        F.get_json_object("f.geometry", "$.type").alias("geometry_type"),
+        F.col("f.geometry").alias("geometry"),
+        F.col("f.properties").alias("properties"),
     )
 
 

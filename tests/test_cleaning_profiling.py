@@ -107,8 +107,24 @@ def test_geojson_source_and_profile(spark, tmp_path):
     rows = feats.orderBy("raw_feature_index").collect()
     assert [r.neighbourhood for r in rows] == ["Centro Storico", "Duomo"]
     assert rows[0].geometry_type == "MultiPolygon" and "11.25" in rows[0].geometry
-    g = prof.geojson_profile(feats).collect()[0]
-    assert (g.feature_count, g.geometry_types) == (2, "MultiPolygon")
+    assert json.loads(rows[0].geometry) == doc["features"][0]["geometry"]
+    got = {r.property: (r.inferred_type, r.non_empty_count, r.null_count, r.feature_count, r.geometry_types)
+           for r in prof.geojson_profile(feats).collect()}
+    assert got == {"neighbourhood": ("string", 2, 0, 2, "MultiPolygon"), "neighbourhood_group": ("string", 0, 2, 2, "MultiPolygon")}
+
+
+def test_geojson_features_without_parts(spark, tmp_path):
+    doc = {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": None, "geometry": None},
+        {"type": "Feature", "properties": {"n": 3, "ok": True, "name": 'a } " b'}, "geometry": {"type": "Point", "coordinates": [1, 2.5]}}]}
+    p = tmp_path / "c.geojson"
+    p.write_text(json.dumps(doc), encoding="utf-8")
+    feats = files.read_geojson_features(spark, str(p))
+    rows = feats.orderBy("raw_feature_index").collect()
+    assert (rows[0].properties, rows[0].geometry_type, rows[0].geometry) == (None, None, None)
+    assert rows[1].properties == {"n": "3", "ok": "true", "name": 'a } " b'} and rows[1].geometry_type == "Point"
+    got = {r.property: (r.inferred_type, r.non_empty_count, r.null_count) for r in prof.geojson_profile(feats).collect()}
+    assert got["n"] == ("integer", 1, 1) and got["name"] == ("string", 1, 1)
 
 
 def test_listing_semantic_findings(spark):
