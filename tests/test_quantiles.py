@@ -55,3 +55,20 @@ def test_ranks_outside_the_sketched_bracket_are_still_found(spark, monkeypatch,
     got = {r["g"]: r["quantiles"] for r in exact_quantiles(df, "x", [0.25, 0.5], ["g"], method="narrowed").collect()}
     for g in range(3):
         assert np.allclose(got[g], pd.Series(range(1001))[lambda s, g=g: s % 3 == g].quantile([0.25, 0.5]))
+
+
+def test_rows_of_a_group_do_not_meet_in_one_task(spark):
+    """A few groups are sent to the rows: no shuffle of whole rows by their group, no sort of one."""
+    from pyspark.sql import functions as F
+
+    from peerscope.operators import quantiles as q
+
+    df = spark.range(20_000).select((F.col("id") % 3).cast("string").alias("g"), F.rand(3).alias("x"))
+    seen, real = [], q._by_keys
+    q._by_keys = lambda *a: seen.append(real(*a)) or seen[-1]
+    try:
+        q.wide_quantiles(df, {"m": "x"}, [0.5], ["g"], method="narrowed").collect()
+    finally:
+        q._by_keys = real
+    plans = [x._jdf.queryExecution().executedPlan().toString() for x in seen]
+    assert len(plans) == 3 and not any("SortMergeJoin" in p for p in (plans[0], plans[2]))
