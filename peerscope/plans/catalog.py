@@ -254,16 +254,16 @@ def _split_frame(spark, d):
     return ev.group_split(_feature_frame(spark, d))
 
 
-def _predict(split_frame: DataFrame, keys: list[str]) -> DataFrame:
-    """Baseline predictor of the binding: train-split median price per group, else the train median."""
+def _predict(split_frame: DataFrame, keys: list[str], rows: DataFrame | None = None) -> DataFrame:
+    """Baseline predictor of the binding: train-split median price per group, else the train median.
+    The medians come from ``split_frame`` and go to ``rows`` (the same ones unless given)."""
+    from peerscope.functions.scalars import attach_one_row
     from peerscope.operators.quantiles import exact_median
 
     train = split_frame.where(F.col("split") == "train")
     per_group = exact_median(train, "nightly_price", keys, "_g")
     overall = exact_median(train, "nightly_price", None, "_all")
-    from peerscope.functions.scalars import attach_one_row
-
-    j = attach_one_row(split_frame.join(per_group, keys, "left"), overall)
+    j = attach_one_row((split_frame if rows is None else rows).join(per_group, keys, "left"), overall)
     return j.withColumn("prediction", F.coalesce("_g", "_all")).drop("_g", "_all")
 
 
@@ -317,7 +317,7 @@ def _predictions(split_frame: DataFrame) -> DataFrame:
     """Every model's prediction beside the rows (``pred_<model>``), written once."""
     out = split_frame
     for name, keys in rep.MODELS.items():
-        out = _predict(out, keys).withColumnRenamed("prediction", f"pred_{name}")
+        out = _predict(split_frame, keys, out).withColumnRenamed("prediction", f"pred_{name}")
     return cut_lineage(out, "predictions")
 
 
@@ -372,13 +372,13 @@ DECISION_DOUBLES = ["nightly_price", "benchmark_lower_bound", "benchmark_upper_b
                     "model_benchmark_gap_amount", "model_benchmark_gap_ratio"]
 
 
-def _decisions(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _decisions(spark, d) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     fm = _feature_frame(spark, d)
     split = ev.group_split(fm)
     req = dec.resolve_requests(fm, testdata.listing_requests(spark, d))
     found = cut_lineage(req.where(F.col("status") == "found").select("listing_id", "snapshot_date").join(
         fm, ["listing_id", "snapshot_date"]), "targets")
-    comps = select_comparables(fm, ROLES, ComparableSearch(), targets=found)
+    comps = cut_lineage(comparable_lists(fm, ROLES, ComparableSearch(), targets=found), "comparables")
     ranges = benchmark_ranges(found, comps, *price_summaries(fm))
     predictions = _predictions(split)
     base = F.col("pred_" + next(n for n, keys in rep.MODELS.items() if list(keys) == list(rep.BASE_KEYS)))
@@ -387,12 +387,12 @@ def _decisions(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     cal = ev.interval_calibration(scored, "nightly_price")
     models = cut_lineage(ev.champion_choice(_metrics_long(predictions), rep.BASELINE_MODEL), "champion")
     records = dec.decision_records(found, ranges, estimates, cal, models)
-    return req, records, comps
+    return req, records, listed(comps), fm
 
 
 @register("price_decisions", rep.PRICE_DECISIONS, DECISION_DOUBLES)
 def q_price_decisions(spark, d):
-    req, records, _ = _decisions(spark, d)
+    req, records, _, _ = _decisions(spark, d)
     return req.select("request_id", "request_date", "status", "listing_id", "snapshot_date").join(
         records, ["listing_id", "snapshot_date"], "left")
 
@@ -420,10 +420,13 @@ def q_price_decision_payload(spark, d):
     driver lists, comparable median, and whether a NaN is left in the text."""
     from peerscope.operators.modeling import driver_lists
 
-    _, records, comps = _decisions(spark, d)
-    frame = _feature_frame(spark, d)
-    full = dec.attach_explanations(dec.attach_comparables(records, comps), driver_lists(frame, _fixed_terms()))
-    out = full.join(dec.to_payload_json(full), ["listing_id", "snapshot_date"])
+    _, records, comps, frame = _decisions(spark, d)
+    full = cut_lineage(dec.attach_explanations(dec.attach_comparables(records, comps), driver_lists(frame, _fixed_terms())), "payload")
+    # only what is read from the text is joined back, and sorted: its size can't be told from the columns' types
+    text = dec.to_payload_json(full).select(
+        "listing_id", "snapshot_date", F.col("payload_json").contains("NaN").alias("has_nan"),
+        (F.get_json_object("payload_json", "$.local_explanation.source_model_name") == "linear_baseline").alias("in_json"))
+    out = full.join(text.hint("merge"), ["listing_id", "snapshot_date"])
 
     def names(col):
         return F.array_join(F.transform(col, lambda x: x["feature"]), "|")
@@ -435,8 +438,7 @@ def q_price_decision_payload(spark, d):
         names(F.col("local_explanation.top_downward_drivers")).alias("downward_drivers"),
         F.col("local_explanation.comparable_median_price").alias("comparable_median_price"),
         F.col("local_explanation.source_model_name").alias("source_model_name"),
-        F.col("payload_json").contains("NaN").alias("has_nan"),
-        (F.get_json_object("payload_json", "$.local_explanation.source_model_name") == "linear_baseline").alias("in_json"),
+        "has_nan", "in_json",
     )
 
 
