@@ -21,8 +21,11 @@ not written.  An empty table gives an empty one.  Special tokens that a text spe
 ids, as the library does by default.
 
 The library cuts a text into pieces by a fixed pattern and encodes each piece by itself, so a task lets
-it encode each distinct piece once and keeps the ids in two bounded generations.  Texts with a
-special token or with characters that the pattern's classes may see differently go to it whole.
+it encode each distinct piece once and keeps the ids in two bounded generations.  The cuts of a run of
+texts come from the classes of its characters, all at once; new pieces are handed to the library
+``JOINED`` at a time as one text that it cuts into the same pieces, since most of its time on a piece
+alone goes into the call and its records.  Texts with a special token or with characters that the
+pattern's classes may see differently go to it whole.
 """
 
 from __future__ import annotations
@@ -45,20 +48,67 @@ END_ID = 2
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 64 << 10
 PAGE_ROWS = 1024
-#: Text bytes that go to the library at once: its encodings take many times the text.
-ENCODE_BYTES = 1 << 18
+#: Characters that are encoded at once.
+ENCODE_BYTES = 1 << 20
 
 #: Pieces of one memo generation, and the longest piece that is kept.
 MEMO_PIECES, MEMO_LENGTH = 200_000, 64
-#: The vocabulary's pattern on texts without the characters of ``ODD``: white space, digits and letters
-#: are then the same to Python and to the library (no Unicode blanks, separators, fractions, or
-#: characters above Latin Extended-B, whose classes differ between versions).
-PIECE = re.compile(r"'(?:[sdmt]|ll|ve|re)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+#: New pieces that go to the library as one text.
+JOINED = 200
+#: Characters whose class (white space, digit, letter) may differ between Python and the library: Unicode
+#: blanks, separators, fractions, and all above Latin Extended-B, whose classes differ between versions.
 ODD = re.compile("[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbe]|[^\x00-\u024f]")
+#: Classes of the other characters in the vocabulary's pattern:
+#: 's|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
+LETTER, DIGIT, SIGN, UNSURE, BLANK, WHITE = range(6)
+CLASSES = np.array([
+    UNSURE if ODD.match(c) else BLANK if c == " " else WHITE if re.match(r"\s", c) else DIGIT if re.match(r"\d", c) else LETTER if re.match(r"[^\W_]", c) else SIGN
+    for c in map(chr, range(0x251))
+], np.uint8)
 
 _loaded: dict[str, PieceCoder] = {}
 
 
+def cut(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The pieces of all texts, the place of each text's first one, and which texts have characters of ``ODD``;
+    if any has, nothing is cut."""
+    joined = "".join(texts)
+    points, edges = np.frombuffer(joined.encode("utf-32-le"), "<u4"), np.zeros(len(texts) + 1, np.int64)
+    np.cumsum([len(t) for t in texts], out=edges[1:])
+    n = len(points)
+    if not n:
+        return pa.array([], pa.string()), edges, np.zeros(len(texts), bool)
+    kind = CLASSES[np.minimum(points, len(CLASSES) - 1)]
+    odd = np.zeros(len(texts), bool)
+    odd[np.searchsorted(edges, np.flatnonzero(kind == UNSURE), side="right") - 1] = True
+    if odd.any():
+        return pa.array([], pa.string()), edges, odd
+    white = kind >= BLANK
+    followed = np.zeros(n, bool)  # by something that is not white, in the same text
+    followed[:-1] = ~white[1:]
+    followed[edges[1:][edges[1:] > 0] - 1] = False
+    start = np.ones(n + 1, bool)
+    # the last of several white characters stands apart; a blank belongs to what follows it
+    start[1:n] = np.where(white[1:], ~white[:-1] | followed[1:], (kind[1:] != kind[:-1]) & (kind[:-1] != BLANK))
+    start[edges] = True
+    quotes = np.flatnonzero((points == ord("'")) & start[:n])
+    if len(quotes):
+        ends = edges[np.searchsorted(edges, quotes, side="right")]
+        after = np.concatenate([points, np.zeros(2, points.dtype)])
+        a = np.where(quotes + 1 < ends, after[quotes + 1], 0)
+        b = np.where(quotes + 2 < ends, after[quotes + 2], 0)
+        short = np.isin(a, [ord(c) for c in "sdmt"])
+        long = (a == ord("l")) & (b == ord("l")) | ((a == ord("v")) | (a == ord("r"))) & (b == ord("e"))
+        start[quotes[short | long] + 1] = False
+        start[quotes[short] + 2] = True
+        start[quotes[long] + 3] = True
+    at = np.flatnonzero(start)
+    firsts = np.searchsorted(at, edges)
+    if not joined.isascii():  # the other characters have two bytes each
+        at = at + np.concatenate([[0], np.cumsum(points >= 0x80)])[at]
+    return pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(joined.encode())), firsts, odd
+
+
 class PieceCoder:
     """A byte-level vocabulary of the tokenizers library with a memo of its pieces."""
 
@@ -71,42 +121,96 @@ class PieceCoder:
         self.library.no_padding()
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        vocabulary = self.library.get_vocab()
+        #: bytes of each token, which has a character for each
+        self.widths = np.zeros(1 + max(vocabulary.values()), np.int64)
+        self.widths[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of distinct pieces, encoded by the library in one call."""
+    def one_by_one(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of distinct pieces, each encoded by itself."""
         made = self.library.encode(pieces, is_pretokenized=True, add_special_tokens=False)
         ids, words = np.array(made.ids, "<i4"), np.array(made.word_ids, np.int64)
         at = np.searchsorted(words, np.arange(len(pieces) + 1))
         raw = ids.tobytes()
         return {p: raw[4 * a : 4 * b] for p, a, b in zip(pieces, at[:-1].tolist(), at[1:].tolist(), strict=True)}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        whole = [i for i, t in enumerate(texts) if ODD.search(t) or (self.special and self.special.search(t))]
-        out: list = [None if t else b"" for t in texts]
-        if whole:
-            made = self.library.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False)
-            for i, m in zip(whole, made, strict=True):
-                out[i] = np.array(m.ids, "<i4").tobytes()
-        cut = {i: PIECE.findall(t) for i, t in enumerate(texts) if out[i] is None}
+    def together(self, pieces: list[str], lead: str) -> dict[str, bytes]:
+        """Ids of distinct pieces that the library finds again in texts of ``JOINED`` of them, each after ``lead``."""
+        runs = [lead + lead.join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)]
+        if self.special and any(map(self.special.search, runs)):
+            return self.one_by_one(pieces)
+        made = self.library.encode_batch_fast(runs, add_special_tokens=False)
+        ids = np.concatenate([np.array(m.ids, "<i4") for m in made])
+        ends = np.cumsum(self.widths[ids])
+        sizes = np.array([len(p.encode()) for p in pieces])
+        last = np.cumsum(sizes + len(lead))
+        first = last - sizes
+        to = np.searchsorted(ends, last)
+        at = np.searchsorted(ends, first, side="right")
+        starts = np.concatenate([[0], ends])[at]
+        if ends[-1] != last[-1] or (ends[to] != last).any() or (starts != first).any():
+            return self.one_by_one(pieces)
+        raw = ids.tobytes()
+        return {p: raw[4 * a : 4 * b + 4] for p, a, b in zip(pieces, at.tolist(), to.tolist(), strict=True)}
+
+    def learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of distinct pieces, encoded by the library.  A piece that begins with a blank and one that begins
+        after a line break are cut off from what stands before them; white space is not."""
+        groups: tuple[list[str], ...] = ([], [], [])
+        for p in pieces:
+            groups[2 if p.isspace() else 0 if p[0] == " " else 1].append(p)
+        out = self.together(groups[0], "") if groups[0] else {}
+        if groups[1]:
+            out |= self.together(groups[1], "\n")
+        if groups[2]:
+            out |= self.one_by_one(groups[2])
+        return out
+
+    def memoised(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
         if len(self.memo) > MEMO_PIECES:
             self.memo, self.old = {}, self.memo
         memo, old = self.memo, self.old
-        new = {p for pieces in cut.values() for p in pieces if p not in memo}
-        for p in new & old.keys():
-            memo[p] = old[p]
-        new -= memo.keys()
-        learnt = self.learn(list(new)) if new else {}
-        memo.update(learnt)
-        for i, pieces in cut.items():
-            out[i] = b"".join(map(memo.__getitem__, pieces))
-        for p in learnt:
-            if len(p) > MEMO_LENGTH:
-                del memo[p]
+        out = list(map(memo.get, pieces))
+        missing = [i for i, ids in enumerate(out) if ids is None]
+        made = {p: ids for i in missing if (ids := old.get(p := pieces[i])) is not None}
+        memo.update(made)
+        if new := [p for i in missing if (p := pieces[i]) not in made] if made else [pieces[i] for i in missing]:
+            learnt = self.learn(new)
+            memo.update((p, ids) for p, ids in learnt.items() if len(p) <= MEMO_LENGTH)
+            made |= learnt
+        for i in missing:
+            out[i] = made[pieces[i]]
         return out
 
+    def id_arrays(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        pieces, firsts, odd = cut(texts)
+        if self.special and any(map(self.special.search, texts)):
+            odd |= [bool(self.special.search(t)) for t in texts]
+        if odd.any():
+            whole = iter(self.library.encode_batch_fast([t for t, o in zip(texts, odd, strict=True) if o], add_special_tokens=False))
+            rest = iter(self.id_arrays([t for t, o in zip(texts, odd, strict=True) if not o]))
+            return [np.array(next(whole).ids, "<i4") if o else next(rest) for o in odd]
+        if not len(pieces):
+            return [np.empty(0, "<i4")] * len(texts)
+        coded = pieces.dictionary_encode()
+        made = self.memoised(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.array([len(m) for m in made], np.int32) // 4
+        flat, begins = np.frombuffer(b"".join(made), "<i4"), np.cumsum(sizes) - sizes
+        which = coded.indices.to_numpy()
+        counts = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        ids = flat[np.repeat(begins[which] - ends[:-1], counts) + np.arange(ends[-1])]
+        at = ends[firsts].tolist()
+        return [ids[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        return [ids.tobytes() for ids in self.id_arrays(texts)]
+
 
 def tokenizer(path: str) -> PieceCoder:
     """The tokenizer of a vocabulary file, loaded once per Python worker; truncation and padding off."""
@@ -152,18 +256,18 @@ def write_tokens(
     """Write the token files of ``docs`` and return their folder (one in the shared folder by default)."""
     if path is None:
         path = f"{ensure_checkpoint_dir(docs.sparkSession).rstrip('/')}/peerscope/tokens-{uuid.uuid4().hex}"
-    end = int(end_id).to_bytes(4, "little")
+    end = np.array([end_id], "<i4")
 
     def encode(batches):
         coder, part, before = tokenizer(vocabulary), TaskContext.get().partitionId(), 0
         for batch in batches:
             at = 0
             for run in text_runs(batch.column(1).to_pylist()):
-                ids = coder.encode(run)
-                n = np.array([len(i) // 4 + 1 for i in ids], np.int64)
+                ids = coder.id_arrays(run)
+                n = np.array([len(i) + 1 for i in ids], np.int64)
                 offsets = np.zeros(len(n) + 1, np.int32)
                 np.cumsum(n, out=offsets[1:])
-                flat = np.frombuffer(b"".join([x for i in ids for x in (i, end)]), "<i4")
+                flat = np.concatenate([x for i in ids for x in (i, end)])
                 starts = before + offsets[:-1].astype(np.int64)
                 before += int(offsets[-1])
                 yield pa.RecordBatch.from_arrays(
