@@ -113,10 +113,9 @@ def to_integer(col: Column) -> Column:
 
 
 def to_float(col: Column) -> Column:
-    """PRJ5: bad text -> NULL, NaN -> NULL."""
+    """PRJ5: bad text -> NULL, NaN -> NULL (it is no NUMBER_TEXT)."""
     text = col.cast("string")
-    x = F.when(text.rlike(NUMBER_TEXT), F.trim(text)).try_cast("double")
-    return F.when(~F.isnan(x), x)
+    return F.when(text.rlike(NUMBER_TEXT), F.trim(text)).try_cast("double")
 
 
 def to_date(col: Column) -> Column:

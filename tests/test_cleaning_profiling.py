@@ -193,3 +193,29 @@ def test_geojson_properties_profile(spark):
     df = spark.createDataFrame([("Polygon", {"a": "1", "b": None}), ("Point", {"a": "2.5"})], "geometry_type string, properties map<string,string>")
     got = {r.property: (r.inferred_type, r.non_empty_count, r.null_count, r.geometry_types) for r in prof.geojson_profile(df).collect()}
     assert got == {"a": ("float", 2, 0, "Point|Polygon"), "b": ("string", 0, 2, "Point|Polygon")}
+
+
+def test_listing_cleaner_is_compiled(spark, capsys):
+    """The JVM interprets generated methods of more than 8,000 bytes, whatever the number of rows."""
+    import re
+
+    from peerscope.sources import testdata
+    from tests.conftest import SMALL
+
+    raw = testdata.raw_listing_export(testdata.market_frame(spark, SMALL, dedupe=False))
+    raw = spark.createDataFrame(raw.limit(3).collect(), raw.schema).repartition(2)
+    cl.clean_listing_snapshot(raw).explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8_000
+
+
+def test_plain_and_other_texts_are_normalised_alike(spark):
+    vectors = {
+        "plain text": "plain text", " a  b\t": "a b", "﻿x\r\n": "x", "": None, " \t\n": None, "﻿": None, None: None,
+        "a b\x1cc": "a b c", " x ": "x", "ﬁne ①": "fine 1", "CittÃ ": "CittÃ", "perchÃ©": "perché", "Â£ 5": "£ 5",
+        "PARCO BOSCO IN CITT\x85": "PARCO BOSCO IN CITTÀ", "PARCO BOSCO IN CITT  \x85": "PARCO BOSCO IN CITTÀ",
+        " VII San Giovanni/CinecittÃ ": "VII San Giovanni/Cinecittà", "x \n ": "x", "Ã Ω": "Ã Ω",
+    }
+    df = spark.createDataFrame([(i, k) for i, k in enumerate(vectors)], "i int, x string")
+    got = [r.x for r in T.normalize_columns(df, ["x"]).orderBy("i").collect()]
+    assert got == list(vectors.values())
