@@ -22,10 +22,9 @@ ids, as the library does by default.
 
 The library cuts a text into pieces by a fixed pattern and encodes each piece by itself, so a task lets
 it encode each distinct piece once and keeps the ids in two bounded generations.  The cuts of a run of
-texts come from the classes of its characters, all at once; new pieces are handed to the library
-``JOINED`` at a time as one text that it cuts into the same pieces, since most of its time on a piece
-alone goes into the call and its records.  Texts with a special token or with characters that the
-pattern's classes may see differently go to it whole.
+texts come from the classes of its characters, all at once; new pieces go straight to the library's model,
+since most of its time on a piece goes into cutting it anew and into its records.  Texts with a special
+token or with characters that the pattern's classes may see differently go to the library whole.
 """
 
 from __future__ import annotations
@@ -34,6 +33,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from peerscope.llm.bpe import byte_symbols
 from peerscope.llm.common import trimming
 from peerscope.session import ensure_checkpoint_dir
 
@@ -53,8 +54,6 @@ ENCODE_BYTES = 1 << 20
 
 #: Pieces of one memo generation, and the longest piece that is kept.
 MEMO_PIECES, MEMO_LENGTH = 200_000, 64
-#: New pieces that go to the library as one text.
-JOINED = 200
 #: Characters whose class (white space, digit, letter) may differ between Python and the library: Unicode
 #: blanks, separators, fractions, and all above Latin Extended-B, whose classes differ between versions.
 ODD = re.compile("[\x1c-\x1f\x85\xa0\xb2\xb3\xb9\xbc-\xbe]|[^\x00-\u024f]")
@@ -121,52 +120,20 @@ class PieceCoder:
         self.library.no_padding()
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        vocabulary = self.library.get_vocab()
-        #: bytes of each token, which has a character for each
-        self.widths = np.zeros(1 + max(vocabulary.values()), np.int64)
-        self.widths[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.symbols = dict(enumerate(byte_symbols()))
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def one_by_one(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of distinct pieces, each encoded by itself."""
-        made = self.library.encode(pieces, is_pretokenized=True, add_special_tokens=False)
-        ids, words = np.array(made.ids, "<i4"), np.array(made.word_ids, np.int64)
-        at = np.searchsorted(words, np.arange(len(pieces) + 1))
-        raw = ids.tobytes()
-        return {p: raw[4 * a : 4 * b] for p, a, b in zip(pieces, at[:-1].tolist(), at[1:].tolist(), strict=True)}
-
-    def together(self, pieces: list[str], lead: str) -> dict[str, bytes]:
-        """Ids of distinct pieces that the library finds again in texts of ``JOINED`` of them, each after ``lead``."""
-        runs = [lead + lead.join(pieces[i : i + JOINED]) for i in range(0, len(pieces), JOINED)]
-        if self.special and any(map(self.special.search, runs)):
-            return self.one_by_one(pieces)
-        made = self.library.encode_batch_fast(runs, add_special_tokens=False)
-        ids = np.concatenate([np.array(m.ids, "<i4") for m in made])
-        ends = np.cumsum(self.widths[ids])
-        sizes = np.array([len(p.encode()) for p in pieces])
-        last = np.cumsum(sizes + len(lead))
-        first = last - sizes
-        to = np.searchsorted(ends, last)
-        at = np.searchsorted(ends, first, side="right")
-        starts = np.concatenate([[0], ends])[at]
-        if ends[-1] != last[-1] or (ends[to] != last).any() or (starts != first).any():
-            return self.one_by_one(pieces)
-        raw = ids.tobytes()
-        return {p: raw[4 * a : 4 * b + 4] for p, a, b in zip(pieces, at.tolist(), to.tolist(), strict=True)}
+    def written(self, piece: str) -> str:
+        """The symbols of a piece's bytes; printable ASCII but the blank stands for itself."""
+        if piece.isascii() and piece.isprintable():
+            return piece.replace(" ", self.symbols[32])
+        return piece.encode().decode("latin-1").translate(self.symbols)
 
     def learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of distinct pieces, encoded by the library.  A piece that begins with a blank and one that begins
-        after a line break are cut off from what stands before them; white space is not."""
-        groups: tuple[list[str], ...] = ([], [], [])
-        for p in pieces:
-            groups[2 if p.isspace() else 0 if p[0] == " " else 1].append(p)
-        out = self.together(groups[0], "") if groups[0] else {}
-        if groups[1]:
-            out |= self.together(groups[1], "\n")
-        if groups[2]:
-            out |= self.one_by_one(groups[2])
-        return out
+        """Ids of distinct pieces, each merged by the library's model from the symbols of its bytes."""
+        merged, written = self.library.model.tokenize, self.written
+        return {p: array("i", [t.id for t in merged(written(p))]).tobytes() for p in pieces}
 
     def memoised(self, pieces: list[str]) -> list[bytes]:
         """Ids of distinct pieces."""
@@ -175,14 +142,15 @@ class PieceCoder:
         memo, old = self.memo, self.old
         out = list(map(memo.get, pieces))
         missing = [i for i, ids in enumerate(out) if ids is None]
-        made = {p: ids for i in missing if (ids := old.get(p := pieces[i])) is not None}
-        memo.update(made)
-        if new := [p for i in missing if (p := pieces[i]) not in made] if made else [pieces[i] for i in missing]:
-            learnt = self.learn(new)
-            memo.update((p, ids) for p, ids in learnt.items() if len(p) <= MEMO_LENGTH)
-            made |= learnt
+        kept = {p: ids for i in missing if (ids := old.get(p := pieces[i])) is not None}
+        memo.update(kept)
+        learnt = self.learn([p for i in missing if (p := pieces[i]) not in kept])
+        memo.update(learnt)
         for i in missing:
-            out[i] = made[pieces[i]]
+            out[i] = memo[pieces[i]]
+        for p in learnt:
+            if len(p) > MEMO_LENGTH:
+                del memo[p]
         return out
 
     def id_arrays(self, texts: list[str]) -> list[np.ndarray]:

@@ -104,24 +104,16 @@ def test_unknown_encoding(spark):
         tokenfiles.write_options("plain", 1, 1, 1)
 
 
-def test_new_pieces_reach_the_library_in_few_calls():
-    """Thousands of new pieces of every kind: few texts go to the library, and the ids are those of whole texts."""
-
-    class Counting:
-        def __init__(self, library):
-            self.library, self.given = library, 0
-
-        def encode(self, pieces, **options):
-            self.given += len(pieces) if options.get("is_pretokenized") else 1
-            return self.library.encode(pieces, **options)
-
-        def encode_batch_fast(self, texts, **options):
-            self.given += len(texts)
-            return self.library.encode_batch_fast(texts, **options)
-
+def test_texts_are_cut_at_once_as_the_library_does_and_pieces_are_learnt_once():
     coder, plain = tokenfiles.PieceCoder(BYTE_BPE), Tokenizer.from_file(BYTE_BPE)
-    coder.library = Counting(coder.library)
     texts = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + j)}é{i}'s <{j}|\n\nx{chr(97 + i % 26)}\t 's''ll" for j in range(26)) for i in range(300)]
-    texts += ["", " ", "\n 's", "<|", "endoftext", "|>", " <|endoftext|>", "\U0001f600 odd"]
-    assert coder.encode(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<i4").tobytes() for t in texts]
-    assert len(coder.memo) > 1000 and coder.library.given < len(coder.memo) / 20
+    texts += ["", " ", "\n 's", "<|", "endoftext", "|>", "it's'LL'll've", "  "]
+    pieces, firsts, odd = tokenfiles.cut(texts)
+    want = [[t[a:b] for _, (a, b) in plain.pre_tokenizer.pre_tokenize_str(t)] for t in texts]
+    assert not odd.any() and pieces.to_pylist() == [p for w in want for p in w]
+    assert np.diff(firsts).tolist() == [len(w) for w in want]
+    learnt, learn = [], coder.learn
+    coder.learn = lambda new: learnt.extend(new) or learn(new)
+    for run in (texts[:100], [*texts, " <|endoftext|>", "\U0001f600 odd"]):
+        assert coder.encode(run) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<i4").tobytes() for t in run]
+    assert len(learnt) == len(set(learnt)) == len({p for w in want for p in w})
