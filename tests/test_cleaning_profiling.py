@@ -199,12 +199,13 @@ def test_listing_cleaner_is_compiled(spark, capsys):
     """The JVM interprets generated methods of more than 8,000 bytes, whatever the number of rows."""
     import re
 
-    from peerscope.sources import testdata
-    from tests.conftest import SMALL
+    from peerscope.sources.testdata import RAW_HEADERS
 
-    raw = testdata.raw_listing_export(testdata.market_frame(spark, SMALL, dedupe=False))
-    raw = spark.createDataFrame(raw.limit(3).collect(), raw.schema).repartition(2)
-    cl.clean_listing_snapshot(raw).explain("codegen")
+    headers = [*RAW_HEADERS.values(), "Host is superhost", "Coordinates"]
+    raw = spark.range(3).select(*[F.concat(F.lit(h), F.col("id").cast("string")).alias(h) for h in headers])
+    clean = cl.clean_listing_snapshot(raw)
+    assert clean._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1  # texts go to Python once
+    clean.explain("codegen")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
     assert sizes and max(sizes) < 8_000
 
