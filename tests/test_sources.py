@@ -110,3 +110,26 @@ def test_hashes_of_files_above_one_chunk(spark, tmp_path):
     (tmp_path / "empty.bin").write_bytes(b"")
     got = {r["file_name"]: (r["size_bytes"], r["sha256"]) for r in files.file_manifest(spark, str(tmp_path)).collect()}
     assert got == {"big file%1.bin": (len(data), hashlib.sha256(data).hexdigest())}  # empty files are not listed
+
+
+def test_market_sends_lines_by_order_once(spark, tmp_path):
+    import datetime as dt
+
+    from peerscope.sources import testdata
+
+    day = dt.datetime(1995, 5, 1)
+    made = {"lineitem": ([(1, "F", 30.0), (1, "O", 30.0), (1, "O", 1.0), (1, None, None), (2, None, 5.0), (None, "F", 1.0)],
+                         "l_orderkey long, l_linestatus string, l_quantity double"),
+            "orders": ([(1, 7, day, 10.0), (2, 7, day + dt.timedelta(1), 11.0), (3, 7, day + dt.timedelta(2), 12.0)],
+                       "o_orderkey long, o_custkey long, o_orderdate timestamp, o_totalprice double"),
+            "customer": ([(7, 1, 100.0, "BUILDING")], "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string"),
+            "nation": ([(1, "N", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+            "region": ([(1, "R")], "r_regionkey int, r_name string")}
+    for name, (rows, schema) in made.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    df = testdata.market_frame(spark, str(tmp_path))
+    got = {r.row_key: (r.accommodates_count, r.beds_count, r.bedrooms_count) for r in df.collect()}
+    assert got == {1: (4, 1, 2), 2: (1, 0, 0), 3: (None, None, None)}
+    plan = testdata.market_frame(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    sent = [line for line in plan.splitlines() if "Exchange hashpartitioning(l_" in line]
+    assert len(sent) == 1 and "l_linestatus" not in sent[0].split("]")[0].split("),")[0], plan
