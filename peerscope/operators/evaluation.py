@@ -14,6 +14,7 @@ from peerscope.functions.scalars import attach_one_row
 from peerscope.operators.benchmark import positioning_label
 from peerscope.operators.quantiles import exact_quantiles
 from peerscope.roles import Roles
+from peerscope.session import cut_lineage
 
 # Fixed values of the reference's training configuration.
 RANDOM_STATE = 42
@@ -148,16 +149,22 @@ def benchmark_diagnostics(ranges: DataFrame, predictions: DataFrame, roles: Role
         positioning_label(F.col(prediction), lo, hi).alias("predicted"),
         F.abs(F.col(r.price) - F.col(prediction)).alias("absolute_error"),
     )
-    rates = j.agg(
-        F.avg((F.col("predicted") == "aligned").cast("double")).alias("inside"),
-        F.avg((F.col("predicted") == F.col("observed")).cast("double")).alias("agree"),
+    # the joined rows are read once: all figures come from the sums of at most nine pairs of labels
+    sums = cut_lineage(j.groupBy("observed", "predicted").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("absolute_error").alias("e"), F.count("absolute_error").alias("k")), "label-sums")
+
+    def share(of: Column) -> Column:
+        return F.sum(F.when(of, F.col("n")).otherwise(F.lit(0))) / F.sum("n")
+
+    rates = sums.agg(
+        share(F.col("predicted") == "aligned").alias("inside"), share(F.col("predicted") == F.col("observed")).alias("agree")
     ).select(
         F.explode(F.array(
             F.struct(F.lit("model_prediction_inside_benchmark_rate").alias("metric"), F.col("inside").alias("value")),
             F.struct(F.lit("model_positioning_agreement_rate").alias("metric"), F.col("agree").alias("value")),
         )).alias("s")
     ).select(F.col("s.metric").alias("metric"), F.lit(None).cast("string").alias("key"), F.col("s.value").alias("value"))
-    by_label = j.groupBy("observed").agg(F.avg("absolute_error").alias("value")).select(
+    by_label = sums.groupBy("observed").agg(F.try_divide(F.sum("e"), F.sum("k")).alias("value")).select(
         F.lit("benchmark_positioning_mae").alias("metric"), F.col("observed").alias("key"), "value"
     )
     return rates.unionByName(by_label)
